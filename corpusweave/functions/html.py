@@ -13,6 +13,7 @@ from html.entities import html5, name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corpusweave.functions.binding import let
 from corpusweave.functions.urls import WHITESPACE, strip
 
 NODE, OPEN, BODY = "\x01", "\x02", "\x03"
@@ -72,21 +73,20 @@ def _legacy_names() -> list[str]:
 
 
 def _name_map() -> Column:
-    pairs = []
-    for name, code in sorted(name2codepoint.items()):
-        pairs += [F.lit(name), F.lit(chr(code))]
-    pairs += [F.lit("apos"), F.lit("'")]
-    return F.create_map(*pairs)
+    """Names to characters as one constant, not hundreds of expressions."""
+    pairs = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'"}
+    text = NODE.join(f"{name}{OPEN}{char}" for name, char in sorted(pairs.items()))
+    return F.str_to_map(F.lit(text), F.lit(NODE), F.lit(OPEN))
 
 
-def _from_code(digits: Column, base: int) -> Column:
-    """Character of a numeric reference; codes outside Unicode become U+FFFD."""
-    significant = F.regexp_replace(digits, "^0+", "")
-    wide = F.when(F.length(significant) <= 7, F.conv(significant, base, 10).cast("long")).otherwise(-1)
-    ok = wide.between(4, 0xD7FF) | wide.between(0xE000, 0x10FFFF)
-    return F.when(
-        ok, F.decode(F.unhex(F.lpad(F.hex(F.when(ok, wide).otherwise(32)), 8, "0")), "UTF-32")
-    ).otherwise("\ufffd")
+def _from_code(reference: Column) -> Column:
+    """Character of ``123`` or ``x7B``; codes outside Unicode become U+FFFD."""
+    digits = F.regexp_replace(F.ltrim(reference, F.lit("xX")), "^0+(?=.)", "")
+    short = F.length(digits) <= 7
+    wide = F.when(short, F.when(reference.rlike("^[xX]"), digits).otherwise(F.conv(digits, 10, 16)))
+    padded = F.lpad(F.upper(wide), 8, "0")
+    ok = padded.between("00000004", "0000D7FF") | padded.between("0000E000", "0010FFFF")
+    return F.when(ok, F.decode(F.unhex(padded), "UTF-32")).otherwise("\ufffd")
 
 
 def decode_entities(text: Column, in_attribute: bool = False) -> Column:
@@ -96,35 +96,21 @@ def decode_entities(text: Column, in_attribute: bool = False) -> Column:
     legacy = "|".join(_legacy_names())
     bare = rf"^({legacy})(?![A-Za-z0-9=])" if in_attribute else rf"^({legacy})"
     names = _name_map()
+    number = r"^#([0-9]+|[xX][0-9A-Fa-f]+);?"
 
     def one(part: Column) -> Column:
+        numeric = F.concat(_from_code(F.regexp_extract(part, number, 1)), F.regexp_replace(part, number, ""))
         named = F.regexp_extract(part, r"^([A-Za-z][A-Za-z0-9]*);", 1)
-        dec = F.regexp_extract(part, r"^#([0-9]+);?", 1)
-        hexa = F.regexp_extract(part, r"^#[xX]([0-9A-Fa-f]+);?", 1)
         old = F.regexp_extract(part, bare, 1)
-        after_number = F.regexp_replace(part, r"^#[xX]?[0-9A-Fa-f]+;?", "")
-        after_decimal = F.regexp_replace(part, r"^#[0-9]+;?", "")
-        cut = F.length(named) + 2
+        by_name = F.concat(F.try_element_at(names, named), F.substr(part, F.length(named) + 2))
+        by_old = F.concat(
+            F.coalesce(F.try_element_at(names, old), F.try_element_at(names, F.lower(old))),
+            F.substr(part, F.length(old) + 1),
+        )
         return (
             F.when(part.startswith("amp;"), F.concat(F.lit("&"), F.substr(part, F.lit(5))))
-            .when(
-                part.startswith("#"),
-                F.when(dec != "", F.concat(_from_code(dec, 10), after_decimal))
-                .when(hexa != "", F.concat(_from_code(hexa, 16), after_number))
-                .otherwise(F.concat(F.lit("&"), part)),
-            )
-            .when(
-                (named != "") & F.map_contains_key(names, named),
-                F.concat(F.try_element_at(names, named), F.substr(part, cut)),
-            )
-            .when(
-                old != "",
-                F.concat(
-                    F.coalesce(F.try_element_at(names, old), F.try_element_at(names, F.lower(old))),
-                    F.substr(part, F.length(old) + 1),
-                ),
-            )
-            .otherwise(F.concat(F.lit("&"), part))
+            .when(part.rlike(number), numeric)
+            .otherwise(F.coalesce(by_name, by_old, F.concat(F.lit("&"), part)))
         )
 
     parts = F.split(text, "&")
@@ -180,12 +166,18 @@ def attribute_values(tag_array: Column, name: str) -> Column:
     return F.transform(bare, lambda v: decode_entities(v, in_attribute=True))
 
 
-def meta_content(clean: Column, name: str) -> Column:
-    """Stripped content of the first meta tag of that exact name."""
-    metas = tags(clean, "meta")
-    pairs = F.arrays_zip(
-        attribute_values(metas, "name").alias("name"), attribute_values(metas, "content").alias("content")
+def meta_pairs(clean: Column) -> Column:
+    """(name, content) of each meta tag."""
+    return let(
+        tags(clean, "meta"),
+        lambda metas: F.arrays_zip(
+            attribute_values(metas, "name").alias("name"), attribute_values(metas, "content").alias("content")
+        ),
     )
+
+
+def meta_content(pairs: Column, name: str) -> Column:
+    """Stripped content of the first meta tag of that exact name."""
     first = F.try_element_at(F.filter(pairs, lambda p: p["name"] == name), F.lit(1))
     return strip(F.coalesce(first["content"], F.lit("")))
 
@@ -251,6 +243,13 @@ def scopes(piece_array: Column, rule, opens, class_a: tuple[str, ...], class_b:
             opens(p).alias("open"),
         ),
     )
+    in_chunks = let(
+        tokens,
+        lambda all_tokens: F.transform(
+            F.sequence(F.lit(0), F.floor((F.greatest(n, F.lit(1)) - 1) / _CHUNK).cast("int")),
+            lambda i: F.slice(all_tokens, i * _CHUNK + 1, F.lit(_CHUNK)),
+        ),
+    )
     no_entries = F.array().cast(f"array<{_ENTRY}>")
     no_elements = F.array().cast(f"array<{_ELEMENT}>")
 
@@ -271,8 +270,9 @@ def scopes(piece_array: Column, rule, opens, class_a: tuple[str, ...], class_b:
             .when(F.array_contains(t["stops"], e["name"]), 2)
             .otherwise(0),
         )
-        hit, stop = F.array_position(marks, 1), F.array_position(marks, 2)
-        return F.when((hit > 0) & ((stop == 0) | (hit < stop)), hit).otherwise(0).cast("int")
+        hit = let(marks, lambda m: F.struct(F.array_position(m, 1).alias("at"), F.array_position(m, 2).alias("stop")))
+        depth = let(hit, lambda h: F.when((h["stop"] == 0) | (h["at"] < h["stop"]), h["at"]).otherwise(0).cast("int"))
+        return F.when(F.size(t["targets"]) > 0, depth).otherwise(0)
 
     def push(stack: Column, t: Column, a: Column, b: Column) -> Column:
         top = F.try_element_at(stack, F.lit(1))
@@ -292,36 +292,32 @@ def scopes(piece_array: Column, rule, opens, class_a: tuple[str, ...], class_b:
         return F.when(t["open"], F.concat(F.array(entry), counted, rest)).otherwise(stack)
 
     def step(acc: Column, t: Column) -> Column:
-        k = popped_count(acc["stack"], t)
-        kept = F.slice(acc["stack"], k + 1, F.size(acc["stack"]))
         a = acc["a"] + (t["open"] & t["name"].isin(*class_a)).cast("int")
         b = acc["b"] + (t["open"] & t["name"].isin(*class_b)).cast("int")
-        return F.struct(
-            push(kept, t, a, b).alias("stack"),
-            F.concat(acc["out"], closed(F.slice(acc["stack"], F.lit(1), k), t["pos"], acc["a"], acc["b"])).alias("out"),
-            a.alias("a"),
-            b.alias("b"),
+        return let(
+            popped_count(acc["stack"], t),
+            lambda k: F.struct(
+                let(F.slice(acc["stack"], k + 1, F.size(acc["stack"])), lambda kept: push(kept, t, a, b)).alias("stack"),
+                F.concat(acc["out"], closed(F.slice(acc["stack"], F.lit(1), k), t["pos"], acc["a"], acc["b"])).alias("out"),
+                a.alias("a"),
+                b.alias("b"),
+            ),
         )
 
     def chunk_step(acc: Column, chunk: Column) -> Column:
         start = F.struct(
             acc["stack"].alias("stack"), no_elements.alias("out"), acc["a"].alias("a"), acc["b"].alias("b")
         )
-        return F.aggregate(
-            F.array(F.aggregate(chunk, start, step)),
-            acc,
-            lambda prev, done: F.struct(
+        return let(
+            F.aggregate(chunk, start, step),
+            lambda done: F.struct(
                 done["stack"].alias("stack"),
-                F.concat(prev["outs"], F.array(done["out"])).alias("outs"),
+                F.concat(acc["outs"], F.array(done["out"])).alias("outs"),
                 done["a"].alias("a"),
                 done["b"].alias("b"),
             ),
         )
 
-    chunks = F.transform(
-        F.sequence(F.lit(0), F.floor((F.greatest(n, F.lit(1)) - 1) / _CHUNK).cast("int")),
-        lambda i: F.slice(tokens, i * _CHUNK + 1, F.lit(_CHUNK)),
-    )
     zero = F.struct(
         no_entries.alias("stack"),
         F.array().cast(f"array<array<{_ELEMENT}>>").alias("outs"),
@@ -329,7 +325,7 @@ def scopes(piece_array: Column, rule, opens, class_a: tuple[str, ...], class_b:
         F.lit(0).alias("b"),
     )
     return F.aggregate(
-        chunks,
+        in_chunks,
         zero,
         chunk_step,
         lambda acc: F.array_sort(

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corpusweave.functions.binding import let
+
 # Splitting pattern (scheme, netloc, path, query, fragment), the
 # fetchable schemes, and the characters Unicode-aware stripping removes.
 URL_PATTERN = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
@@ -57,22 +59,23 @@ def _merge_path(base_path: Column, path: Column) -> Column:
         F.slice(base_segments, F.lit(1), F.size(base_segments) - 1),
     ).otherwise(base_segments)
     joined = F.concat(folder, F.split(path, "/"))
-    last = F.size(joined) - 1
-    tidy = F.filter(joined, lambda s, i: (s != "") | (i == 0) | (i == last))
+    tidy = let(joined, lambda j: F.filter(j, lambda s, i: (s != "") | (i == 0) | (i == F.size(j) - 1)))
     segments = F.when(path.startswith("/"), F.split(path, "/")).otherwise(tidy)
-    empty = F.array().cast("array<string>")
-    walked = F.aggregate(
-        segments,
-        empty,
-        lambda acc, s: F.when(s == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))))
-        .when(s == ".", acc)
-        .otherwise(F.concat(acc, F.array(s))),
+
+    def walk(segs: Column) -> Column:
+        steps = F.aggregate(
+            segs,
+            F.array().cast("array<string>"),
+            lambda acc, s: F.when(s == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))))
+            .when(s == ".", acc)
+            .otherwise(F.concat(acc, F.array(s))),
+        )
+        closing = F.when(F.element_at(segs, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+        return F.array_join(F.concat(steps, closing), "/")
+
+    return let(
+        let(segments, walk), lambda text: F.when(text.startswith("/"), text).otherwise(F.concat(F.lit("/"), text))
     )
-    closed = F.when(
-        F.element_at(segments, -1).isin(".", ".."), F.concat(walked, F.array(F.lit("")))
-    ).otherwise(walked)
-    text = F.array_join(closed, "/")
-    return F.when(text.startswith("/"), text).otherwise(F.concat(F.lit("/"), text))
 
 
 def resolve_split(base: Column, ref: Column, keep_fragment: bool = False) -> Column:
@@ -111,21 +114,28 @@ def is_web_url(url: Column) -> Column:
     return F.lower(url_part(url, 1)).isin(*WEB_SCHEMES) & (url_part(url, 2) != "")
 
 
-def normalize(url: Column) -> Column:
-    """Strip, drop fragment and last-segment parameters, lower scheme and
-    netloc, give an empty path its slash; path case and query stay."""
-    u = clean(url)
-    scheme = F.lower(url_part(u, 1))
-    netloc = F.lower(url_part(u, 2))
-    path = F.regexp_replace(url_part(u, 3), r"(?s);[^/]*$", "")
+def normalize_split(parts: Column) -> Column:
+    """Lower netloc, no last-segment parameters, a slash for an empty path; path
+    case and query stay."""
+    netloc = F.lower(parts["netloc"])
+    path = F.regexp_replace(parts["path"], r"(?s);[^/]*$", "")
     return F.concat(
-        F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(""),
+        F.when(parts["scheme"] != "", F.concat(parts["scheme"], F.lit(":"))).otherwise(""),
         F.when(netloc != "", F.concat(F.lit("//"), netloc)).otherwise(""),
         F.when(path == "", "/").otherwise(path),
-        _query_tail(url_part(u, 4)),
+        _query_tail(parts["query"]),
     )
 
 
+def normalize(url: Column) -> Column:
+    """Normal form of a URL without its fragment."""
+    return normalize_split(split_url(url))
+
+
+def normalize_each(url_array: Column) -> Column:
+    return F.transform(F.transform(url_array, split_url), normalize_split)
+
+
 def domain(url: Column) -> Column:
     return F.lower(url_part(clean(url), 2))
 

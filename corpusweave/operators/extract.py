@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from corpusweave.functions import html as H
 from corpusweave.functions import urls as U
+from corpusweave.functions.binding import let, settled
 
 LIST_TAGS = ("ul", "ol", "li")
 TABLE_TAGS = ("table", "tr", "td", "th")
@@ -24,8 +25,10 @@ def link_array(clean: Column, page_url: Column) -> Column:
     """Absolute web links of a page, first occurrence of each exact string."""
     hrefs = F.transform(H.attribute_values(H.tags(clean, "a"), "href"), U.strip)
     wanted = F.array_distinct(F.filter(hrefs, lambda h: (h != "") & ~h.startswith("#")))
-    base = U.split_url(page_url)
-    absolute = F.transform(F.transform(wanted, U.split_url), lambda r: U.resolve_split(base, r))
+    absolute = let(
+        U.split_url(page_url),
+        lambda base: F.transform(F.transform(wanted, U.split_url), lambda r: U.resolve_split(base, r)),
+    )
     return F.array_distinct(F.filter(absolute, U.is_web_url))
 
 
@@ -36,11 +39,13 @@ def image_array(clean: Column, page_url: Column) -> Column:
         F.transform(H.attribute_values(imgs, "src"), lambda s: U.split_url(s)).alias("ref"),
         H.attribute_values(imgs, "alt").alias("alt"),
     )
-    base = U.split_url(page_url)
-    found = F.transform(
-        F.filter(pairs, lambda p: p["ref"]["raw"] != ""),
-        lambda p: F.struct(
-            U.resolve_split(base, p["ref"], keep_fragment=True).alias("src"), U.strip(p["alt"]).alias("alt")
+    found = let(
+        U.split_url(page_url),
+        lambda base: F.transform(
+            F.filter(pairs, lambda p: p["ref"]["raw"] != ""),
+            lambda p: F.struct(
+                U.resolve_split(base, p["ref"], keep_fragment=True).alias("src"), U.strip(p["alt"]).alias("alt")
+            ),
         ),
     )
     return F.filter(found, lambda i: U.is_web_url(i["src"]))
@@ -89,16 +94,19 @@ def _texts(piece_array: Column) -> Column:
 
 def lists_from(piece_array: Column, elements: Column) -> Column:
     """(type, items) per non-empty list in document order, direct items only."""
-    texts = _texts(piece_array)
-    lists = F.filter(elements, lambda e: e["name"] != "li")
-    items = F.array_sort(
-        F.transform(
-            F.filter(elements, lambda e: (e["name"] == "li") & (e["parent"] > 0)),
-            lambda e: F.struct(e["parent"].alias("parent"), e["start"].alias("start"), H.scope_text(texts, e).alias("text")),
-        )
+    direct = F.filter(elements, lambda e: (e["name"] == "li") & (e["parent"] > 0))
+    items = let(
+        _texts(piece_array),
+        lambda texts: F.transform(
+            direct,
+            lambda e: F.struct(
+                e["parent"].alias("parent"), e["start"].alias("start"), H.scope_text(texts, e).alias("text")
+            ),
+        ),
     )
+    # Sorted by (list, position), each list's items are one slice.
     spans = F.aggregate(
-        F.transform(lists, lambda e: F.struct(e["name"].alias("name"), e["kids"].alias("kids"))),
+        F.filter(elements, lambda e: e["name"] != "li"),
         F.struct(
             F.lit(0).alias("seen"), F.array().cast("array<struct<name:string,seen:int,kids:int>>").alias("out")
         ),
@@ -111,13 +119,16 @@ def lists_from(piece_array: Column, elements: Column) -> Column:
         ),
         lambda acc: acc["out"],
     )
-    filled = F.transform(
-        spans,
-        lambda s: F.struct(
-            s["name"].alias("type"),
-            F.filter(
-                F.transform(F.slice(items, s["seen"] + 1, s["kids"]), lambda i: i["text"]), lambda t: t != ""
-            ).alias("items"),
+    filled = let(
+        F.array_sort(items),
+        lambda by_list: F.transform(
+            spans,
+            lambda s: F.struct(
+                s["name"].alias("type"),
+                F.filter(
+                    F.transform(F.slice(by_list, s["seen"] + 1, s["kids"]), lambda i: i["text"]), lambda t: t != ""
+                ).alias("items"),
+            ),
         ),
     )
     return F.filter(filled, lambda l: F.size(l["items"]) > 0)
@@ -126,81 +137,92 @@ def lists_from(piece_array: Column, elements: Column) -> Column:
 def tables_from(piece_array: Column, elements: Column) -> Column:
     """Rows of cell texts per table; a nested table's rows also show in the
     table around it. Empty rows and tables are dropped, empty cells are not."""
-    texts = _texts(piece_array)
-    rows = F.filter(elements, lambda e: e["name"] == "tr")
-    cells = F.transform(
-        F.filter(elements, lambda e: e["name"].isin("td", "th")), lambda e: H.scope_text(texts, e)
+    cells = let(
+        _texts(piece_array),
+        lambda texts: F.transform(
+            F.filter(elements, lambda e: e["name"].isin("td", "th")), lambda e: H.scope_text(texts, e)
+        ),
     )
-    row_cells = F.transform(rows, lambda r: F.slice(cells, r["b0"] + 1, r["b1"] - r["b0"]))
-    grids = F.transform(
-        F.filter(elements, lambda e: e["name"] == "table"),
-        lambda t: F.filter(F.slice(row_cells, t["a0"] + 1, t["a1"] - t["a0"]), lambda r: F.size(r) > 0),
+    row_cells = let(
+        cells,
+        lambda cs: F.transform(
+            F.filter(elements, lambda e: e["name"] == "tr"), lambda r: F.slice(cs, r["b0"] + 1, r["b1"] - r["b0"])
+        ),
+    )
+    grids = let(
+        row_cells,
+        lambda rs: F.transform(
+            F.filter(elements, lambda e: e["name"] == "table"),
+            lambda t: F.filter(F.slice(rs, t["a0"] + 1, t["a1"] - t["a0"]), lambda r: F.size(r) > 0),
+        ),
     )
     return F.filter(grids, lambda g: F.size(g) > 0)
 
 
-def with_lists(pages: DataFrame, source: str, name: str = "lists") -> DataFrame:
-    staged = pages.withColumn("_lp", H.pieces(F.col(source), LIST_TAGS))
-    staged = staged.withColumn("_le", list_scopes(F.col("_lp")))
-    return staged.withColumn(name, lists_from(F.col("_lp"), F.col("_le"))).drop("_lp", "_le")
+def list_array(clean: Column) -> Column:
+    return let(H.pieces(clean, LIST_TAGS), lambda p: let(list_scopes(p), lambda e: lists_from(p, e)))
 
 
-def with_tables(pages: DataFrame, source: str, name: str = "tables") -> DataFrame:
-    staged = pages.withColumn("_tp", H.pieces(F.col(source), TABLE_TAGS))
-    staged = staged.withColumn("_te", table_scopes(F.col("_tp")))
-    return staged.withColumn(name, tables_from(F.col("_tp"), F.col("_te"))).drop("_tp", "_te")
+def table_array(clean: Column) -> Column:
+    return let(H.pieces(clean, TABLE_TAGS), lambda p: let(table_scopes(p), lambda e: tables_from(p, e)))
 
 
 # -- exploded tables --------------------------------------------------------
 
-def metadata_table(pages: DataFrame) -> DataFrame:
-    clean = pages.select("page_id", "url", H.markup(F.col("html")).alias("m"))
-    return clean.select(
-        "page_id",
-        "url",
-        H.title_of(F.col("m")).alias("title"),
-        H.meta_content(F.col("m"), "description").alias("description"),
-        H.meta_content(F.col("m"), "keywords").alias("keywords"),
+def metadata(clean: Column) -> Column:
+    """(title, description, keywords) of a page."""
+    return let(
+        H.meta_pairs(clean),
+        lambda metas: F.struct(
+            H.title_of(clean).alias("title"),
+            H.meta_content(metas, "description").alias("description"),
+            H.meta_content(metas, "keywords").alias("keywords"),
+        ),
     )
 
 
+def metadata_table(pages: DataFrame) -> DataFrame:
+    return _array_rows(pages, "meta", metadata).select("page_id", "url", "meta.title", "meta.description", "meta.keywords")
+
+
 def text_table(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", H.visible_text(F.col("html")).alias("text"))
 
 
+def _array_rows(pages: DataFrame, name: str, build) -> DataFrame:
+    """Pages with one column of facts, computed once per page."""
+    facts = let(H.markup(F.col("html")), build)
+    return settled(pages.select("page_id", "url", facts.alias(name)), name, F.col(name))
+
+
 def link_table(pages: DataFrame) -> DataFrame:
     """Edges (page_id, src_url, pos, dst_url)."""
-    staged = pages.select("page_id", F.col("url").alias("src_url"), H.markup(F.col("html")).alias("m"))
-    links = staged.select("page_id", "src_url", link_array(F.col("m"), F.col("src_url")).alias("links"))
-    return links.select("page_id", "src_url", F.posexplode("links").alias("pos", "dst_url"))
+    links = _array_rows(pages, "links", lambda m: link_array(m, F.col("url")))
+    return links.select("page_id", F.col("url").alias("src_url"), F.posexplode("links").alias("pos", "dst_url"))
 
 
 def image_table(pages: DataFrame) -> DataFrame:
-    staged = pages.select("page_id", "url", H.markup(F.col("html")).alias("m"))
-    images = staged.select("page_id", "url", image_array(F.col("m"), F.col("url")).alias("images"))
+    images = _array_rows(pages, "images", lambda m: image_array(m, F.col("url")))
     return images.select("page_id", "url", F.posexplode("images").alias("pos", "i")).select(
         "page_id", "url", "pos", "i.src", "i.alt"
     )
 
 
 def heading_table(pages: DataFrame) -> DataFrame:
-    staged = pages.select("page_id", "url", H.markup(F.col("html")).alias("m"))
-    items = staged.select("page_id", "url", H.heading_items(F.col("m")).alias("h"))
-    return items.select("page_id", "url", F.posexplode("h").alias("pos", "i")).select(
+    headings = _array_rows(pages, "headings", H.heading_items)
+    return headings.select("page_id", "url", F.posexplode("headings").alias("pos", "i")).select(
         "page_id", "url", "pos", "i.level", "i.text"
     )
 
 
 def cell_table(pages: DataFrame) -> DataFrame:
-    staged = with_tables(pages.select("page_id", "url", H.markup(F.col("html")).alias("m")), "m")
-    tables = staged.select("page_id", "url", F.posexplode("tables").alias("table_no", "t"))
+    tables = _array_rows(pages, "tables", table_array).select("page_id", "url", F.posexplode("tables").alias("table_no", "t"))
     rows = tables.select("page_id", "url", "table_no", F.posexplode("t").alias("row_no", "r"))
     return rows.select("page_id", "url", "table_no", "row_no", F.posexplode("r").alias("cell_no", "text"))
 
 
 def list_item_table(pages: DataFrame) -> DataFrame:
-    staged = with_lists(pages.select("page_id", "url", H.markup(F.col("html")).alias("m")), "m")
-    lists = staged.select("page_id", "url", F.posexplode("lists").alias("list_no", "l"))
+    lists = _array_rows(pages, "lists", list_array).select("page_id", "url", F.posexplode("lists").alias("list_no", "l"))
     return lists.select(
         "page_id", "url", "list_no", F.col("l.type").alias("type"), F.posexplode("l.items").alias("item_no", "text")
     )
@@ -256,25 +278,23 @@ def _selected(pages: DataFrame, selector: str) -> DataFrame:
     tag, cls, ident = _parse_selector(selector)
     # Raw-text bodies hold no elements; a selector for one of them wants the body.
     hidden = tuple(n for n in H.RAW_TEXT + H.HIDDEN_STRINGS if n != tag)
-    staged = pages.select("page_id", "url", H.pieces(H.without(F.col("html"), hidden), _scope_names(tag)).alias("pieces"))
-    staged = staged.withColumn(
-        "scopes",
-        H.scopes(F.col("pieces"), _selector_rule, lambda p: ~p["close"] & ~p["name"].isin(*H.VOID_TAGS), (), ()),
-    )
+    def found(p: Column) -> Column:
+        scopes = H.scopes(p, _selector_rule, lambda t: ~t["close"] & ~t["name"].isin(*H.VOID_TAGS), (), ())
+
+        def hit(element: Column) -> Column:
+            own_tag = F.array(F.element_at(p, element["start"])["tag"])
+            ok = (element["name"] == tag) if tag else F.lit(True)
+            if cls:
+                words = F.split(F.element_at(H.attribute_values(own_tag, "class"), 1), r"\s+")
+                ok = ok & F.array_contains(words, cls)
+            if ident:
+                ok = ok & (F.element_at(H.attribute_values(own_tag, "id"), 1) == ident)
+            return ok
 
-    def hit(element: Column) -> Column:
-        own_tag = F.array(F.element_at(F.col("pieces"), element["start"])["tag"])
-        ok = (element["name"] == tag) if tag else F.lit(True)
-        if cls:
-            words = F.split(F.element_at(H.attribute_values(own_tag, "class"), 1), r"\s+")
-            ok = ok & F.array_contains(words, cls)
-        if ident:
-            ok = ok & (F.element_at(H.attribute_values(own_tag, "id"), 1) == ident)
-        return ok
+        return let(_texts(p), lambda texts: F.transform(F.filter(scopes, hit), lambda e: H.scope_text(texts, e)))
 
-    texts = _texts(F.col("pieces"))
-    found = F.transform(F.filter(F.col("scopes"), hit), lambda e: H.scope_text(texts, e))
-    return staged.select("page_id", "url", found.alias("found"))
+    cut = H.pieces(H.without(F.col("html"), hidden), _scope_names(tag))
+    return settled(pages.select("page_id", "url", let(cut, found).alias("found")), "found", F.col("found"))
 
 
 def selector_matches(pages: DataFrame, selector: str) -> DataFrame:
@@ -306,24 +326,18 @@ def page_records(pages: DataFrame, missing: Column | None = None) -> DataFrame:
         *keep, "url", failed.alias("_failed"), H.markup(body).alias("_m"), H.pruned(body).alias("_p"),
         H.visible_text(body).alias("text"),
     )
-    staged = with_lists(with_tables(staged, "_p"), "_p")
     no_errors = F.array().cast("array<string>")
-    meta = F.struct(
-        H.title_of(F.col("_m")).alias("title"),
-        H.meta_content(F.col("_m"), "description").alias("description"),
-        H.meta_content(F.col("_m"), "keywords").alias("keywords"),
-    )
     return staged.select(
         *keep,
         "url",
         H.title_of(F.col("_m")).alias("title"),
         "text",
         link_array(F.col("_p"), F.col("url")).alias("links"),
-        F.when(~F.col("_failed"), meta).alias("metadata"),
+        F.when(~F.col("_failed"), metadata(F.col("_m"))).alias("metadata"),
         image_array(F.col("_p"), F.col("url")).alias("images"),
         H.heading_items(F.col("_p")).alias("headings"),
-        "tables",
-        "lists",
+        table_array(F.col("_p")).alias("tables"),
+        list_array(F.col("_p")).alias("lists"),
         F.when(F.col("_failed"), F.array(F.lit("Failed to parse HTML: TypeError"))).otherwise(no_errors).alias("errors"),
     )
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusweave.functions import urls as U
+from corpusweave.functions.binding import settled
 
 
 def seed_domains(seeds: DataFrame) -> DataFrame:
@@ -17,7 +18,7 @@ def domain_counts(urls: DataFrame, column: str = "url") -> DataFrame:
 
 
 def normalized(candidates: DataFrame, column: str = "url") -> DataFrame:
-    return candidates.withColumn(column, U.normalize(F.col(column)))
+    return settled(candidates, column, U.normalize(F.col(column)))
 
 
 def valid_only(candidates: DataFrame) -> DataFrame:

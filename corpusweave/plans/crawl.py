@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from corpusweave.config import CrawlConfig
 from corpusweave.functions import html as H
 from corpusweave.functions import urls as U
+from corpusweave.functions.binding import settled
 from corpusweave.operators import extract as X
 from corpusweave.operators import frontier as FR
 from corpusweave.operators import robots as R
@@ -40,12 +41,12 @@ def link_graph(pages: DataFrame) -> LinkGraph:
     """Graph of a page table. Several page URLs may normalise to one key; the
     lowest page_id stands for it, chosen on narrow columns before any body is
     touched. Links resolve against the normalised URL, on the pruned page."""
-    keyed = pages.withColumn("_key", U.normalize(F.col("url")))
+    keyed = settled(pages, "_key", U.normalize(F.col("url")))
     chosen = keyed.groupBy("_key").agg(F.min("page_id").alias("page_id")).select("page_id")
     kept = keyed.join(chosen, "page_id", "left_semi").where(F.length("html") > 0)
     staged = kept.select(F.col("_key").alias("src"), H.pruned(F.col("html")).alias("_p"))
-    links = staged.select("src", X.link_array(F.col("_p"), F.col("src")).alias("links"))
-    edges = links.select("src", F.posexplode("links").alias("pos", "dst")).withColumn("dst", U.normalize(F.col("dst")))
+    links = staged.select("src", U.normalize_each(X.link_array(F.col("_p"), F.col("src"))).alias("links"))
+    edges = links.select("src", F.posexplode("links").alias("pos", "dst"))
     return LinkGraph(edges, kept.select(F.col("_key").alias("url")))
 
 
