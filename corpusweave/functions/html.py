@@ -113,9 +113,11 @@ def decode_entities(text: Column, in_attribute: bool = False) -> Column:
             .otherwise(F.coalesce(by_name, by_old, F.concat(F.lit("&"), part)))
         )
 
-    parts = F.split(text, "&")
-    decoded = F.array_join(F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(one(p))), "")
-    return F.when(text.contains("&"), decoded).otherwise(text)
+    def decoded(whole: Column) -> Column:
+        parts = F.transform(F.split(whole, "&"), lambda p, i: F.when(i == 0, p).otherwise(one(p)))
+        return F.when(whole.contains("&"), F.array_join(parts, "")).otherwise(whole)
+
+    return let(text, decoded)
 
 
 # -- text -------------------------------------------------------------------
@@ -203,8 +205,7 @@ def pieces(clean: Column, names: tuple[str, ...] | None) -> Column:
     """
     which = "|".join(names) if names else "[a-zA-Z][^\\s/>]*+"
     marked = F.regexp_replace(clean, rf"(?is)<(/?(?:{which})(?=[\s/>]){_ATTRS})>", f"{OPEN}$1{BODY}")
-    parts = F.split(untag(marked), OPEN)
-    found = F.slice(parts, F.lit(2), F.size(parts))
+    found = F.slice(F.split(untag(marked), OPEN), 2, 1 << 30)
     return F.transform(
         F.transform(found, lambda p: F.split(p, BODY)),
         lambda p: F.struct(
@@ -264,6 +265,8 @@ def scopes(piece_array: Column, rule, opens, class_a: tuple[str, ...], class_b:
         )
 
     def popped_count(stack: Column, t: Column) -> Column:
+        """How many open elements the tag closes; mostly the top one decides."""
+        top = F.try_element_at(stack, F.lit(1))["name"]
         marks = F.transform(
             stack,
             lambda e: F.when(F.array_contains(t["targets"], e["name"]), 1)
@@ -271,8 +274,13 @@ def scopes(piece_array: Column, rule, opens, class_a: tuple[str, ...], class_b:
             .otherwise(0),
         )
         hit = let(marks, lambda m: F.struct(F.array_position(m, 1).alias("at"), F.array_position(m, 2).alias("stop")))
-        depth = let(hit, lambda h: F.when((h["stop"] == 0) | (h["at"] < h["stop"]), h["at"]).otherwise(0).cast("int"))
-        return F.when(F.size(t["targets"]) > 0, depth).otherwise(0)
+        deeper = let(hit, lambda h: F.when((h["stop"] == 0) | (h["at"] < h["stop"]), h["at"]).otherwise(0).cast("int"))
+        return (
+            F.when((F.size(t["targets"]) == 0) | (F.size(stack) == 0), 0)
+            .when(F.array_contains(t["targets"], top), 1)
+            .when(F.array_contains(t["stops"], top), 0)
+            .otherwise(deeper)
+        )
 
     def push(stack: Column, t: Column, a: Column, b: Column) -> Column:
         top = F.try_element_at(stack, F.lit(1))
@@ -285,24 +293,28 @@ def scopes(piece_array: Column, rule, opens, class_a: tuple[str, ...], class_b:
             F.slice(stack, 1, 1),
             lambda e: F.struct(
                 e["name"].alias("name"), e["start"].alias("start"), e["parent"].alias("parent"),
-                (e["kids"] + t["name"].isin(*class_a).cast("int")).alias("kids"), e["a0"].alias("a0"), e["b0"].alias("b0"),
+                (e["kids"] + 1).alias("kids"), e["a0"].alias("a0"), e["b0"].alias("b0"),
             ),
         )
-        rest = F.slice(stack, F.lit(2), F.size(stack))
-        return F.when(t["open"], F.concat(F.array(entry), counted, rest)).otherwise(stack)
+        return F.when(
+            t["name"].isin(*class_a),
+            F.concat(F.array(entry), counted, F.slice(stack, F.lit(2), F.size(stack))),
+        ).otherwise(F.concat(F.array(entry), stack))
 
     def step(acc: Column, t: Column) -> Column:
         a = acc["a"] + (t["open"] & t["name"].isin(*class_a)).cast("int")
         b = acc["b"] + (t["open"] & t["name"].isin(*class_b)).cast("int")
-        return let(
-            popped_count(acc["stack"], t),
-            lambda k: F.struct(
-                let(F.slice(acc["stack"], k + 1, F.size(acc["stack"])), lambda kept: push(kept, t, a, b)).alias("stack"),
-                F.concat(acc["out"], closed(F.slice(acc["stack"], F.lit(1), k), t["pos"], acc["a"], acc["b"])).alias("out"),
+        def after(k: Column) -> Column:
+            kept = F.when(k == 0, acc["stack"]).otherwise(F.slice(acc["stack"], k + 1, F.size(acc["stack"])))
+            done = closed(F.slice(acc["stack"], F.lit(1), k), t["pos"], acc["a"], acc["b"])
+            return F.struct(
+                F.when(t["open"], let(kept, lambda rest: push(rest, t, a, b))).otherwise(kept).alias("stack"),
+                F.when(k == 0, acc["out"]).otherwise(F.concat(acc["out"], done)).alias("out"),
                 a.alias("a"),
                 b.alias("b"),
-            ),
-        )
+            )
+
+        return let(popped_count(acc["stack"], t), after)
 
     def chunk_step(acc: Column, chunk: Column) -> Column:
         start = F.struct(

@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 
 from corpusweave.functions.binding import let
 
-# Splitting pattern (scheme, netloc, path, query, fragment), the
-# fetchable schemes, and the characters Unicode-aware stripping removes.
+# Splitting pattern (scheme, netloc, path, query, fragment), web
+# URLs, URLs already in normal form, and the characters Unicode-aware stripping removes.
 URL_PATTERN = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
-WEB_SCHEMES = ("http", "https")
+WEB_URL = r"^(?i:https?)://[^/?#]"
+NORMAL_URL = (
+    r"^https?://[a-z0-9.:_-]+/[\x21\x22\x24-\x3a\x3c-\x3e\x40-\x7e]*(?:\?[\x21\x22\x24-\x7e]+)?$"
+)
 WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
@@ -111,7 +114,7 @@ def resolve(base_url: Column, href: Column) -> Column:
 
 
 def is_web_url(url: Column) -> Column:
-    return F.lower(url_part(url, 1)).isin(*WEB_SCHEMES) & (url_part(url, 2) != "")
+    return url.rlike(WEB_URL)
 
 
 def normalize_split(parts: Column) -> Column:
@@ -128,8 +131,9 @@ def normalize_split(parts: Column) -> Column:
 
 
 def normalize(url: Column) -> Column:
-    """Normal form of a URL without its fragment."""
-    return normalize_split(split_url(url))
+    """Normal form of a URL without its fragment. A URL that is normal already,
+    as most are, costs one match."""
+    return F.when(url.rlike(NORMAL_URL), url).otherwise(normalize_split(split_url(url)))
 
 
 def normalize_each(url_array: Column) -> Column:
@@ -137,7 +141,7 @@ def normalize_each(url_array: Column) -> Column:
 
 
 def domain(url: Column) -> Column:
-    return F.lower(url_part(clean(url), 2))
+    return F.lower(F.regexp_extract(clean(url), r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)", 1))
 
 
 def domain_or_unknown(url: Column) -> Column:
@@ -146,8 +150,8 @@ def domain_or_unknown(url: Column) -> Column:
 
 
 def base_url(url: Column) -> Column:
-    u = clean(url)
-    return F.concat(F.lower(url_part(u, 1)), F.lit("://"), F.lower(url_part(u, 2)))
+    """Scheme and netloc in lower case, nothing else."""
+    return F.lower(F.regexp_extract(clean(url), r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?", 0))
 
 
 def robots_url(url: Column) -> Column:

@@ -34,10 +34,12 @@ def link_array(clean: Column, page_url: Column) -> Column:
 
 def image_array(clean: Column, page_url: Column) -> Column:
     """(src, alt) of every image with a web source, duplicates kept."""
-    imgs = H.tags(clean, "img")
-    pairs = F.arrays_zip(
-        F.transform(H.attribute_values(imgs, "src"), lambda s: U.split_url(s)).alias("ref"),
-        H.attribute_values(imgs, "alt").alias("alt"),
+    pairs = let(
+        H.tags(clean, "img"),
+        lambda imgs: F.arrays_zip(
+            F.transform(H.attribute_values(imgs, "src"), U.split_url).alias("ref"),
+            H.attribute_values(imgs, "alt").alias("alt"),
+        ),
     )
     found = let(
         U.split_url(page_url),

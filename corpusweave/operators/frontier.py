@@ -10,7 +10,7 @@ from corpusweave.functions.binding import settled
 
 
 def seed_domains(seeds: DataFrame) -> DataFrame:
-    return seeds.where(U.is_web_url(U.normalize(F.col("url")))).select(U.domain(F.col("url")).alias("domain")).distinct()
+    return seeds.where(U.is_web_url(U.clean(F.col("url")))).select(U.domain(F.col("url")).alias("domain")).distinct()
 
 
 def domain_counts(urls: DataFrame, column: str = "url") -> DataFrame:

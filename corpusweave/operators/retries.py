@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusweave.config import RetryConfig, SimpleBackoffConfig, TimeoutConfig
+from corpusweave.functions.binding import settled
 
 # Status sets, message texts and the type hierarchy.
 TRANSIENT_STATUSES = (408, 425, 429, 500, 502, 503, 504)
@@ -56,7 +57,7 @@ def classified(attempts: DataFrame) -> DataFrame:
     )
     wrapped = kind.isin("timeout", "network") | ((kind == "response_error") & by_status.isNull())
     return (
-        attempts.withColumn("_e", error)
+        settled(attempts, "_e", error)
         .withColumn("error_type", F.col("_e.type"))
         .withColumn("error_base", F.col("_e.message"))
         .withColumn("error_status", F.when(answered & F.col("_e").isNotNull(), status))

@@ -57,7 +57,11 @@ def _domain(u: str) -> str:
 
 def _base(u: str) -> str:
     c = _strip(u)
-    return f"lower({_part(c, 1)}) || '://' || lower({_part(c, 2)})"
+    scheme, netloc = f"lower({_part(c, 1)})", f"lower({_part(c, 2)})"
+    return (
+        f"(case when {scheme} <> '' then {scheme} || ':' else '' end"
+        f" || case when {netloc} <> '' then '//' || {netloc} else '' end)"
+    )
 
 
 def _valid(u: str) -> str:

@@ -462,7 +462,7 @@ def stream_errors(spark, d):
 
 
 url_defrag = _url_column(U.defrag)
-url_valid = _url_column(lambda u: U.is_web_url(U.normalize(u)))
+url_valid = _url_column(lambda u: U.is_web_url(U.clean(u)))
 url_normalize = _url_column(U.normalize)
 url_domain = _url_column(U.domain_or_unknown)
 robots_url = _url_column(U.robots_url)
