@@ -14,6 +14,7 @@ from corpusweave.config import PolitenessConfig
 from corpusweave.functions import urls as U
 from corpusweave.operators.robots import delay_for_agent
 from corpusweave.operators.scans import fifo_gate, ordinals, running_total
+from corpusweave.session import checkpointed
 
 # Key of requests that name no domain, and the trailing window.
 DEFAULT_KEY = "__default__"
@@ -43,6 +44,7 @@ def crawl_delay_schedule(requests: DataFrame, robots_source: DataFrame, config:
     delays = delay_for_agent(robots_source, config.user_agent).where(F.col("delay") > 0).select(
         F.col("base_url").alias("_base"), F.round(F.col("delay") * 1_000_000).cast("long").alias("_delay_us")
     )
+    delays = checkpointed(delays)
     timed = gated.withColumn("_base", U.base_url(F.col("url"))).join(delays, "_base", "left").drop("_base")
     held = timed.where(F.col("_delay_us") > 0)
     free = timed.where(F.coalesce(F.col("_delay_us"), F.lit(0)) <= 0).withColumn("final_us", F.col("start_us"))

@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusweave.functions import urls as U
+from corpusweave.functions.binding import let
 
 # Line breaks of the text format, numeric delays, rule keys.
 LINE_BREAK = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
@@ -120,15 +121,22 @@ def _request_target(url: Column) -> Column:
     return F.when(target == "", "/").otherwise(target)
 
 
-def with_allowed(urls: DataFrame, source: DataFrame, user_agent: str) -> DataFrame:
-    """Add ``allowed``. The first rule whose path is a prefix decides; a site
-    without rules allows. One joined row per URL: the site's rules come as an
-    array, so a busy site does not multiply its URLs by its rules."""
-    rules = rules_for_agent(source, user_agent).withColumnRenamed("base_url", "_base")
-    keyed = urls.withColumn("_base", U.base_url(F.col("url"))).withColumn("_target", _request_target(F.col("url")))
-    hits = F.filter("rules", lambda r: F.startswith(F.col("_target"), r["path"]))
+def with_verdict(urls: DataFrame, rules: DataFrame) -> DataFrame:
+    """Add ``allowed`` under a table of ``rules_for_agent``. The first rule whose
+    path is a prefix decides; a site without rules allows. One joined row per
+    URL: the site's rules come as an array, so a busy site does not multiply
+    its URLs by its rules."""
+    by_site = rules.withColumnRenamed("base_url", "_base")
+    keyed = urls.withColumn("_base", U.base_url(F.col("url")))
+    target = _request_target(F.col("url"))
+    hits = let(target, lambda t: F.filter("rules", lambda r: F.startswith(t, r["path"])))
     verdict = F.coalesce(F.try_element_at(hits, F.lit(1))["allow"], F.lit(True))
-    return keyed.join(rules, "_base", "left").withColumn("allowed", verdict).drop("_base", "_target", "rules")
+    allowed = F.when(F.size("rules") > 0, verdict).otherwise(True)
+    return keyed.join(by_site, "_base", "left").withColumn("allowed", allowed).drop("_base", "rules")
+
+
+def with_allowed(urls: DataFrame, source: DataFrame, user_agent: str) -> DataFrame:
+    return with_verdict(urls, rules_for_agent(source, user_agent))
 
 
 def robots_blocked(urls: DataFrame, source: DataFrame, user_agent: str, respect_robots: bool = True) -> DataFrame:

@@ -16,15 +16,17 @@ from pyspark.sql import functions as F
 from corpusweave.config import CrawlConfig
 from corpusweave.functions import html as H
 from corpusweave.functions import urls as U
-from corpusweave.functions.binding import settled
+from corpusweave.functions.binding import let, settled
 from corpusweave.operators import extract as X
 from corpusweave.operators import frontier as FR
 from corpusweave.operators import robots as R
 from corpusweave.operators.scans import ordinals
-from corpusweave.session import checkpointed
+from corpusweave.session import checkpointed, written
 
-# A frontier or budget of at most this many narrow rows (some tens of MB) may be
-# broadcast, or sorted through a top-k; larger ones are shuffled.
+# A frontier up to this measured size is broadcast to the edges; a larger one is
+# joined by a shuffle. A budget up to SMALL_ROWS is taken by a top-k; a larger
+# one by rank.
+SMALL_BYTES = 64 * 1024 * 1024
 SMALL_ROWS = 100_000
 
 
@@ -43,11 +45,14 @@ def link_graph(pages: DataFrame) -> LinkGraph:
     touched. Links resolve against the normalised URL, on the pruned page."""
     keyed = settled(pages, "_key", U.normalize(F.col("url")))
     chosen = keyed.groupBy("_key").agg(F.min("page_id").alias("page_id")).select("page_id")
-    kept = keyed.join(chosen, "page_id", "left_semi").where(F.length("html") > 0)
-    staged = kept.select(F.col("_key").alias("src"), H.pruned(F.col("html")).alias("_p"))
-    links = staged.select("src", U.normalize_each(X.link_array(F.col("_p"), F.col("src"))).alias("links"))
-    edges = links.select("src", F.posexplode("links").alias("pos", "dst"))
-    return LinkGraph(edges, kept.select(F.col("_key").alias("url")))
+    staged = keyed.select("page_id", F.col("_key").alias("src"), F.col("html"))
+    links = let(H.pruned(F.col("html")), lambda p: U.normalize_each(X.link_array(p, F.col("src"))))
+    # Bodies stay where they were read: only links and keys are shuffled.
+    narrow = settled(staged.where(F.length("html") > 0), "links", links).select("page_id", "src", "links")
+    kept = narrow.join(chosen, "page_id", "left_semi")
+    edges = kept.select("src", F.posexplode("links").alias("pos", "dst"))
+    corpus = keyed.where(F.length("html") > 0).select("page_id", F.col("_key").alias("url")).join(chosen, "page_id", "left_semi")
+    return LinkGraph(edges, corpus.select("url"))
 
 
 def _seed_frontier(seeds: DataFrame, domains: DataFrame | None, config: CrawlConfig) -> DataFrame:
@@ -58,11 +63,11 @@ def _seed_frontier(seeds: DataFrame, domains: DataFrame | None, config: CrawlCon
     return first.select("url", F.array("seq").alias("path"), F.lit(None).cast("string").alias("discoverer"))
 
 
-def _outcome(level: DataFrame, corpus: DataFrame, robots_source: DataFrame | None, config: CrawlConfig) -> DataFrame:
+def _outcome(level: DataFrame, corpus: DataFrame, rules: DataFrame | None, config: CrawlConfig) -> DataFrame:
     present = corpus.select("url", F.lit(True).alias("_present"))
     known = level.join(present, "url", "left")
-    if robots_source is not None and config.respect_robots:
-        known = R.with_allowed(known, robots_source, config.user_agent)
+    if rules is not None:
+        known = R.with_verdict(known, rules)
     else:
         known = known.withColumn("allowed", F.lit(True))
     reason = (
@@ -81,10 +86,16 @@ def _first_rows(df: DataFrame, limit: int, *order: str) -> DataFrame:
     return ordinals(df, [], list(order), "_rank").where(F.col("_rank") < limit).drop("_rank")
 
 
-def _expand(visited: DataFrame, n_rows: int, edges: DataFrame) -> DataFrame:
+def _size(level: DataFrame) -> tuple[int, int]:
+    """Rows of a checkpointed level, and the bytes its URLs and paths take."""
+    row = level.agg(F.count("*"), F.sum(F.octet_length("url") + 4 * F.size("path") + 32)).first()
+    return row[0], row[1] or 0
+
+
+def _expand(visited: DataFrame, n_bytes: int, edges: DataFrame) -> DataFrame:
     """Every link of the given pages with its position path, best one per URL."""
     open_pages = visited.where(F.col("status") == "processed").select(F.col("url").alias("src"), "path")
-    if n_rows <= SMALL_ROWS:
+    if n_bytes <= SMALL_BYTES:
         open_pages = F.broadcast(open_pages)
     reached = edges.join(open_pages, "src").select(
         F.col("dst").alias("url"), F.struct(F.concat("path", F.array(F.col("pos").cast("int"))).alias("path"), "src").alias("via")
@@ -109,8 +120,11 @@ def crawl(
     allowed = FR.crawlable(
         graph.edges.withColumnRenamed("dst", "url"), None, domains, config.exclude_patterns, config.include_patterns
     ).select("src", "pos", F.col("url").alias("dst"))
-    edges = checkpointed(allowed)
-    corpus = checkpointed(graph.corpus.distinct())
+    edges = written(allowed, "edges")
+    corpus = written(graph.corpus.distinct(), "corpus")
+    rules = None
+    if robots_source is not None and config.respect_robots:
+        rules = checkpointed(R.rules_for_agent(robots_source, config.user_agent))
     frontier = _seed_frontier(seeds, domains, config)
     seed_frontier = frontier
     visited: DataFrame | None = None
@@ -118,8 +132,8 @@ def crawl(
     for depth in range(config.max_depth + 1):
         if config.max_pages is not None and config.max_pages - n_visited <= SMALL_ROWS:
             frontier = _first_rows(frontier, config.max_pages - n_visited, "path")
-        level = checkpointed(_outcome(frontier.withColumn("depth", F.lit(depth)), corpus, robots_source, config))
-        n_level = level.count()
+        level = checkpointed(_outcome(frontier.withColumn("depth", F.lit(depth)), corpus, rules, config))
+        n_level, n_bytes = _size(level)
         if n_level == 0:
             visited = level if visited is None else visited
             break
@@ -128,7 +142,7 @@ def crawl(
         spent = config.max_pages is not None and n_visited >= config.max_pages
         if depth == config.max_depth or spent:
             break
-        frontier = FR.unknown_only(_expand(level, n_level, edges), visited)
+        frontier = FR.unknown_only(_expand(level, n_bytes, edges), visited)
     if config.max_pages is not None and n_visited > config.max_pages:
         visited = _first_rows(visited, config.max_pages, "depth", "path")
     out = visited.select("url", "depth", "path", "discoverer", "status", "reason")
@@ -136,7 +150,7 @@ def crawl(
         return out
     out = checkpointed(out)
     inner = out.where(F.col("depth") < config.max_depth)
-    reached = _expand(inner, n_visited, edges).unionByName(seed_frontier)
+    reached = _expand(inner, _size(inner)[1], edges).unionByName(seed_frontier)
     queued = FR.unknown_only(reached.groupBy("url").agg(F.min("path").alias("path")), out)
     return out.unionByName(
         queued.select(

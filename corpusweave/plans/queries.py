@@ -367,9 +367,15 @@ def robots_rules(spark, d):
 
 
 def robots_allowed(spark, d):
-    urls, sites = _url_dim(spark, d), _sites(spark, d)
-    out = [R.with_allowed(urls, sites, ua).select("url", F.lit(ua).alias("user_agent"), "allowed") for ua in (BOT, READER)]
-    return out[0].unionByName(out[1])
+    sites = _sites(spark, d)
+    judged = _url_dim(spark, d)
+    for name, user_agent in (("bot", BOT), ("reader", READER)):
+        judged = R.with_allowed(judged, sites, user_agent).withColumnRenamed("allowed", name)
+    verdicts = F.array(
+        F.struct(F.lit(BOT).alias("user_agent"), F.col("bot").alias("allowed")),
+        F.struct(F.lit(READER).alias("user_agent"), F.col("reader").alias("allowed")),
+    )
+    return judged.select("url", F.inline(verdicts))
 
 
 def robots_delays(spark, d):

@@ -55,6 +55,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Store a table that is read many times as parquet in the shared folder, so
+    that later reads prune columns and filter at the scan."""
+    path = run_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
