@@ -17,6 +17,8 @@ from corpusweave.functions.binding import let, settled
 
 LIST_TAGS = ("ul", "ol", "li")
 TABLE_TAGS = ("table", "tr", "td", "th")
+LISTS = "array<struct<type:string,items:array<string>>>"
+TABLES = "array<array<array<string>>>"
 
 
 # -- array columns over cleaned markup --------------------------------------
@@ -162,11 +164,15 @@ def tables_from(piece_array: Column, elements: Column) -> Column:
 
 
 def list_array(clean: Column) -> Column:
-    return let(H.pieces(clean, LIST_TAGS), lambda p: let(list_scopes(p), lambda e: lists_from(p, e)))
+    """Lists of a page; a page without a list tag costs one match."""
+    found = let(H.pieces(clean, LIST_TAGS), lambda p: let(list_scopes(p), lambda e: lists_from(p, e)))
+    return F.when(clean.rlike(r"(?i)<[uo]l[\s/>]"), found).otherwise(F.array().cast(LISTS))
 
 
 def table_array(clean: Column) -> Column:
-    return let(H.pieces(clean, TABLE_TAGS), lambda p: let(table_scopes(p), lambda e: tables_from(p, e)))
+    """Tables of a page; a page without a table tag costs one match."""
+    found = let(H.pieces(clean, TABLE_TAGS), lambda p: let(table_scopes(p), lambda e: tables_from(p, e)))
+    return F.when(clean.rlike(r"(?i)<table[\s/>]"), found).otherwise(F.array().cast(TABLES))
 
 
 # -- exploded tables --------------------------------------------------------

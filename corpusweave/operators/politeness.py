@@ -16,15 +16,17 @@ from corpusweave.operators.robots import delay_for_agent
 from corpusweave.operators.scans import fifo_gate, ordinals, running_total
 from corpusweave.session import checkpointed
 
-# Key of requests that name no domain, and the trailing window.
+# Keys of requests that name no domain, when they are paced and
+# when they are counted, and the trailing window.
 DEFAULT_KEY = "__default__"
+UNKNOWN_KEY = "unknown"
 TRAILING_US = 1_000_000
 ORDER = ["arrival_us", "req_id"]
 
 
-def _keyed(requests: DataFrame) -> DataFrame:
+def _keyed(requests: DataFrame, blank_key: str = DEFAULT_KEY) -> DataFrame:
     blank = F.coalesce(F.col("domain"), F.lit("")) == ""
-    return requests.withColumn("domain", F.when(blank, DEFAULT_KEY).otherwise(F.col("domain")))
+    return requests.withColumn("domain", F.when(blank, blank_key).otherwise(F.col("domain")))
 
 
 def rate_schedule(requests: DataFrame, config: PolitenessConfig) -> DataFrame:
@@ -74,6 +76,7 @@ def trailing_counts(requests: DataFrame, per_domain: bool = False) -> DataFrame:
     count is a running total of entries minus exits.
     """
     keys = ["domain"] if per_domain else []
+    requests = _keyed(requests) if per_domain else requests
     came = requests.select(*keys, F.col("arrival_us").alias("at_us"), F.lit(1).alias("d"))
     left = requests.select(*keys, (F.col("arrival_us") + TRAILING_US + 1).alias("at_us"), F.lit(-1).alias("d"))
     level = running_total(came.unionByName(left), keys, "at_us", F.col("d"), "trailing")
@@ -123,7 +126,7 @@ def concurrency_profile(requests: DataFrame, per_domain: bool = False) -> DataFr
     """Active requests after each instant something started or ended, from
     [arrival_us, end_us) intervals."""
     keys = ["domain"] if per_domain else []
-    timed = requests.where(F.col("end_us") > F.col("arrival_us"))
+    timed = (_keyed(requests, UNKNOWN_KEY) if per_domain else requests).where(F.col("end_us") > F.col("arrival_us"))
     starts = timed.select(*keys, F.col("arrival_us").alias("at_us"), F.lit(1).alias("d"))
     ends = timed.select(*keys, F.col("end_us").alias("at_us"), F.lit(-1).alias("d"))
     return running_total(starts.unionByName(ends), keys, "at_us", F.col("d"), "active")

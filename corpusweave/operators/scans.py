@@ -2,9 +2,13 @@
 
 A running value over one hot key, or over the whole log, would put every row of
 it into one window task. Here rows are range-partitioned by (keys, order), each
-range is scanned on its own, and a table with one row per (key, range) carries
-totals from range to range. The local scan is checkpointed because both steps
+range is scanned on its own, and what earlier ranges of the same key add up to
+is carried over. The local scan is written once, because the scan and the carry
 must see the same ranges.
+
+Ranges follow the key order, so each range border splits at most one key: there
+are fewer carries than ranges, however many keys there are, and broadcasting
+them is safe.
 """
 
 from __future__ import annotations
@@ -13,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from corpusweave.session import checkpointed, shuffle_width
+from corpusweave.session import shuffle_width, written
 
 BUCKET = "_range"
 
@@ -32,15 +36,20 @@ def _earlier(keys: list[str]):
     return W.partitionBy(*by).orderBy(BUCKET).rowsBetween(W.unboundedPreceding, -1)
 
 
+def _carried(local: DataFrame, carries: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
+    """Attach the carries of split keys; there are fewer of them than ranges."""
+    split = carries.where(F.coalesce(*names).isNotNull()).select(*keys, BUCKET, *names)
+    return local.join(F.broadcast(split), [*keys, BUCKET], "left")
+
+
 def ordinals(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
     """0-based position of each row within its keys; ``order`` must be unique there."""
     w = _local_window(keys, order)
-    local = checkpointed(_bucketed(df, keys, order).withColumn("_rn", F.row_number().over(w).cast("long") - 1))
+    local = written(_bucketed(df, keys, order).withColumn("_rn", F.row_number().over(w).cast("long") - 1), "scan")
     totals = local.groupBy(*keys, BUCKET).agg(F.count("*").alias("_n"))
-    offsets = totals.select(*keys, BUCKET, F.coalesce(F.sum("_n").over(_earlier(keys)), F.lit(0)).alias("_off"))
-    return (
-        local.join(offsets, [*keys, BUCKET]).withColumn(name, F.col("_off") + F.col("_rn")).drop("_off", "_rn", BUCKET)
-    )
+    carries = totals.withColumn("_off", F.sum("_n").over(_earlier(keys)))
+    position = F.coalesce("_off", F.lit(0)) + F.col("_rn")
+    return _carried(local, carries, keys, ["_off"]).withColumn(name, position).drop("_off", "_rn", BUCKET)
 
 
 def running_total(df: DataFrame, keys: list[str], at: str, delta: Column, name: str) -> DataFrame:
@@ -50,10 +59,11 @@ def running_total(df: DataFrame, keys: list[str], at: str, delta: Column, name:
     """
     steps = df.groupBy(*keys, at).agg(F.sum(delta).alias("_d"))
     w = _local_window(keys, [at]).rowsBetween(W.unboundedPreceding, 0)
-    local = checkpointed(_bucketed(steps, keys, [at]).withColumn("_s", F.sum("_d").over(w)))
+    local = written(_bucketed(steps, keys, [at]).withColumn("_s", F.sum("_d").over(w)), "scan")
     totals = local.groupBy(*keys, BUCKET).agg(F.sum("_d").alias("_t"))
-    offsets = totals.select(*keys, BUCKET, F.coalesce(F.sum("_t").over(_earlier(keys)), F.lit(0)).alias("_off"))
-    return local.join(offsets, [*keys, BUCKET]).select(*keys, at, (F.col("_s") + F.col("_off")).alias(name))
+    carries = totals.withColumn("_off", F.sum("_t").over(_earlier(keys)))
+    total = F.col("_s") + F.coalesce("_off", F.lit(0))
+    return _carried(local, carries, keys, ["_off"]).select(*keys, at, total.alias(name))
 
 
 def fifo_gate(
@@ -69,16 +79,14 @@ def fifo_gate(
     ordered = _local_window(keys, order).rowsBetween(W.unboundedPreceding, 0)
     local = _bucketed(df, keys, order).withColumn("_gap", interval.cast("long"))
     local = local.withColumn("_d", F.sum("_gap").over(ordered))
-    local = checkpointed(local.withColumn("_m", F.max(F.col(ready) - F.col("_d")).over(ordered)))
-    totals = local.groupBy(*keys, BUCKET).agg(
-        F.sum("_gap").alias("_t"), F.max("_m").alias("_bm"),
-        (F.max(last) if last else F.lit(None).cast("long")).alias("_last"),
-    )
+    local = written(local.withColumn("_m", F.max(F.col(ready) - F.col("_d")).over(ordered)), "scan")
+    totals = local.groupBy(*keys, BUCKET).agg(F.sum("_gap").alias("_t"), F.max("_m").alias("_bm"))
     earlier = _earlier(keys)
-    offsets = totals.withColumn("_off", F.coalesce(F.sum("_t").over(earlier), F.lit(0)))
-    carried = offsets.select(
-        *keys, BUCKET, "_off", F.greatest(F.max(F.col("_bm") - F.col("_off")).over(earlier), F.col("_last")).alias("_carry")
+    carries = totals.withColumn("_off", F.sum("_t").over(earlier)).withColumn(
+        "_carry", F.max(F.col("_bm") - F.coalesce("_off", F.lit(0))).over(earlier)
     )
-    start = F.col("_off") + F.col("_d") + F.greatest(F.col("_carry"), F.col("_m") - F.col("_off"))
-    out = local.join(carried, [*keys, BUCKET]).withColumn(name, start)
+    offset = F.coalesce("_off", F.lit(0))
+    before = F.greatest("_carry", last) if last else F.col("_carry")
+    start = offset + F.col("_d") + F.greatest(before, F.col("_m") - offset)
+    out = _carried(local, carries, keys, ["_off", "_carry"]).withColumn(name, start)
     return out.drop("_off", "_gap", "_d", "_m", "_carry", BUCKET)

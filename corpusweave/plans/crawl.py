@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusweave.config import CrawlConfig
@@ -55,6 +55,11 @@ def link_graph(pages: DataFrame) -> LinkGraph:
     return LinkGraph(edges, corpus.select("url"))
 
 
+def seeds_from(spark: SparkSession, start_urls: list[str]) -> DataFrame:
+    """(seq, url) from a start list in its order."""
+    return spark.createDataFrame(list(enumerate(start_urls)), "seq long, url string")
+
+
 def _seed_frontier(seeds: DataFrame, domains: DataFrame | None, config: CrawlConfig) -> DataFrame:
     candidates = FR.crawlable(
         FR.normalized(seeds.select("seq", "url")), None, domains, config.exclude_patterns, config.include_patterns

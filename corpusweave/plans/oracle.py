@@ -358,7 +358,7 @@ _ERROR_STATS = """select cast(sum((error_type = 'TransientError')::int) as bigin
     cast(sum((outcome = 'failed')::int) as bigint) as final_failures,
     cast(sum((outcome = 'failed' and error_type = 'PermanentError')::int) as bigint) as permanent_error_urls,
     cast(sum(cast(round(retry_delay * 1000000000) as hugeint)) as double) / count(retry_delay) / 1e9 as average_retry_delay
-  from (select *, coalesce(retryable, false) as r from ran)"""
+  from ran"""
 
 _SUMMARY = _with(_CLEAN, _LINKS, f"""link_sums as (
   select page_id, count(*) as n, array_to_string(list(dst_url order by pos)[1:5], ' ') as first_links from links group by page_id)""") + f"""
@@ -371,10 +371,6 @@ _LOOKUP = (_CLEAN, _LINKS, _URLS, """fetched as (
   select u.url, coalesce(arg_min(html, page_id), '') as html from (select distinct url from url_list) u left join pages using (url) group by u.url)""")
 
 
-def _case_list(head: str, values: list[str]) -> str:
-    return ", ".join([head, *values])
-
-
 ORACLE: dict[str, str] = {
     "corpus_scan": "select url, html from pages",
     "batch_lookup": _with(*_LOOKUP) + "select url, html from fetched",
@@ -560,6 +556,12 @@ from requests""",
 from ran where outcome = 'failed'""",
     "permanent_errors": _with(*_ATTEMPT_LOG) + "select url, message from ran where outcome = 'failed' and error_type = 'PermanentError'",
     "error_stats": _with(*_ATTEMPT_LOG) + _ERROR_STATS,
+    "error_report": _with(*_ATTEMPT_LOG) + """
+select 'error_stats' as section, cast(null as varchar) as url, cast(null as varchar) as message, cast(null as double) as retry_delay,
+  count(error_type) as total_error_events from ran
+union all select 'error_history', url, message, null, null from ran where outcome = 'failed'
+union all select 'permanent_errors', url, message, null, null from ran where outcome = 'failed' and error_type = 'PermanentError'
+union all select 'retry_delays', url, null, retry_delay, null from ran where retry_delay is not null""",
     "stream_visited": _with(_REQUESTS) + "select distinct 'https://' || domain || '/' || day_no as url from requests",
     "stream_rate": _with(_REQUESTS) + """select cast(arrival_us // 1000000 * 1000000 as bigint) as window_us, domain, count(*) as n
 from requests group by 1, 2""",

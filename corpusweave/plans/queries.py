@@ -443,7 +443,12 @@ def error_stats(spark, d):
 
 
 def error_report(spark, d):
-    return RT.error_report(checkpointed(_replayed(spark, d)), RETRY)
+    report = RT.error_report(checkpointed(_replayed(spark, d)), RETRY)
+    field = lambda name: F.get_json_object("body", f"$.{name}")
+    return report.select(
+        "section", field("url").alias("url"), field("message").alias("message"),
+        field("retry_delay").cast("double").alias("retry_delay"), field("total_error_events").cast("long").alias("total_error_events"),
+    )
 
 
 def _user_days(spark, d):

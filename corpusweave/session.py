@@ -60,7 +60,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     that later reads prune columns and filter at the scan."""
     path = run_dir(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def shuffle_width(spark: SparkSession) -> int:

@@ -24,7 +24,7 @@ def site(spark):
 
 
 def seeds(spark, *urls):
-    return spark.createDataFrame(list(enumerate(urls)), "seq long, url string")
+    return C.seeds_from(spark, list(urls))
 
 
 def run(spark, graph, config, *urls, **kw):
