@@ -15,13 +15,15 @@ def corpus_scan(pages: DataFrame) -> DataFrame:
 def batch_lookup(urls: DataFrame, pages: DataFrame) -> DataFrame:
     """One row per requested URL with its body, ``''`` when there is none.
 
-    The corpus is reduced to requested URLs before the first page of a
-    repeated URL is picked, so unrequested bodies are never shuffled for it.
+    The page that answers a URL is chosen on (url, page_id) alone, reduced
+    before the shuffle, so a URL with very many copies is no burden. Bodies
+    then move at most once, by page_id.
     """
     wanted = urls.select("url").distinct()
-    hits = pages.select("url", "page_id", "html").join(wanted, "url", "left_semi")
-    first = hits.groupBy("url").agg(F.min_by("html", "page_id").alias("html"))
-    return wanted.join(first, "url", "left").select("url", F.coalesce("html", F.lit("")).alias("html"))
+    first = pages.groupBy("url").agg(F.min("page_id").alias("page_id")).join(wanted, "url", "left_semi")
+    found = pages.select("page_id", "html").join(first, "page_id").select("url", F.coalesce("html", F.lit("")).alias("html"))
+    missing = wanted.join(first, "url", "left_anti").select("url", F.lit("").alias("html"))
+    return found.unionByName(missing)
 
 
 def is_fetched(html: Column) -> Column:

@@ -117,10 +117,10 @@ def replay(attempts: DataFrame, config: RetryConfig) -> DataFrame:
 
     A URL stops at its first attempt that succeeds, is not retryable, has
     reached its error's limit, or is the last allowed; a shorter log is
-    ``pending``. The stop is a minimum, so a hot URL is reduced before the
-    shuffle and the join back can split it.
+    ``pending``. Later attempts never run, so they are dropped first and no URL
+    keeps more than ``max_retries + 1`` rows.
     """
-    log = classified(attempts)
+    log = classified(attempts.where(F.col("attempt") <= config.max_retries))
     e, a = F.col("error_type"), F.col("attempt")
     log = log.withColumn("retryable", is_retryable(e, config)).withColumn("retry_limit", retry_limit(e, config))
     last = (e.isNull()) | ~F.col("retryable") | (a >= F.col("retry_limit")) | (a == config.max_retries)
@@ -176,7 +176,7 @@ def error_stats(replayed: DataFrame, config: RetryConfig) -> DataFrame:
 def simple_backoff(attempts: DataFrame, config: SimpleBackoffConfig) -> DataFrame:
     """Replay of the plain policy: any failure is retried, doubling the wait.
     ``backoff`` is NULL where no wait followed."""
-    log = classified(attempts)
+    log = classified(attempts.where(F.col("attempt") <= config.max_retries))
     e, a = F.col("error_type"), F.col("attempt")
     stops = log.groupBy("url").agg(F.min(F.when(e.isNull() | (a >= config.max_retries), a)).alias("stop"))
     ran = log.join(stops, "url").where(F.col("stop").isNull() | (a <= F.col("stop")))

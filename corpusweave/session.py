@@ -24,6 +24,9 @@ def build_session(app: str = "corpusweave", master: str | None = None, **conf: s
     return builder.getOrCreate()
 
 
+_own_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder for checkpoints and written intermediates.
 
@@ -36,9 +39,10 @@ def shared_dir(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    own = tempfile.mkdtemp(prefix="corpusweave-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    app = spark.sparkContext.applicationId
+    if app not in _own_dirs:
+        _own_dirs[app] = tempfile.mkdtemp(prefix="corpusweave-")
+    return _own_dirs[app]
 
 
 def run_dir(spark: SparkSession, label: str) -> str:
