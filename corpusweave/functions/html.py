@@ -21,7 +21,7 @@ NODE, OPEN, BODY = "\x01", "\x02", "\x03"
 # Markup patterns. Attribute runs are quote-aware and possessive,
 # so one odd tag cannot make matching recurse or backtrack without end.
 _ATTRS = r"""[^>=]*+(?:=\s*+(?:"[^"]*+"|'[^']*+')?+[^>=]*+){0,200}+"""
-COMMENT = r"<!--.*?(?:-->|\z)"
+COMMENT = r"!--.*?(?:-->|\z)"
 TAG = r"(?s)<[/!?a-zA-Z](?:" + _ATTRS + r"|[^>]*+)(?:>|\z)"
 RAW_TEXT = ("script", "style")
 PRUNED = ("script", "style", "noscript")
@@ -42,13 +42,14 @@ VOID_TAGS = (
 
 
 def _element(name: str) -> str:
-    return rf"<{name}(?=[\s/>]){_ATTRS}>.*?(?:</{name}\s*+>|\z)"
+    return rf"{name}(?=[\s/>]){_ATTRS}>.*?(?:</{name}\s*+>|\z)"
 
 
 def without(html: Column, names: tuple[str, ...]) -> Column:
     """Replace comments and whole named elements by a node boundary; whichever
     starts first wins, so a script may quote a comment and the reverse."""
-    pattern = "(?is)" + "|".join([COMMENT, *(_element(n) for n in names)])
+    # One leading "<" lets matching skip ahead instead of trying every name.
+    pattern = "(?is)<(?:" + "|".join([COMMENT, *(_element(n) for n in names)]) + ")"
     return F.regexp_replace(F.translate(html, NODE + OPEN + BODY, ""), pattern, NODE)
 
 
