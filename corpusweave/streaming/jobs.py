@@ -8,9 +8,6 @@ addition of ours: rows later than one are dropped.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,17 +37,18 @@ def visited_once(stream: DataFrame, horizon: str | None = None, time_column: str
     return urls.withWatermark(time_column, horizon).dropDuplicatesWithinWatermark(["url"])
 
 
-def _first_of_each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for urls in batches:
-        yield urls.drop_duplicates("url")
-
-
 def visited_urls(stream: DataFrame) -> DataFrame:
     """The visited set as bare URLs. Repeats within a task's batch are dropped
     before the shuffle, which keyed deduplication alone would not do, so one
     very frequent URL does not land on one task."""
+
+    # Local, so that it travels to executors that lack this package.
+    def first_of_each(batches):
+        for urls in batches:
+            yield urls.drop_duplicates("url")
+
     urls = stream.select(U.normalize(F.col("url")).alias("url"))
-    return urls.mapInPandas(_first_of_each, "url string").dropDuplicates(["url"])
+    return urls.mapInPandas(first_of_each, "url string").dropDuplicates(["url"])
 
 
 def request_rate(stream: DataFrame, per_domain: bool = True, window: str = "1 second", slide: str | None = None, lateness: str = "1 minute") -> DataFrame:
