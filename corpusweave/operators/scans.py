@@ -38,8 +38,13 @@ def _earlier(keys: list[str]):
 
 def _carried(local: DataFrame, carries: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
     """Attach the carries of split keys; there are fewer of them than ranges."""
-    split = carries.where(F.coalesce(*names).isNotNull()).select(*keys, BUCKET, *names)
-    return local.join(F.broadcast(split), [*keys, BUCKET], "left")
+    split = carries.where(F.coalesce(*names).isNotNull()).select(
+        *(F.col(k).alias(f"_of_{k}") for k in keys), F.col(BUCKET).alias("_of_range"), *names
+    )
+    same = F.col(BUCKET) == F.col("_of_range")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+    return local.join(F.broadcast(split), same, "left").drop("_of_range", *(f"_of_{k}" for k in keys))
 
 
 def ordinals(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
