@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusweave.llm import mixing, secrets, url_lm, warc
+from corpusweave.llm import ann, embdedup, mixing, secrets, simhash, url_lm, warc
 from corpusweave.llm.oracle import LLM_ORACLE  # noqa: F401
 from corpusweave.session import run_dir
 from corpusweave.sources.tables import table
@@ -32,6 +32,19 @@ def op2_warc(spark: SparkSession, d: str) -> DataFrame:
     return warc.read_archive(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_ann(spark: SparkSession, d: str) -> DataFrame:
+    vectors = table(spark, d, "embeddings")
+    return ann.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
+def op6_simhash(spark: SparkSession, d: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, d, "documents"))
+
+
+def op8_embedding_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return embdedup.linked(table(spark, d, "embeddings"))
+
+
 def op9_mix(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix_report(table(spark, d, "documents"))
 
@@ -41,5 +54,7 @@ def op10_secrets(spark: SparkSession, d: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op1_url_filter, op2_warc, op9_mix, op10_secrets)
+    q.__name__: q for q in (
+        op1_url_filter, op2_warc, op3_ann, op6_simhash, op8_embedding_dedup, op9_mix, op10_secrets,
+    )
 }
