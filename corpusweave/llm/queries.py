@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusweave.llm import ann, embdedup, mixing, secrets, simhash, url_lm, warc
+from corpusweave.llm import ann, bpe, embdedup, mixing, secrets, simhash, url_lm, warc
 from corpusweave.llm.oracle import LLM_ORACLE  # noqa: F401
 from corpusweave.session import run_dir
 from corpusweave.sources.tables import table
@@ -37,6 +37,12 @@ def op3_ann(spark: SparkSession, d: str) -> DataFrame:
     return ann.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
 
 
+def op5_bpe(spark: SparkSession, d: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.digests(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op6_simhash(spark: SparkSession, d: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, d, "documents"))
 
@@ -55,6 +61,6 @@ def op10_secrets(spark: SparkSession, d: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q for q in (
-        op1_url_filter, op2_warc, op3_ann, op6_simhash, op8_embedding_dedup, op9_mix, op10_secrets,
+        op1_url_filter, op2_warc, op3_ann, op5_bpe, op6_simhash, op8_embedding_dedup, op9_mix, op10_secrets,
     )
 }
