@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusweave.llm import ann, bpe, embdedup, mixing, secrets, simhash, url_lm, warc
+from corpusweave.llm import ann, bpe, embdedup, langid, mixing, quality, secrets, simhash, url_lm, warc
 from corpusweave.llm.oracle import LLM_ORACLE  # noqa: F401
 from corpusweave.session import run_dir
 from corpusweave.sources.tables import table
@@ -37,6 +37,10 @@ def op3_ann(spark: SparkSession, d: str) -> DataFrame:
     return ann.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
 
 
+def op4_quality(spark: SparkSession, d: str) -> DataFrame:
+    return quality.judge(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
 def op5_bpe(spark: SparkSession, d: str) -> DataFrame:
     import public_tokenizers
 
@@ -47,6 +51,10 @@ def op6_simhash(spark: SparkSession, d: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, d, "documents"))
 
 
+def op7_language(spark: SparkSession, d: str) -> DataFrame:
+    return langid.judge(table(spark, d, "documents"))
+
+
 def op8_embedding_dedup(spark: SparkSession, d: str) -> DataFrame:
     return embdedup.linked(table(spark, d, "embeddings"))
 
@@ -61,6 +69,6 @@ def op10_secrets(spark: SparkSession, d: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q for q in (
-        op1_url_filter, op2_warc, op3_ann, op5_bpe, op6_simhash, op8_embedding_dedup, op9_mix, op10_secrets,
+        op1_url_filter, op2_warc, op3_ann, op4_quality, op5_bpe, op6_simhash, op7_language, op8_embedding_dedup, op9_mix, op10_secrets,
     )
 }
