@@ -28,6 +28,8 @@ HEX = r"[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "markov")
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+# An ordinary identifier: letters, joined by single marks, with nothing of the alphabet around it.
+_WORD = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z_-]{4})[A-Za-z]+(?:[_-][A-Za-z]+)*(?![A-Za-z0-9+/_=-])"
 SPAN = "struct<start:int,kind:int,end:int>"
 _BLOCK = 512
 
@@ -39,7 +41,8 @@ class SecretConfig:
     ``min_value``: shortest value of an assignment. ``min_run``: shortest run
     the models judge. ``min_ratio``: mean log ratio per transition from which a
     run counts as random. ``uniform``: share of the uniform distribution in the
-    random model, ``floor`` in the ordinary one.
+    random model, ``floor`` in the ordinary one. ``lean``: weight of a symbol's
+    own frequency against the transitions seen.
     """
 
     sample_docs: int = 10_000
@@ -48,6 +51,7 @@ class SecretConfig:
     min_ratio: float = 0.5
     uniform: float = 0.5
     floor: float = 0.02
+    lean: float = 4.0
 
 
 def _matches(text: Column, pattern: str, kind: int, keep=None) -> Column:
@@ -104,7 +108,7 @@ def _run_pattern(shortest: int) -> str:
 
 def labelled_samples(documents: DataFrame, config: SecretConfig = SecretConfig()) -> DataFrame:
     """``(token, secret)`` from up to ``sample_docs`` documents, chosen by a hash
-    of doc_id: pattern values, and words that no pattern touches, each once."""
+    of doc_id: pattern values, and words of letters that no pattern touches, each once."""
     ids = documents.select("doc_id").where(F.col("doc_id").isNotNull()).distinct()
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(config.sample_docs)
     text = F.col("text")
@@ -112,7 +116,7 @@ def labelled_samples(documents: DataFrame, config: SecretConfig = SecretConfig()
     rows = rows.select("text", F.explode(F.array(base_spans(text, config))).alias("base"))
     value = lambda m: F.regexp_replace(m, r"^.*[\s:=\"']", "")
     secrets = F.transform("base", lambda s: value(_cut_out(text, s)))
-    words = F.regexp_extract_all(F.regexp_replace(text, ASSIGN + "|" + ACCESS + "|" + HEX, " "), F.lit("[A-Za-z0-9_-]{4,}"), 0)
+    words = F.regexp_extract_all(F.regexp_replace(text, ASSIGN + "|" + ACCESS + "|" + HEX, " "), F.lit(_WORD), 0)
     labelled = F.concat(
         F.transform(secrets, lambda t: F.struct(t.alias("token"), F.lit(True).alias("secret"))),
         F.transform(words, lambda t: F.struct(t.alias("token"), F.lit(False).alias("secret"))),
@@ -143,13 +147,17 @@ def train(samples: DataFrame, config: SecretConfig = SecretConfig()) -> list[flo
     )
     filled = written(grid.join(F.broadcast(counts), ["a", "b"], "left").fillna(0), "secret-counts")
     rows = filled.groupBy("a").agg(F.sum("yes").alias("yes_a"), F.sum("no").alias("no_a"))
+    single = filled.groupBy("b").agg(F.sum("yes").alias("yes_b"), F.sum("no").alias("no_b"))
+    total = filled.agg(F.sum("yes").alias("yes"), F.sum("no").alias("no")).first()
 
-    def mixed(n, total, share):
-        known = F.when(F.col(total) > 0, F.col(n) / F.col(total)).otherwise(1.0 / size)
+    def mixed(label, share):
+        """Transitions lean on the symbol's own frequency, and that on the uniform distribution."""
+        alone = (F.col(f"{label}_b") + 1) / F.lit(float(total[label] + size))
+        known = (F.col(label) + config.lean * alone) / (F.col(f"{label}_a") + config.lean)
         return (1 - share) * known + share / size
 
-    ratio = F.log(mixed("yes", "yes_a", config.uniform)) - F.log(mixed("no", "no_a", config.floor))
-    out = filled.join(F.broadcast(rows), "a").select("a", "b", ratio.alias("r")).orderBy("a", "b")
+    ratio = F.log(mixed("yes", config.uniform)) - F.log(mixed("no", config.floor))
+    out = filled.join(F.broadcast(rows), "a").join(F.broadcast(single), "b").select("a", "b", ratio.alias("r")).orderBy("a", "b")
     return [row["r"] for row in out.collect()]
 
 
