@@ -282,8 +282,9 @@ def fit(documents: DataFrame, labels: DataFrame, config: QualityConfig = Quality
 
 
 def scored(documents: DataFrame, model: QualityModel, columns: list[str]) -> DataFrame:
-    """``columns`` of ``documents`` and ``_score``, the probability that the text
-    is good. Null and empty texts are scored as texts without words."""
+    """``_row``, a struct of ``columns`` of ``documents``, and ``_score``, the
+    probability that the text is good. Null and empty texts are scored as texts
+    without words."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
     fields = [F.col(f"`{c}`") for c in columns]
     packed = documents.select(F.struct(*fields).alias("_row"), *([] if "text" in columns else ["text"]))
@@ -298,7 +299,7 @@ def scored(documents: DataFrame, model: QualityModel, columns: list[str]) -> Dat
             yield pa.RecordBatch.from_arrays([row, pa.array(probabilities(x, vocabulary.model))], ["_row", "_score"])
 
     schema = T.StructType([packed.schema["_row"], T.StructField("_score", T.DoubleType())])
-    return packed.mapInArrow(run, schema).select("_row.*", "_score")
+    return packed.mapInArrow(run, schema)
 
 
 def judge(documents: DataFrame, labels: DataFrame, config: QualityConfig = QualityConfig()) -> DataFrame:
@@ -309,7 +310,7 @@ def judge(documents: DataFrame, labels: DataFrame, config: QualityConfig = Quali
     """
     found = scored(documents, fit(documents, labels, config), ["doc_id"])
     held = F.coalesce(crc_mod(F.col("doc_id"), config.fold) == 0, F.lit(False)).alias("held_out")
-    return found.select(
+    return found.select("_row.doc_id", "_score").select(
         "doc_id", held, F.col("_score").alias("score"), (F.col("_score") >= config.cut).cast("int").alias("predicted")
     )
 
@@ -317,4 +318,4 @@ def judge(documents: DataFrame, labels: DataFrame, config: QualityConfig = Quali
 def accepted(documents: DataFrame, labels: DataFrame, config: QualityConfig = QualityConfig()) -> DataFrame:
     """The documents that score ``cut`` or more, with their columns."""
     found = scored(documents, fit(documents, labels, config), documents.columns)
-    return found.where(F.col("_score") >= config.cut).select(*(f"`{c}`" for c in documents.columns))
+    return found.where(F.col("_score") >= config.cut).select("_row.*")

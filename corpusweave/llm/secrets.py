@@ -176,21 +176,20 @@ def _ratio(token: Column, model: list[float]) -> Column:
 
 
 def scan(documents: DataFrame, model: list[float], config: SecretConfig = SecretConfig()) -> DataFrame:
-    """``documents`` with ``_base`` and ``_spans``: arrays of (start, kind, end).
+    """``row, base, spans``: the document as a struct, and arrays of (start, kind, end).
 
-    ``_spans`` are the pattern spans and the runs the models add where no
-    pattern span is. Null texts are read as empty and have none.
+    ``spans`` are the pattern spans and the runs the models add where no pattern
+    span is. Null texts are read as empty and have none.
     """
     text = F.coalesce("text", F.lit(""))
     runs = _matches(text, _run_pattern(config.min_run), 3)
-    rows = documents.select("*", F.explode(F.array(F.struct(base_spans(text, config).alias("base"), runs.alias("runs")))).alias("_f"))
-    base = F.col("_f.base")
+    found = F.explode(F.array(F.struct(base_spans(text, config).alias("base"), runs.alias("runs")))).alias("found")
+    rows = documents.select(F.struct("*").alias("row"), found)
+    base, text = F.col("found.base"), F.col("row.text")
     added = F.filter(
-        F.filter("_f.runs", lambda r: ~_overlaps(base, r)), lambda r: _ratio(_cut_out(text, r), model) >= config.min_ratio
-    )
-    return rows.select(
-        *(F.col(c) for c in documents.columns), base.alias("_base"), F.explode(F.array(F.array_sort(F.concat(base, added)))).alias("_spans")
+        F.filter("found.runs", lambda r: ~_overlaps(base, r)), lambda r: _ratio(_cut_out(text, r), model) >= config.min_ratio
     )
+    return rows.select("row", base.alias("base"), F.explode(F.array(F.array_sort(F.concat(base, added)))).alias("spans"))
 
 
 def listed(spans: Column) -> Column:
@@ -206,10 +205,10 @@ def find_secrets(documents: DataFrame, config: SecretConfig = SecretConfig()) ->
     and all spans. Repeated rows and null doc_ids stay; extra columns go."""
     docs = documents.select("doc_id", "text")
     model = train(labelled_samples(docs, config), config)
-    count = lambda k: F.size(F.filter("_base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}")
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}")
     return scan(docs, model, config).select(
-        "doc_id", count(0), count(1), count(2), F.sha2(listed(F.col("_base")), 256).alias("base_sha256"),
-        listed(F.col("_spans")).alias("spans"),
+        "row.doc_id", count(0), count(1), count(2), F.sha2(listed(F.col("base")), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
     )
 
 
@@ -217,26 +216,25 @@ def redact(documents: DataFrame, config: SecretConfig = SecretConfig(), mark: st
     """``documents`` with each secret replaced by ``mark``; overlapping spans
     become one. ``n_chars`` follows where it is a column. Texts without a secret
     are unchanged, null ones stay null."""
-    model = train(labelled_samples(documents, config), config)
-    # One fold over the sorted spans: text between them is kept as pieces.
+    model = train(labelled_samples(documents.select("doc_id", "text"), config), config)
+    text, some = F.col("row.text"), F.size("spans") > 0
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
     def step(acc, s):
-        gap = F.array(F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))
-        fresh = s["start"] >= acc["at"]
-        first = F.size(acc["out"]) == 0
+        """Text since the last span and a mark, unless the span begins inside it."""
+        gap = F.array(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))
+        fresh = (s["start"] >= acc["at"]) | (F.size(acc["out"]) == 0)
         return F.struct(
             F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(fresh | first, F.concat(acc["out"], gap)).otherwise(acc["out"]).alias("out"),
+            F.when(fresh, F.concat(acc["out"], gap)).otherwise(acc["out"]).alias("out"),
         )
 
     def joined(acc):
-        tail = F.substring(F.col("text"), acc["at"] + 1, F.length("text"))
-        return F.concat(F.array_join(acc["out"], ""), tail)
+        return F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text)))
 
-    clean = F.when(F.size("_spans") > 0, let(F.aggregate("_spans", start, step), joined)).otherwise(F.col("text"))
-    rows = scan(documents, model, config).withColumn("text", F.explode(F.array(clean)))
+    clean = F.when(some, let(F.aggregate("spans", start, step), joined)).otherwise(text)
+    rows = scan(documents, model, config).select("row", some.alias("some"), F.explode(F.array(clean)).alias("clean"))
+    new = {"text": F.col("clean")}
     if "n_chars" in documents.columns:
-        changed = F.when(F.size("_spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-        rows = rows.withColumn("n_chars", changed)
-    return rows.select(*documents.columns)
+        new["n_chars"] = F.when(F.col("some"), F.length("clean").cast("long")).otherwise(F.col("row.n_chars"))
+    return rows.select(*((new[c] if c in new else F.col(f"row.`{c}`")).alias(c) for c in documents.columns))

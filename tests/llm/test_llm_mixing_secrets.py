@@ -113,7 +113,7 @@ def test_redaction_keeps_the_rest(spark):
         (1, "a token=abcdef1 b", "en", "s", 17), (2, None, None, None, None), (3, "nothing", "en", "s", 5),
         (4, "\U0001f600 token=" + HEXES * 2 + " AKIA" + "Q" * 16, "en", "s", 0), (4, "a token=abcdef1 b", "en", "s", 17),
     ]
-    docs = spark.createDataFrame(rows, DOCS)
+    docs = spark.createDataFrame(rows, DOCS).withColumn("base", F.lit(1)).withColumn("row", F.lit(2)).withColumn("spans", F.lit("x"))
     out = secrets.redact(docs)
     assert out.columns == docs.columns
     got = sorted(((r.doc_id, r.text, r.n_chars) for r in out.collect()), key=str)
