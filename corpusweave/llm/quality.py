@@ -170,7 +170,8 @@ def _contexts(config: QualityConfig):
                 words = WORDS.findall(text.as_py() or "")
                 for at in range(0, len(words), _CHUNK):
                     part = words[at : at + _CHUNK]
-                    v = vocabulary.index[vocabulary.ids(part)].astype(np.float64)
+                    ids = vocabulary.ids(part)  # may replace the tables
+                    v = vocabulary.index[ids].astype(np.float64)
                     around = np.zeros_like(v)
                     for d in range(1, config.window + 1):
                         around[d:] += v[:-d]
