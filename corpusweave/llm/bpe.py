@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import codecs
 import json
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _PART = 1 << 16  # characters of a text that are cut into pieces at a time
 _LONG = 4096  # bytes from which a piece is streamed, not kept
-_KEPT = 400_000  # entries of a table of pieces or of borders; then it starts anew
+_KEPT = 250_000  # entries of each half of the table of pieces, and of the table of borders
 _OUT = 8 << 20
 
 
@@ -73,6 +73,7 @@ class MergeList:
         self.longest = max(map(len, self.ids), default=1)
         self._fits: dict[int, bool] = {}
         self._whole: dict[int, bool] = {}
+        self._layout = None
         self.sufficient_lookahead = self._lookahead()
         # Tokens that their own bytes encode to: no other can end a prefix.
         self.ending = {b: i for b, i in self.ids.items() if self.whole(i)}
@@ -105,6 +106,13 @@ class MergeList:
             most = max(most, far)
         return most + self.longest
 
+    def layout(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All tokens' bytes in one array, with each one's start and length."""
+        if self._layout is None:
+            lengths = np.array([len(b) for b in self.bytes])
+            self._layout = np.frombuffer(b"".join(self.bytes), dtype=np.uint8), np.cumsum(lengths) - lengths, lengths
+        return self._layout
+
     def fits(self, a: int, b: int) -> bool:
         """Whether ``a, b`` is the encoding of the two tokens' bytes.
 
@@ -234,28 +242,34 @@ class Encoder:
         self.cut = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
 
     def _piece(self, piece: str) -> bytes:
-        """The transducer's step over a short piece, all of which is read before any is emitted."""
+        """A short piece is read whole before anything is emitted, so only the
+        states that a token reaches are visited, the longest token first. A
+        position that leads nowhere is left for good: the prefix before it has
+        no other encoding."""
         m = self.merges
-        data, ids, known, packed = piece.encode(), m.ending, m._fits, m.packed
+        data, ids, known, packed, longest = piece.encode(), m.ending, m._fits, m.packed, m.longest
         if (token := ids.get(data)) is not None:
             return packed[token]
-        last = [-1]
-        for end in range(1, len(data) + 1):
-            for start in range(max(0, end - m.longest), end):
-                token = ids.get(data[start:end])
-                if token is None:
-                    continue
-                if not start:
-                    break
-                prior = last[start]
-                if (fit := known.get(prior << 32 | token)) or (fit is None and m.fits(prior, token)):
-                    break
-            last.append(token)
-        found, end = [], len(data)
-        while end:
-            found.append(packed[last[end]])
-            end -= len(m.bytes[last[end]])
-        return b"".join(found[::-1])
+        n, at, prior, path, dead = len(data), 0, -1, [], set()
+        end = min(n, longest)
+        while at < n:
+            while end > at:
+                token = ids.get(data[at:end])
+                if token is not None and end not in dead:
+                    if prior < 0:
+                        break
+                    fit = known.get(prior << 32 | token)
+                    if fit or (fit is None and m.fits(prior, token)):
+                        break
+                end -= 1
+            if end > at:
+                path.append(token)
+                prior, at, end = token, end, min(n, end + longest)
+            else:
+                dead.add(at)
+                end, at = at - 1, at - len(m.bytes[path.pop()])
+                prior = path[-1] if path else -1
+        return b"".join(map(packed.__getitem__, path))
 
     def _streamed(self, piece: str) -> Iterator[bytes]:
         t = Transducer(self.merges)
@@ -292,12 +306,16 @@ class Encoder:
 class _Kept(dict):
     def __init__(self, make):
         super().__init__()
-        self.make = make
+        self.make, self.old = make, {}
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= _KEPT:
+        found = self.old.get(piece)
+        if found is None:
+            found = self.make(piece)
+        if len(self) >= _KEPT:  # what is used again comes back from the older half
+            self.old = dict(self)
             self.clear()
-        found = self[piece] = self.make(piece)
+        self[piece] = found
         return found
 
 
@@ -320,11 +338,14 @@ class Decoder:
     appears with its last byte, bytes that are no UTF-8 become U+FFFD."""
 
     def __init__(self, merges: MergeList):
-        self.table = merges.bytes
+        self.flat, self.starts, self.lengths = merges.layout()
         self.state = codecs.getincrementaldecoder("utf-8")("replace")
 
-    def feed(self, ids: Iterable[int]) -> str:
-        return self.state.decode(b"".join(map(self.table.__getitem__, ids)))
+    def feed(self, ids: np.ndarray) -> str:
+        lengths = self.lengths[ids]
+        ends = np.cumsum(lengths)
+        at = np.repeat(self.starts[ids] - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
+        return self.state.decode(self.flat[at].tobytes())
 
     def close(self) -> str:
         return self.state.decode(b"", final=True)
@@ -332,7 +353,7 @@ class Decoder:
 
 def decoded(merges: MergeList, packed: bytes) -> str:
     d, ids = Decoder(merges), np.frombuffer(packed, dtype="<u4")
-    found = [d.feed(ids[at : at + _PART].tolist()) for at in range(0, len(ids), _PART)]
+    found = [d.feed(ids[at : at + _PART]) for at in range(0, len(ids), _PART)]
     return "".join([*found, d.close()])
 
 

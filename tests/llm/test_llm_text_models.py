@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -110,10 +111,10 @@ def test_parts_join_to_the_text():
 def test_decoder_takes_bytes_as_they_come(encoder, library):
     want = library.encode("\U0001f600漢 x", add_special_tokens=False).ids
     d = bpe.Decoder(encoder.merges)
-    assert "".join(d.feed([i]) for i in want) + d.close() == "\U0001f600漢 x"
+    assert "".join(d.feed(np.array([i])) for i in want) + d.close() == "\U0001f600漢 x"
     for cut in range(1, len(want)):
         d = bpe.Decoder(encoder.merges)
-        assert d.feed(want[:cut]) + d.close() == library.decode(want[:cut], skip_special_tokens=False)
+        assert d.feed(np.array(want[:cut])) + d.close() == library.decode(want[:cut], skip_special_tokens=False)
 
 
 def test_documents_are_encoded_whole(spark, library):
@@ -187,6 +188,19 @@ def test_long_texts_are_pooled_in_chunks(monkeypatch):
     assert np.allclose(whole, quality.features([text], 1, quality._Vocabulary(model)))
 
 
+def test_vocabulary_grows_and_starts_anew(monkeypatch):
+    monkeypatch.setattr(quality, "_KEPT", 90_000)
+    vocabulary = quality._Vocabulary(quality.QualityModel(quality.QualityConfig()))
+    for start in (0, 60_000, 120_000):
+        words = [f"w{k}" for k in range(start, start + 60_000)]
+        ids = vocabulary.ids(words)
+        assert (vocabulary.index[ids[[0, -1]]] == quality.index_vectors([words[0], words[-1]], 32, 4, 5)).all()
+        assert len(vocabulary.at) <= 150_000
+    many = iter([pa.RecordBatch.from_arrays([pa.array([" ".join(f"x{k}" for k in range(70_000)), None])], ["text"])])
+    out = list(quality._contexts(quality.QualityConfig())(many))
+    assert out[0].num_rows > 70_000
+
+
 LANGS = {
     "aa": "the ing tion ther with", "ab": "the und ein ich sch", "ba": "que ment eaux oui leur", "bb": "que cion ado ista los",
 }
