@@ -8,7 +8,7 @@ text node, ``OPEN`` and ``BODY`` enclose a tag the caller cares about.
 
 from __future__ import annotations
 
-from html.entities import html5, name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,7 +20,7 @@ NODE, OPEN, BODY = "\x01", "\x02", "\x03"
 
 # Markup patterns. Attribute runs are quote-aware and possessive,
 # so one odd tag cannot make matching recurse or backtrack without end.
-_ATTRS = r"""[^>=]*+(?:=\s*+(?:"[^"]*+"|'[^']*+')?+[^>=]*+){0,200}+"""
+_ATTRS = r"""[^>=]*+(?:=\s*+(?:"[^"]*+"|'[^']*+')?+[^>=]*+)*+"""
 COMMENT = r"!--.*?(?:-->|\z)"
 TAG = r"(?s)<[/!?a-zA-Z](?:" + _ATTRS + r"|[^>]*+)(?:>|\z)"
 RAW_TEXT = ("script", "style")
@@ -67,6 +67,12 @@ def visible(html: Column) -> Column:
     return without(html, PRUNED + HIDDEN_STRINGS)
 
 
+def read_aloud(html: Column) -> Column:
+    """Page whose element texts count: ruby and template strings are no text of
+    the heading, cell or item around them."""
+    return without(html, RAW_TEXT + HIDDEN_STRINGS)
+
+
 # -- entities ---------------------------------------------------------------
 
 def _legacy_names() -> list[str]:
@@ -74,12 +80,22 @@ def _legacy_names() -> list[str]:
 
 
 def _name_map() -> Column:
-    """Names to characters as one constant, not hundreds of expressions."""
-    pairs = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'"}
+    """Every named reference, without its semicolon, as one constant."""
+    pairs = {name[:-1]: char for name, char in html5.items() if name.endswith(";")}
     text = NODE.join(f"{name}{OPEN}{char}" for name, char in sorted(pairs.items()))
     return F.str_to_map(F.lit(text), F.lit(NODE), F.lit(OPEN))
 
 
+def _windows_1252() -> tuple[str, str]:
+    """Codes 128 to 159 stand for what Windows-1252 has there, if anything."""
+    pairs = {chr(code): bytes([code]).decode("cp1252", "ignore") for code in range(0x80, 0xA0)}
+    pairs = {control: char for control, char in pairs.items() if char}
+    return "".join(pairs), "".join(pairs.values())
+
+
+_WINDOWS_1252 = _windows_1252()
+
+
 def _from_code(reference: Column) -> Column:
     """Character of ``123`` or ``x7B``; codes outside Unicode become U+FFFD."""
     digits = F.regexp_replace(F.ltrim(reference, F.lit("xX")), "^0+(?=.)", "")
@@ -87,7 +103,7 @@ def _from_code(reference: Column) -> Column:
     wide = F.when(short, F.when(reference.rlike("^[xX]"), digits).otherwise(F.conv(digits, 10, 16)))
     padded = F.lpad(F.upper(wide), 8, "0")
     ok = padded.between("00000004", "0000D7FF") | padded.between("0000E000", "0010FFFF")
-    return F.when(ok, F.decode(F.unhex(padded), "UTF-32")).otherwise("\ufffd")
+    return F.translate(F.when(ok, F.decode(F.unhex(padded), "UTF-32")).otherwise("\ufffd"), *_WINDOWS_1252)
 
 
 def decode_entities(text: Column, in_attribute: bool = False) -> Column:
@@ -104,10 +120,7 @@ def decode_entities(text: Column, in_attribute: bool = False) -> Column:
         named = F.regexp_extract(part, r"^([A-Za-z][A-Za-z0-9]*);", 1)
         old = F.regexp_extract(part, bare, 1)
         by_name = F.concat(F.try_element_at(names, named), F.substr(part, F.length(named) + 2))
-        by_old = F.concat(
-            F.coalesce(F.try_element_at(names, old), F.try_element_at(names, F.lower(old))),
-            F.substr(part, F.length(old) + 1),
-        )
+        by_old = F.concat(F.try_element_at(names, old), F.substr(part, F.length(old) + 1))
         return (
             F.when(part.startswith("amp;"), F.concat(F.lit("&"), F.substr(part, F.lit(5))))
             .when(part.rlike(number), numeric)
@@ -158,7 +171,8 @@ def tags(clean: Column, name: str) -> Column:
 
 def attribute_values(tag_array: Column, name: str) -> Column:
     """First value of an attribute in each tag; empty where it is absent."""
-    other = r"""(?:[\s/]++[^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?+){0,200}?"""
+    # Every attribute but the wanted one, however many: possessive, so matching neither recurses nor backtracks.
+    other = rf"""(?:[\s/]++(?!{name}\s*+=)[^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?+)*+"""
     value = r"""("[^"]*+"|'[^']*+'|[^\s"'>]++)"""
     pattern = rf"(?is)^<[^\s/>]++{other}[\s/]++{name}\s*+=\s*+{value}"
     quoted = F.transform(tag_array, lambda t: F.regexp_extract(t, pattern, 1))
@@ -206,7 +220,7 @@ def pieces(clean: Column, names: tuple[str, ...] | None) -> Column:
     """
     which = "|".join(names) if names else "[a-zA-Z][^\\s/>]*+"
     marked = F.regexp_replace(clean, rf"(?is)<(/?(?:{which})(?=[\s/>]){_ATTRS})>", f"{OPEN}$1{BODY}")
-    found = F.slice(F.split(untag(marked), OPEN), 2, 1 << 30)
+    found = let(F.split(untag(marked), OPEN), lambda cut: F.slice(cut, F.lit(2), F.size(cut)))
     return F.transform(
         F.transform(found, lambda p: F.split(p, BODY)),
         lambda p: F.struct(

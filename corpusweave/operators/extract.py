@@ -23,19 +23,30 @@ TABLES = "array<array<array<string>>>"
 
 # -- array columns over cleaned markup --------------------------------------
 
+# A host with a bracket that has no partner cannot be resolved at all.
+_BAD_HOST = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?=[^/?#]*[\[\]])(?![^/?#\[\]]*\[[^/?#\[\]]*\][^/?#\[\]]*(?:[/?#]|$))"
+
+
 def link_array(clean: Column, page_url: Column) -> Column:
-    """Absolute web links of a page, first occurrence of each exact string."""
+    """Absolute web links of a page, first occurrence of each exact string; null
+    if a reference has a host that cannot be read."""
     hrefs = F.transform(H.attribute_values(H.tags(clean, "a"), "href"), U.strip)
-    wanted = F.array_distinct(F.filter(hrefs, lambda h: (h != "") & ~h.startswith("#")))
-    absolute = let(
-        U.split_url(page_url),
-        lambda base: F.transform(F.transform(wanted, U.split_url), lambda r: U.resolve_split(base, r)),
-    )
-    return F.array_distinct(F.filter(absolute, U.is_web_url))
+    found = F.array_distinct(F.filter(hrefs, lambda h: (h != "") & ~h.startswith("#")))
+
+    def resolved(wanted: Column) -> Column:
+        absolute = let(
+            U.split_url(page_url),
+            lambda base: F.transform(F.transform(wanted, U.split_url), lambda r: U.resolve_split(base, r)),
+        )
+        bad = F.exists(wanted, lambda h: F.rlike(h, F.lit(_BAD_HOST)))
+        return F.when(~bad, F.array_distinct(F.filter(absolute, U.is_web_url)))
+
+    return let(found, resolved)
 
 
 def image_array(clean: Column, page_url: Column) -> Column:
-    """(src, alt) of every image with a web source, duplicates kept."""
+    """(src, alt) of every image with a web source, duplicates kept; null if a
+    source has a host that cannot be read."""
     pairs = let(
         H.tags(clean, "img"),
         lambda imgs: F.arrays_zip(
@@ -52,7 +63,9 @@ def image_array(clean: Column, page_url: Column) -> Column:
             ),
         ),
     )
-    return F.filter(found, lambda i: U.is_web_url(i["src"]))
+    return F.when(
+        ~F.exists(pairs, lambda p: F.rlike(p["ref"]["raw"], F.lit(_BAD_HOST))), F.filter(found, lambda i: U.is_web_url(i["src"]))
+    )
 
 
 def _strings(*names: str) -> Column:
@@ -197,9 +210,9 @@ def text_table(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", H.visible_text(F.col("html")).alias("text"))
 
 
-def _array_rows(pages: DataFrame, name: str, build) -> DataFrame:
+def _array_rows(pages: DataFrame, name: str, build, clean=H.markup) -> DataFrame:
     """Pages with one column of facts, computed once per page."""
-    facts = let(H.markup(F.col("html")), build)
+    facts = let(clean(F.col("html")), build)
     return settled(pages.select("page_id", "url", facts.alias(name)), name, F.col(name))
 
 
@@ -217,20 +230,20 @@ def image_table(pages: DataFrame) -> DataFrame:
 
 
 def heading_table(pages: DataFrame) -> DataFrame:
-    headings = _array_rows(pages, "headings", H.heading_items)
+    headings = _array_rows(pages, "headings", H.heading_items, H.read_aloud)
     return headings.select("page_id", "url", F.posexplode("headings").alias("pos", "i")).select(
         "page_id", "url", "pos", "i.level", "i.text"
     )
 
 
 def cell_table(pages: DataFrame) -> DataFrame:
-    tables = _array_rows(pages, "tables", table_array).select("page_id", "url", F.posexplode("tables").alias("table_no", "t"))
+    tables = _array_rows(pages, "tables", table_array, H.read_aloud).select("page_id", "url", F.posexplode("tables").alias("table_no", "t"))
     rows = tables.select("page_id", "url", "table_no", F.posexplode("t").alias("row_no", "r"))
     return rows.select("page_id", "url", "table_no", "row_no", F.posexplode("r").alias("cell_no", "text"))
 
 
 def list_item_table(pages: DataFrame) -> DataFrame:
-    lists = _array_rows(pages, "lists", list_array).select("page_id", "url", F.posexplode("lists").alias("list_no", "l"))
+    lists = _array_rows(pages, "lists", list_array, H.read_aloud).select("page_id", "url", F.posexplode("lists").alias("list_no", "l"))
     return lists.select(
         "page_id", "url", "list_no", F.col("l.type").alias("type"), F.posexplode("l.items").alias("item_no", "text")
     )
@@ -322,7 +335,9 @@ def page_records(pages: DataFrame, missing: Column | None = None) -> DataFrame:
 
     Title and meta come from the page as read; links, images, headings, tables
     and lists from the page after script, style and noscript were removed. A
-    NULL body becomes a parse-failure record; unused fields are pruned.
+    NULL body becomes a parse-failure record. Links or images that cannot be
+    resolved fail by themselves: that part is empty and ``errors`` names it.
+    Unused fields are pruned.
     """
     body = F.coalesce(F.col("html"), F.lit(""))
     failed = F.col("html").isNull()
@@ -331,22 +346,30 @@ def page_records(pages: DataFrame, missing: Column | None = None) -> DataFrame:
         pages = pages.withColumn("missing", missing)
         keep.append("missing")
     staged = pages.select(
-        *keep, "url", failed.alias("_failed"), H.markup(body).alias("_m"), H.pruned(body).alias("_p"),
-        H.visible_text(body).alias("text"),
+        *keep, "url", failed.alias("_failed"), H.markup(body).alias("_m"), H.pruned(body).alias("_p"), H.visible(body).alias("_v"),
     )
-    no_errors = F.array().cast("array<string>")
-    return staged.select(
+    parts = staged.select(
         *keep,
         "url",
+        "_failed",
         H.title_of(F.col("_m")).alias("title"),
-        "text",
-        link_array(F.col("_p"), F.col("url")).alias("links"),
+        H.node_text(H.untag(F.col("_v"))).alias("text"),
+        link_array(F.col("_p"), F.col("url")).alias("_links"),
         F.when(~F.col("_failed"), metadata(F.col("_m"))).alias("metadata"),
-        image_array(F.col("_p"), F.col("url")).alias("images"),
-        H.heading_items(F.col("_p")).alias("headings"),
-        table_array(F.col("_p")).alias("tables"),
-        list_array(F.col("_p")).alias("lists"),
-        F.when(F.col("_failed"), F.array(F.lit("Failed to parse HTML: TypeError"))).otherwise(no_errors).alias("errors"),
+        image_array(F.col("_p"), F.col("url")).alias("_images"),
+        H.heading_items(F.col("_v")).alias("headings"),
+        table_array(F.col("_v")).alias("tables"),
+        list_array(F.col("_v")).alias("lists"),
+    )
+    part_errors = [
+        F.when(F.col("_failed"), "Failed to parse HTML: TypeError"),
+        F.when(F.col("_links").isNull(), "Failed to extract links: ValueError"),
+        F.when(F.col("_images").isNull(), "Failed to extract images: ValueError"),
+    ]
+    return parts.select(
+        *keep, "url", "title", "text", F.coalesce("_links", F.array().cast("array<string>")).alias("links"), "metadata",
+        F.coalesce("_images", F.array().cast("array<struct<src:string,alt:string>>")).alias("images"), "headings", "tables", "lists",
+        F.array_compact(F.array(*part_errors)).alias("errors"),
     )
 
 

@@ -6,36 +6,55 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusweave.operators import extract as X
+from corpusweave.session import written
+
+# Answers up to this measured size are broadcast to the pages.
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def corpus_scan(pages: DataFrame) -> DataFrame:
     return pages.select("url", "html")
 
 
-def batch_lookup(urls: DataFrame, pages: DataFrame) -> DataFrame:
-    """One row per requested URL with its body, ``''`` when there is none.
+def _answers(urls: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame, bool]:
+    """Requested URLs, the page that answers each, and whether the answers are
+    few enough to broadcast.
 
-    The page that answers a URL is chosen on (url, page_id) alone, reduced
-    before the shuffle, so a URL with very many copies is no burden. Bodies
-    then move at most once, by page_id.
+    The page is chosen on (url, page_id) alone, reduced before the shuffle, so a
+    URL with very many copies is no burden.
     """
     wanted = urls.select("url").distinct()
-    first = pages.groupBy("url").agg(F.min("page_id").alias("page_id")).join(wanted, "url", "left_semi")
-    found = pages.select("page_id", "html").join(first, "page_id").select("url", F.coalesce("html", F.lit("")).alias("html"))
-    missing = wanted.join(first, "url", "left_anti").select("url", F.lit("").alias("html"))
-    return found.unionByName(missing)
+    first = written(pages.groupBy("url").agg(F.min("page_id").alias("page_id")).join(wanted, "url", "left_semi"), "answers")
+    size = first.agg(F.sum(F.octet_length("url") + F.lit(64))).first()[0] or 0
+    return wanted, first, size <= BROADCAST_BYTES
+
+
+def _looked_up(urls: DataFrame, pages: DataFrame, value: Column, absent: Column, name: str) -> DataFrame:
+    """``url`` and a value of the page that answers it, or ``absent``.
+
+    The value is taken where the page was read. Up to ``BROADCAST_BYTES`` of
+    answers nothing of a page moves; beyond, the value moves once, by page_id.
+    """
+    wanted, first, few = _answers(urls, pages)
+    values = pages.select("page_id", value.alias(name))
+    found = values.join(F.broadcast(first) if few else first, "page_id").select("url", name)
+    return found.unionByName(wanted.join(first, "url", "left_anti").select("url", absent.alias(name)))
+
+
+def batch_lookup(urls: DataFrame, pages: DataFrame) -> DataFrame:
+    """One row per requested URL with its body, ``''`` when there is none."""
+    return _looked_up(urls, pages, F.coalesce("html", F.lit("")), F.lit(""), "html")
 
 
 def is_fetched(html: Column) -> Column:
     return F.length(F.coalesce(html, F.lit(""))) > 0
 
 
-def fetch_status(fetched: DataFrame) -> DataFrame:
-    return fetched.select(
-        "url",
-        F.when(is_fetched(F.col("html")), "OK").otherwise("ERROR").alias("status"),
-        F.length(F.coalesce("html", F.lit(""))).alias("length"),
-    )
+def fetch_status(urls: DataFrame, pages: DataFrame) -> DataFrame:
+    """Status and body length of each requested URL; only the length leaves a page."""
+    length = F.length(F.coalesce("html", F.lit("")))
+    found = _looked_up(urls, pages, length, F.lit(0), "length")
+    return found.select("url", F.when(F.col("length") > 0, "OK").otherwise("ERROR").alias("status"), "length")
 
 
 def fetch_and_extract(urls: DataFrame, pages: DataFrame) -> DataFrame:

@@ -220,48 +220,3 @@ def error_report(replayed: DataFrame, config: RetryConfig) -> DataFrame:
         .unionByName(line("permanent_errors", permanent_errors(history)))
         .unionByName(line("retry_delays", delays))
     )
-
-
-def error_report_document(replayed: DataFrame, config: RetryConfig, max_entries: int = 100_000) -> DataFrame:
-    """The report as one nested row, for a log small enough to print.
-
-    The number of entries is checked first; larger reports are refused here and
-    written by ``error_report`` instead.
-    """
-    kept = replayed.where(F.col("error_type").isNotNull())
-    if kept.limit(max_entries + 1).count() > max_entries:
-        raise ValueError("too many entries for one document; write error_report() lines instead")
-    stats = error_stats(replayed, config)
-    by_type = [
-        F.struct(F.lit(t).alias("key"), F.col(t).alias("value"))
-        for t in ("TransientError", "PermanentError", "NetworkError", "ParseError")
-    ]
-    history = error_history(replayed).agg(
-        F.array_sort(F.collect_list(F.struct("url", "type", "message", "status_code"))).alias("error_history")
-    )
-    permanent = permanent_errors(error_history(replayed)).agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("url", "message")))).alias("permanent_errors")
-    )
-    delays = replayed.where(F.col("retry_delay").isNotNull()).agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("url", "attempt", "retry_delay"))), lambda d: d["retry_delay"]
-        ).alias("retry_delays")
-    )
-    parts = stats
-    for one_row in (history, permanent, delays):
-        parts = parts.unionByName(one_row, allowMissingColumns=True)
-    joined = parts.agg(*(F.first(c, ignorenulls=True).alias(c) for c in parts.columns))
-    return joined.select(
-        F.struct(
-            F.map_from_entries(F.filter(F.array(*by_type), lambda e: e["value"] > 0)).alias("errors_by_type"),
-            "successful_retries",
-            "failed_after_retries",
-            "average_retry_delay",
-            F.map_keys("permanent_errors").alias("permanent_error_urls"),
-            "total_error_events",
-            "final_failures",
-        ).alias("error_stats"),
-        "error_history",
-        "permanent_errors",
-        "retry_delays",
-    )

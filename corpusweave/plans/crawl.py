@@ -24,10 +24,8 @@ from corpusweave.operators.scans import ordinals
 from corpusweave.session import checkpointed, written
 
 # A frontier up to this measured size is broadcast to the edges; a larger one is
-# joined by a shuffle. A budget up to SMALL_ROWS is taken by a top-k; a larger
-# one by rank.
+# joined by a shuffle. The rows are the same.
 SMALL_BYTES = 64 * 1024 * 1024
-SMALL_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -85,9 +83,7 @@ def _outcome(level: DataFrame, corpus: DataFrame, rules: DataFrame | None, confi
 
 
 def _first_rows(df: DataFrame, limit: int, *order: str) -> DataFrame:
-    """The first ``limit`` rows, by top-k while small and by rank beyond."""
-    if limit <= SMALL_ROWS:
-        return df.orderBy(*order).limit(limit)
+    """The first ``limit`` rows, by rank: no task holds more than its range."""
     return ordinals(df, [], list(order), "_rank").where(F.col("_rank") < limit).drop("_rank")
 
 
@@ -125,7 +121,8 @@ def crawl(
     allowed = FR.crawlable(
         graph.edges.withColumnRenamed("dst", "url"), None, domains, config.exclude_patterns, config.include_patterns
     ).select("src", "pos", F.col("url").alias("dst"))
-    edges = written(allowed, "edges")
+    # No level follows the last one: a crawl of depth 0 needs no links.
+    edges = written(allowed, "edges") if config.max_depth > 0 else allowed
     corpus = written(graph.corpus.distinct(), "corpus")
     rules = None
     if robots_source is not None and config.respect_robots:
@@ -135,7 +132,7 @@ def crawl(
     visited: DataFrame | None = None
     n_visited = 0
     for depth in range(config.max_depth + 1):
-        if config.max_pages is not None and config.max_pages - n_visited <= SMALL_ROWS:
+        if config.max_pages is not None:
             frontier = _first_rows(frontier, config.max_pages - n_visited, "path")
         level = checkpointed(_outcome(frontier.withColumn("depth", F.lit(depth)), corpus, rules, config))
         n_level, n_bytes = _size(level)
@@ -148,8 +145,6 @@ def crawl(
         if depth == config.max_depth or spent:
             break
         frontier = FR.unknown_only(_expand(level, n_bytes, edges), visited)
-    if config.max_pages is not None and n_visited > config.max_pages:
-        visited = _first_rows(visited, config.max_pages, "depth", "path")
     out = visited.select("url", "depth", "path", "discoverer", "status", "reason")
     if not include_queued:
         return out

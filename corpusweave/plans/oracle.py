@@ -198,9 +198,10 @@ _IN_COM = f"{_domain('url')} in (select domain from com_domains)"
 _UNKNOWN = "url not in (select url from known)"
 
 _FRONTIER = _CANDIDATES + (
-    f"""queue as (select cast(page_id * 1000000 + pos as bigint) as seq, {_norm('dst_url')} as url,
+    f"""queue as (select page_id, pos, row_number() over (order by page_id, pos) as seq, {_norm('dst_url')} as url,
       cast(-pos as integer) as priority, 1 as depth from links)""",
-    f"""frontier as (select url, min(seq) as seq, arg_min(priority, seq) as priority, arg_min(depth, seq) as depth
+    f"""frontier as (select url, min(seq) as seq, arg_min(page_id, seq) as page_id, arg_min(pos, seq) as pos,
+      arg_min(priority, seq) as priority, arg_min(depth, seq) as depth
       from queue where {_UNKNOWN} group by url)""",
 )
 
@@ -463,8 +464,8 @@ from (select *, array_to_string(case when segs[-1] in ('.', '..') then steps ||
     "include_filter": _with(*_CANDIDATES) + f"select url from candidates where {_INCLUDED}",
     "link_filter": _with(*_CANDIDATES)
     + f"select url from candidates where {_valid('url')} and {_UNKNOWN} and {_IN_COM} and not ({_EXCLUDED}) and ({_INCLUDED})",
-    "frontier_merge": _with(*_FRONTIER) + "select * from frontier",
-    "frontier_topk": _with(*_FRONTIER) + f"select * from frontier order by priority desc, seq limit {Q.TOP_K}",
+    "frontier_merge": _with(*_FRONTIER) + "select url, page_id, pos, priority, depth from frontier",
+    "frontier_topk": _with(*_FRONTIER) + f"select url, page_id, pos, priority, depth from frontier order by priority desc, seq limit {Q.TOP_K}",
     "depth_lookup": _with(*_FRONTIER) + "select c.url, coalesce(f.depth, 0) as depth from candidates c left join frontier f using (url)",
     "url_state": _with(_REQUESTS, _ATTEMPTS, _classified("attempts")) + """
 select url, case when error_type is null then 'processed' else 'failed' end as state, arg_max(coalesce(error_base, ''), attempt) as reason

@@ -87,7 +87,7 @@ def _com_domains(spark: SparkSession, d: str) -> DataFrame:
 def _queue(spark: SparkSession, d: str) -> DataFrame:
     """Every link as a queue entry, in page and link order."""
     return _edges(spark, d).select(
-        (F.col("page_id") * 1_000_000 + F.col("pos")).alias("seq"),
+        F.struct("page_id", "pos").alias("seq"),
         U.normalize(F.col("dst_url")).alias("url"),
         (-F.col("pos")).alias("priority"),
         F.lit(1).alias("depth"),
@@ -134,7 +134,7 @@ def batch_lookup(spark, d):
 
 
 def fetch_status(spark, d):
-    return L.fetch_status(batch_lookup(spark, d))
+    return L.fetch_status(T.url_list(spark, d), T.table(spark, d, "pages"))
 
 
 def fetch_extract(spark, d):
@@ -266,12 +266,16 @@ def link_filter(spark, d):
     return FR.crawlable(_candidates(spark, d), _known(spark, d), _com_domains(spark, d), EXCLUDE, INCLUDE)
 
 
+def _flat_queue(queue):
+    return queue.select("url", "seq.page_id", "seq.pos", "priority", "depth")
+
+
 def frontier_merge(spark, d):
-    return _frontier(spark, d)
+    return _flat_queue(_frontier(spark, d))
 
 
 def frontier_topk(spark, d):
-    return FR.frontier_topk(_frontier(spark, d), TOP_K)
+    return _flat_queue(FR.frontier_topk(_frontier(spark, d), TOP_K))
 
 
 def depth_lookup(spark, d):

@@ -71,13 +71,16 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+# A scan of at most this many splits is spread over the cores.
+SPREAD_SPLITS = 8
+
+
 def spread_small(df: DataFrame) -> DataFrame:
-    """Let CPU-heavy scans of few files use every core.
+    """Let CPU-heavy scans of a few splits use every core.
 
-    A corpus with at least as many splits as cores is left as it is, so a large
-    scan never shuffles its page bodies.
+    More splits than ``SPREAD_SPLITS`` are left as they are, so no more than
+    that many times the split size of page bodies is ever shuffled here.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
+    splits = df.rdd.getNumPartitions()
+    return df.repartition(cores) if splits <= SPREAD_SPLITS and splits < cores else df

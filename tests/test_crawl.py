@@ -109,7 +109,6 @@ def test_random_graphs_equal_a_sequential_crawl(spark, seed, monkeypatch):
     corpus = spark.createDataFrame([(u,) for u in present], "url string")
     if seed % 2:  # the ways taken by large frontiers and budgets
         monkeypatch.setattr(C, "SMALL_BYTES", 0)
-        monkeypatch.setattr(C, "SMALL_ROWS", 1)
     config = CrawlConfig(max_depth=depth, max_pages=budget)
     crawled = C.crawl(seeds(spark, *start), C.LinkGraph(edges, corpus), config, include_queued=True)
     rows = crawled.collect()

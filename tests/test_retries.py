@@ -120,45 +120,39 @@ def test_replay_equals_a_sequential_model(spark, config):
     assert stats.successful_retries == len([1 for _, ran, _, end in ends if end == "success" and len(ran) > 1])
 
 
-def demo(spark):
-    rows = HTTP("https://example.com/success", 200) + HTTP("https://example.com/temporary-503", 503, 200)
-    rows += HTTP("https://example.com/missing-404", 404) + HTTP("https://example.com/rate-limited-429", 429, 429, 429)
-    config = RetryConfig(max_retries=2, backoff_factor=2.0, base_delay=0.1)
+def harbour(spark):
+    """Two URLs recover, one after a network error; one is refused for good, one never answers."""
+    rows = HTTP("https://dock.example/a", 500, 502, 206) + HTTP("https://dock.example/gone", 410)
+    rows += [("https://dock.example/b", 0, None, "network", "Reset"), ("https://dock.example/b", 1, 200, "http", None)]
+    rows += [("https://dock.example/slow", i, None, "timeout", "TimeoutError") for i in range(3)]
+    config = RetryConfig(max_retries=2, backoff_factor=3.0, base_delay=0.5)
     return RT.replay(log(spark, rows), config), config
 
 
-def test_demo_report(spark):
-    replayed, config = demo(spark)
-    assert replayed.count() == 7
-    report = json.loads(RT.error_report_document(replayed, config).select(F.to_json(F.struct("*")).alias("j")).first().j)
-    missing = "Permanent HTTP error: 404 | url=https://example.com/missing-404 | status_code=404"
-    assert report["error_stats"] == {
-        "errors_by_type": {"TransientError": 4, "PermanentError": 1}, "successful_retries": 1, "failed_after_retries": 1,
-        "average_retry_delay": pytest.approx(0.4 / 3), "permanent_error_urls": ["https://example.com/missing-404"],
-        "total_error_events": 5, "final_failures": 2,
-    }
-    assert report["permanent_errors"] == {"https://example.com/missing-404": missing}
-    assert sorted(report["retry_delays"]) == pytest.approx([0.1, 0.1, 0.2])
-    assert report["error_history"] == [
-        {"url": "https://example.com/missing-404", "type": "PermanentError", "message": missing, "status_code": 404},
-        {"url": "https://example.com/rate-limited-429", "type": "TransientError",
-         "message": "Transient HTTP error: 429 | url=https://example.com/rate-limited-429 | status_code=429", "status_code": 429},
-    ]
-    with pytest.raises(ValueError):
-        RT.error_report_document(replayed, config, max_entries=3)
-
-
-def test_report_sink(spark, tmp_path):
-    replayed, config = demo(spark)
+def report(spark, tmp_path, replayed, config):
     sinks.write_report(RT.error_report(replayed, config), str(tmp_path / "r"))
-    lines = [json.loads(r.value) for r in sinks.read_report(spark, str(tmp_path / "r")).collect()]
-    assert sorted(line["section"] for line in lines) == ["error_history"] * 2 + ["error_stats", "permanent_errors"] + ["retry_delays"] * 3
-
-
-def test_no_errors(spark):
-    replayed = RT.replay(log(spark, HTTP("u", 200)), RetryConfig())
-    report = RT.error_report_document(replayed, RetryConfig()).first()
-    assert report.error_stats.average_retry_delay == 0.0 and report.error_history == [] and report.error_stats.final_failures == 0
+    sections = {}
+    for r in sinks.read_report(spark, str(tmp_path / "r")).collect():
+        line = json.loads(r.value)
+        sections.setdefault(line["section"], []).append(json.loads(line["body"]) if isinstance(line["body"], str) else line["body"])
+    return sections
+
+
+def test_written_report(spark, tmp_path):
+    replayed, config = harbour(spark)
+    got = report(spark, tmp_path, replayed, config)
+    (stats,) = got["error_stats"]
+    assert (stats["TransientError"], stats["PermanentError"], stats["NetworkError"]) == (5, 1, 1)
+    assert (stats["successful_retries"], stats["total_error_events"], stats["final_failures"]) == (2, 7, 2)
+    assert sorted(d["retry_delay"] for d in got["retry_delays"]) == pytest.approx([0.5, 0.5, 0.5, 1.5, 1.5])
+    assert [p["url"] for p in got["permanent_errors"]] == ["https://dock.example/gone"]
+    assert sorted(h["url"] for h in got["error_history"]) == ["https://dock.example/gone", "https://dock.example/slow"]
+
+
+def test_no_errors(spark, tmp_path):
+    got = report(spark, tmp_path, RT.replay(log(spark, HTTP("u", 200)), RetryConfig()), RetryConfig())
+    (stats,) = got.pop("error_stats")
+    assert stats["average_retry_delay"] == 0.0 and stats["final_failures"] == 0 and not any(got.values())
 
 
 def test_simple_backoff(spark):

@@ -20,55 +20,36 @@ def decisions(spark, body, agent, *paths):
     return [got[p] for p in paths]
 
 
-def delay(spark, body, agent):
-    return R.delay_for_agent(source(spark, body), agent).first().delay
-
-
-def model_delays(text):
-    """Sequential reading of crawl delays, for comparison."""
-    found, agents, ruled = {}, [], False
-    for raw in text.splitlines():
-        line = raw.split("#", 1)[0].strip()
-        if not line:
-            agents, ruled = [], False
-        elif ":" in line:
-            key, value = (x.strip() for x in line.split(":", 1))
-            key = key.lower()
-            if key == "user-agent":
-                if ruled:
-                    agents, ruled = [], False
-                agents += [value.lower()] if value else []
-            elif key in ("allow", "disallow", "crawl-delay"):
-                ruled = True
-                if key == "crawl-delay":
-                    try:
-                        number = float(value)
-                    except ValueError:
-                        continue
-                    if number >= 0:
-                        found.update(dict.fromkeys(agents, number))
-    return found
-
-
-def model_delay(found, agent):
-    agent = agent.lower()
-    if agent in found:
-        return found[agent]
-    part = [v for a, v in found.items() if a != "*" and a in agent]
-    return part[0] if part else found.get("*", 0.0)
-
-
-def test_default_rules(spark):
-    body = "\nUser-agent: *\nDisallow: /private\nAllow: /public\nCrawl-delay: 0.5\n"
-    assert decisions(spark, body, "*", "/public/page", "/private/page") == [True, False]
-    assert delay(spark, body, "*") == 0.5
-
-
-def test_specific_agent(spark):
-    body = "\nUser-agent: *\nCrawl-delay: 1\n\nUser-agent: MyBot\nCrawl-delay: 0.25\nDisallow: /blocked\n"
-    assert delay(spark, body, "*") == 1.0
-    assert delay(spark, body, "MyBot/1.0") == 0.25
-    assert decisions(spark, body, "MyBot/1.0", "/blocked/page", "/open") == [False, True]
+# Worked by hand: (file, agent, delay).
+DELAYS = [
+    ("User-agent: crane\nCrawl-delay: 7", "Crane/9", 7.0),
+    ("User-agent: crane\nCrawl-delay: 7", "heron", 0.0),
+    ("User-agent: crane\n\nCrawl-delay: 7", "crane", 0.0),  # the empty line ends the group
+    ("User-agent: crane\n# quiet\nCrawl-delay: 7", "crane", 0.0),  # a line that is only a comment does too
+    ("User-agent: crane\nUser-agent: heron\nCrawl-delay: 3", "heron/2", 3.0),
+    ("User-agent: crane\nDisallow: /x\nUser-agent: heron\nCrawl-delay: 3", "crane", 0.0),  # a rule closes the list of agents
+    ("User-agent: crane\nCrawl-delay: 2\nCrawl-delay: 4", "crane", 4.0),
+    ("User-agent: crane\nCrawl-delay: 2\nCrawl-delay: -4\nCrawl-delay: fast", "crane", 2.0),
+    ("user-AGENT : Crane # bird\ncrawl-DELAY : .5 # s", "crane", 0.5),
+    ("User-agent: *\nCrawl-delay: 9\n\nUser-agent: crane\nCrawl-delay: 1", "stork", 9.0),
+    ("User-agent: *\nCrawl-delay: 9\n\nUser-agent: crane\nCrawl-delay: 1", "big-crane-bot", 1.0),
+    ("User-agent: crane\nCrawl-delay: 1\n\nUser-agent: crane-bot\nCrawl-delay: 6", "crane-bot", 6.0),  # the whole name first
+    ("Crawl-delay: 5\nUser-agent: *\nCrawl-delay: 8", "any", 8.0),
+    ("User-agent:\nCrawl-delay: 5", "any", 0.0),
+]
+
+
+def test_delays_worked_by_hand(spark):
+    for agent in sorted({a for _, a, _ in DELAYS}):
+        cases = [(body, want) for body, a, want in DELAYS if a == agent]
+        got = {r.base_url: r.delay for r in R.delay_for_agent(source(spark, *(b for b, _ in cases)), agent).collect()}
+        assert got == {f"https://h{i}.com": want for i, (_, want) in enumerate(cases)}, agent
+
+
+def test_decisions_worked_by_hand(spark):
+    body = "User-agent: heron\nAllow: /nest/eggs\nDisallow: /nest\n\nUser-agent: *\nDisallow: /reeds\n"
+    assert decisions(spark, body, "heron", "/nest/eggs/1", "/nest/young", "/reeds") == [True, False, True]
+    assert decisions(spark, body, "*", "/nest", "/reeds/a", "/open") == [True, False, True]
 
 
 @pytest.mark.parametrize(("status", "body"), [(404, "User-agent: *\nDisallow: /"), (None, "User-agent: *\nDisallow: /"), (200, None)])
@@ -109,7 +90,6 @@ def test_random_files_equal_the_sequential_readings(spark):
     urls = spark.createDataFrame([(f"https://h{i}.com{p}",) for i in range(len(bodies)) for p in paths], "url string")
     for agent in ("Bot/1.0", "other", "*", "bot2"):
         got = {r.url: r.allowed for r in R.with_allowed(urls, src, agent).collect()}
-        delays = {r.base_url: r.delay for r in R.delay_for_agent(src, agent).collect()}
         for i, body in enumerate(bodies):
             model = RobotFileParser()
             model.parse(body.splitlines())
@@ -118,4 +98,3 @@ def test_random_files_equal_the_sequential_readings(spark):
                     continue
                 url = f"https://h{i}.com{p}"
                 assert got[url] == model.can_fetch(agent, url), (body, agent, p)
-            assert delays[f"https://h{i}.com"] == model_delay(model_delays(body), agent), (body, agent)

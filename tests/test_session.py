@@ -34,8 +34,9 @@ def test_written_tables_keep_rows_and_schema(spark):
     assert empty.count() == 0 and empty.columns == ["id", "a"]
 
 
-def test_small_scans_are_spread(spark):
+def test_only_scans_of_few_splits_are_spread(spark):
     cores = spark.sparkContext.defaultParallelism
     assert session.spread_small(spark.range(10).coalesce(1)).rdd.getNumPartitions() == cores
-    wide = spark.range(0, 100, 1, cores * 2)
-    assert session.spread_small(wide) is wide
+    for n in (cores, session.SPREAD_SPLITS + 1):
+        same = spark.range(0, 100, 1, n)
+        assert session.spread_small(same) is same
