@@ -84,3 +84,17 @@ def spread_small(df: DataFrame) -> DataFrame:
     cores = df.sparkSession.sparkContext.defaultParallelism
     splits = df.rdd.getNumPartitions()
     return df.repartition(cores) if splits <= SPREAD_SPLITS and splits < cores else df
+
+
+def importable(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where the driver has it.
+
+    For sessions whose workers do not inherit the driver's path; a cluster
+    without that folder needs the package installed or passed as py-files.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    parts = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in parts:
+        env["PYTHONPATH"] = os.pathsep.join([*parts, root])
+    return spark
