@@ -18,7 +18,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusweave.llm import bpe, mixing, quality, secrets, simhash
-from corpusweave.session import written
+from corpusweave.session import importable, written
 from corpusweave.sources.tables import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -58,7 +58,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows: one per document of the mix."""
-    docs = table(spark, sf_dir, "documents")
+    docs = table(importable(spark), sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

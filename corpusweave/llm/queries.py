@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusweave.llm import ann, bpe, embdedup, langid, mixing, quality, secrets, simhash, url_lm, warc
 from corpusweave.llm.oracle import LLM_ORACLE  # noqa: F401
-from corpusweave.session import run_dir
+from corpusweave.session import importable, run_dir
 from corpusweave.sources.tables import table
 
 # The rules of the URL filter's contract.
@@ -67,8 +67,13 @@ def op10_secrets(spark: SparkSession, d: str) -> DataFrame:
     return secrets.find_secrets(table(spark, d, "documents"))
 
 
+def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, d: query(importable(spark), d)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (
+    q.__name__: _ready(q)
+    for q in (
         op1_url_filter, op2_warc, op3_ann, op4_quality, op5_bpe, op6_simhash, op7_language, op8_embedding_dedup, op9_mix, op10_secrets,
     )
 }
