@@ -8,9 +8,9 @@ of the Hamming distance of the fingerprints: pairs farther apart than ``radius``
 in the embedding cannot link.
 
 The range join runs on a grid. The 32 coordinates form ``GROUPS`` groups; within
-Manhattan distance 4 at most four groups differ, so at least four agree. A cell
-is the lattice point of four groups, and every pair within the radius shares a
-cell, while two unrelated fingerprints do so once in some 100,000 times. Counts are kept in unary inside one long (two bits a segment), so a cell
+Manhattan distance 4 at most four groups differ, so at least five agree. A cell
+is the lattice point of five groups, and every pair within the radius shares a
+cell, while two unrelated fingerprints do so once in some 300,000 times. Counts are kept in unary inside one long (two bits a segment), so a cell
 key is a mask and a Manhattan distance is the bit count of a XOR.
 
 Pairs of a dense cell are never listed. First every fingerprint of a cell is
@@ -37,7 +37,7 @@ from corpusweave.session import written
 
 SEED = 42
 RADIUS = 4  # the grid below is complete for this distance and any smaller one
-GROUPS = 8
+GROUPS = 9
 _CHUNK = 1 << 16
 _EVEN = 0x5555555555555555
 
