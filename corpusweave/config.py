@@ -64,6 +64,10 @@ class PolitenessConfig:
     def interval_us(self) -> int:
         return round(1_000_000 / self.effective_rps)
 
+    @property
+    def interval_ns(self) -> int:
+        return round(1_000_000_000 / self.effective_rps)
+
 
 @dataclass(frozen=True)
 class RetryConfig:

@@ -41,13 +41,15 @@ def defrag(url: Column) -> Column:
 
 def split_url(url: Column) -> Column:
     """raw, scheme (lower case), netloc, path, query."""
-    cleaned = clean(url)
-    return F.struct(
-        cleaned.alias("raw"),
-        F.lower(url_part(cleaned, 1)).alias("scheme"),
-        url_part(cleaned, 2).alias("netloc"),
-        url_part(cleaned, 3).alias("path"),
-        url_part(cleaned, 4).alias("query"),
+    return let(
+        clean(url),
+        lambda raw: F.struct(
+            raw.alias("raw"),
+            F.lower(url_part(raw, 1)).alias("scheme"),
+            url_part(raw, 2).alias("netloc"),
+            url_part(raw, 3).alias("path"),
+            url_part(raw, 4).alias("query"),
+        ),
     )
 
 

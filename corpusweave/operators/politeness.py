@@ -31,9 +31,15 @@ def _keyed(requests: DataFrame, blank_key: str = DEFAULT_KEY) -> DataFrame:
 
 def rate_schedule(requests: DataFrame, config: PolitenessConfig) -> DataFrame:
     """Add ``start_us``: first-in-first-out admission at the effective rate, per
-    domain or, with ``per_domain=False``, over all requests together."""
+    domain or, with ``per_domain=False``, over all requests together.
+
+    Intervals are added up in nanoseconds, so a rate that is no whole number of
+    microseconds does not drift; a start is the next whole microsecond.
+    """
     keys = ["domain"] if config.per_domain else []
-    return fifo_gate(_keyed(requests), keys, ORDER, "arrival_us", F.lit(config.interval_us), "start_us")
+    fine = _keyed(requests).withColumn("_ns", F.col("arrival_us") * 1000)
+    gated = fifo_gate(fine, keys, ORDER, "_ns", F.lit(config.interval_ns), "_start_ns")
+    return gated.withColumn("start_us", F.expr("(_start_ns + 999) div 1000")).drop("_ns", "_start_ns")
 
 
 def crawl_delay_schedule(requests: DataFrame, robots_source: DataFrame, config: PolitenessConfig) -> DataFrame:
@@ -73,14 +79,16 @@ def trailing_counts(requests: DataFrame, per_domain: bool = False) -> DataFrame:
     """Requests in the second up to and including each request's time.
 
     A request counts from its time until just after one second later, so the
-    count is a running total of entries minus exits.
+    count is a running total of entries minus exits. A request without a time
+    keeps its row, with a null count.
     """
     keys = ["domain"] if per_domain else []
     requests = _keyed(requests) if per_domain else requests
-    came = requests.select(*keys, F.col("arrival_us").alias("at_us"), F.lit(1).alias("d"))
-    left = requests.select(*keys, (F.col("arrival_us") + TRAILING_US + 1).alias("at_us"), F.lit(-1).alias("d"))
+    timed = requests.where(F.col("arrival_us").isNotNull())
+    came = timed.select(*keys, F.col("arrival_us").alias("at_us"), F.lit(1).alias("d"))
+    left = timed.select(*keys, (F.col("arrival_us") + TRAILING_US + 1).alias("at_us"), F.lit(-1).alias("d"))
     level = running_total(came.unionByName(left), keys, "at_us", F.col("d"), "trailing")
-    return requests.join(level.withColumnRenamed("at_us", "arrival_us"), [*keys, "arrival_us"])
+    return requests.join(level.withColumnRenamed("at_us", "arrival_us"), [*keys, "arrival_us"], "left")
 
 
 def trailing_count_at(requests: DataFrame, now_us: Column) -> DataFrame:

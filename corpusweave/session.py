@@ -15,6 +15,13 @@ def build_session(app: str = "corpusweave", master: str | None = None, **conf: s
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Large key sets of streams outgrow the heap.
+        .config(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
+        # Split a skewed join side even where that costs a shuffle later on.
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.ui.enabled", "false")
     )
     if master:

@@ -17,9 +17,6 @@ from corpusweave.operators.scans import fifo_gate
 from corpusweave.session import run_dir
 from corpusweave.sources.tables import with_requests
 
-STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
@@ -62,11 +59,6 @@ def error_counts(stream: DataFrame) -> DataFrame:
     return classified(stream).where(F.col("error_type").isNotNull()).groupBy("error_type").agg(F.count("*").alias("n"))
 
 
-def _use_disk_state(spark: SparkSession) -> None:
-    """Large key sets outgrow the heap; keep state in RocksDB."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_PROVIDER)
-
-
 def _finish(writer, checkpoint: str) -> None:
     writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
@@ -81,7 +73,6 @@ def _batch_writer(path: str):
 
 def run_visited(stream: DataFrame) -> DataFrame:
     spark = stream.sparkSession
-    _use_disk_state(spark)
     out = run_dir(spark, "visited")
     unique = visited_urls(stream)
     _finish(unique.writeStream.format("parquet").option("path", f"{out}/data").outputMode("append"), f"{out}/checkpoint")
@@ -91,7 +82,6 @@ def run_visited(stream: DataFrame) -> DataFrame:
 def run_request_rate(stream: DataFrame, per_domain: bool = True) -> DataFrame:
     """Latest count per window, from updates written batch by batch."""
     spark = stream.sparkSession
-    _use_disk_state(spark)
     out = run_dir(spark, "rate")
     rate = request_rate(stream, per_domain)
     _finish(rate.writeStream.outputMode("update").foreachBatch(_batch_writer(f"{out}/data")), f"{out}/checkpoint")
@@ -103,7 +93,6 @@ def run_request_rate(stream: DataFrame, per_domain: bool = True) -> DataFrame:
 
 def run_error_counts(stream: DataFrame) -> DataFrame:
     spark = stream.sparkSession
-    _use_disk_state(spark)
     out = run_dir(spark, "errors")
     counts = error_counts(stream)
     _finish(counts.writeStream.outputMode("update").foreachBatch(_batch_writer(f"{out}/data")), f"{out}/checkpoint")

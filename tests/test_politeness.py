@@ -125,3 +125,24 @@ def test_ordinals_over_a_hot_key(spark):
     got = scans.ordinals(df, ["k"], ["id"], "i").orderBy("k", "id").collect()
     for key in (False, True):
         assert [r.i for r in got if r.k == key] == list(range(len([r for r in got if r.k == key])))
+
+
+def test_rates_between_microseconds_do_not_drift(spark):
+    log = spark.range(3001).select(F.col("id").alias("req_id"), F.lit("d").alias("domain"), F.lit(0).cast("long").alias("arrival_us"))
+    last = P.rate_schedule(log, PolitenessConfig(requests_per_second=3)).agg(F.max("start_us")).first()[0]
+    assert abs(last - 1_000_000_000) <= 2
+    fast = P.rate_schedule(log, PolitenessConfig(requests_per_second=4_000_000)).agg(F.max("start_us")).first()[0]
+    assert fast == 750
+
+
+def test_requests_without_a_time_keep_their_row(spark):
+    log = spark.createDataFrame([(1, "d", 10), (2, "d", None), (3, "d", 10)], "req_id long, domain string, arrival_us long")
+    got = {r.req_id: r.trailing for r in P.trailing_counts(log).collect()}
+    assert got == {1: 2, 2: None, 3: 2}
+
+
+def test_positions_of_rows_without_a_key(spark):
+    from corpusweave.operators.scans import ordinals
+
+    log = spark.range(4000).select(F.col("id"), F.lit(None).cast("string").alias("key"))
+    assert sorted(r.at for r in ordinals(log, ["key"], ["id"], "at").collect()) == list(range(4000))
