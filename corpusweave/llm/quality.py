@@ -16,12 +16,12 @@ is a parameter. Scoring reads every text whole, in chunks of bounded size.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,8 +30,6 @@ from pyspark.sql import types as T
 from corpusweave.llm.training import crc_mod, sampled, seeded
 from corpusweave.session import written
 
-WORDS = regex.compile(r"[^\x20\x09-\x0D]+")
-
 
 @dataclass(frozen=True)
 class QualityConfig:
@@ -63,12 +61,12 @@ class _Shapes(dict):
 
 
 _SHAPES = _Shapes()
-_RUNS = regex.compile(r"(.)\1+", regex.DOTALL)
+_RUNS = re.compile(r"([^\n])\1+")
 
 
-def shape(word: str) -> str:
-    """``IN!!`` is ``A!``, ``The`` is ``Aa``; at most eight runs count."""
-    return "\x00" + _RUNS.sub(r"\1", word.translate(_SHAPES))[:8]
+def shapes(words: list[str]) -> list[str]:
+    """``IN!!`` is ``A!``, ``The`` is ``Aa``; at most eight runs count. Words hold no line end."""
+    return ["\x00" + s[:8] for s in _RUNS.sub(r"\1", "\n".join(words).translate(_SHAPES)).split("\n")] if words else []
 
 
 def index_vectors(words: list[str], dim: int, nonzero: int, seed: int) -> np.ndarray:
@@ -79,7 +77,7 @@ def index_vectors(words: list[str], dim: int, nonzero: int, seed: int) -> np.nda
     for k in range(nonzero):
         at = (h >> np.uint64(8 * k)) % np.uint64(dim)
         sign = np.where((h >> np.uint64(32 + k)) & np.uint64(1), 1, -1)
-        np.add.at(out, (rows, at.astype(np.int64)), sign)
+        out[rows, at.astype(np.int64)] += sign  # each row once
     return out / np.maximum(np.sqrt((out * out).sum(axis=1, keepdims=True)), 1e-9)
 
 
@@ -112,10 +110,11 @@ class _Vocabulary:
     def ids(self, words: list[str]) -> np.ndarray:
         if len(self.at) > _KEPT:
             self.at, self.size = {}, 0
-        new = [w for w in dict.fromkeys(words) if w not in self.at]
-        if new:
-            self._add(new)
-        return np.fromiter(map(self.at.__getitem__, words), dtype=np.int64, count=len(words))
+        found = list(map(self.at.get, words))
+        if None in found:
+            self._add([*dict.fromkeys(w for w, k in zip(words, found, strict=True) if k is None)])
+            found = map(self.at.__getitem__, words)
+        return np.fromiter(found, dtype=np.int64, count=len(words))
 
     def _add(self, new: list[str]) -> None:
         c, m = self.model.config, self.model
@@ -126,8 +125,8 @@ class _Vocabulary:
         self.index[self.size : end] = index_vectors(new, c.dim, c.nonzero, c.seed)
         if m.context is not None:
             none = len(m.context) - 1
-            known = [m.unit.get(w.lower(), -1) for w in new]
-            of_shape = [m.unit.get(shape(w), none) for w in new]
+            known = [m.unit.get(w, -1) for w in "\n".join(new).lower().split("\n")]
+            of_shape = [m.unit.get(s, none) for s in shapes(new)]
             both = m.context[np.array(of_shape)].copy()
             has = np.array(known) >= 0
             both[has] = (both[has] + m.context[np.array(known)[has]]) / 2
@@ -137,23 +136,42 @@ class _Vocabulary:
 
 
 def features(texts: Iterable[str | None], n_texts: int, vocabulary: _Vocabulary) -> np.ndarray:
-    """One row per text; words of a long text are added up in chunks."""
-    c = vocabulary.model.config
-    out = np.zeros((n_texts, 2 * c.dim + 1))
+    """One row per text. Words are taken up in chunks: many short texts share
+    one, a long text has several."""
+    dim = vocabulary.model.config.dim
+    out = np.zeros((n_texts, 2 * dim + 1))
+    held: list[str] = []
+    spans: list[tuple[int, int, int, int]] = []  # row, first word, own words, words with the next one
+
+    def flush() -> None:
+        if not held:
+            return
+        ids = vocabulary.ids(held)
+        row, start, own, more = np.array(spans).T
+        none = np.zeros((1, dim), dtype=np.float32)
+        context = np.concatenate([vocabulary.context[ids], none])
+        index = vocabulary.index[ids]
+        products = np.concatenate([index[:-1] * index[1:], none, none])
+        between = lambda a, n: np.add.reduceat(a, np.stack([start, start + n], axis=1).ravel(), axis=0, dtype=np.float64)[::2]
+        np.add.at(out[:, :dim], row, between(context, own))
+        np.add.at(out[:, dim : 2 * dim], row, between(products, more - 1) * (more > 1)[:, None])
+        held.clear()
+        spans.clear()
+
     for row, text in enumerate(texts):
-        words = WORDS.findall(text or "")
+        words = (text or "").split()
+        out[row, -1] = len(words)
         for at in range(0, len(words), _CHUNK):
-            ids = vocabulary.ids(words[at : at + _CHUNK + 1])
-            own = ids[:_CHUNK]
-            out[row, : c.dim] += vocabulary.context[own].sum(axis=0, dtype=np.float64)
-            if len(ids) > 1:
-                v = vocabulary.index[ids]
-                out[row, c.dim : 2 * c.dim] += (v[:-1] * v[1:]).sum(axis=0, dtype=np.float64)
-        n = len(words)
-        if n:
-            out[row, : c.dim] /= n
-            out[row, c.dim : 2 * c.dim] *= c.dim / max(1, n - 1)
-        out[row, -1] = np.log1p(n)
+            part = words[at : at + _CHUNK + 1]
+            spans.append((row, len(held), min(len(part), _CHUNK), len(part)))
+            held.extend(part)
+            if len(held) >= _CHUNK:
+                flush()
+    flush()
+    n = out[:, -1:].copy()
+    out[:, :dim] /= np.maximum(n, 1)
+    out[:, dim : 2 * dim] *= dim / np.maximum(n - 1, 1)
+    out[:, -1] = np.log1p(n[:, 0])
     return out
 
 
@@ -167,7 +185,7 @@ def _contexts(config: QualityConfig):
             total = np.zeros((1024, config.dim))
             count = np.zeros(1024, dtype=np.int64)
             for text in batch.column(0):
-                words = WORDS.findall(text.as_py() or "")
+                words = (text.as_py() or "").split()
                 for at in range(0, len(words), _CHUNK):
                     part = words[at : at + _CHUNK]
                     ids = vocabulary.ids(part)  # may replace the tables
@@ -176,7 +194,7 @@ def _contexts(config: QualityConfig):
                     for d in range(1, config.window + 1):
                         around[d:] += v[:-d]
                         around[:-d] += v[d:]
-                    for names in ([w.lower() for w in part], [shape(w) for w in part]):
+                    for names in ([w.lower() for w in part], shapes(part)):
                         ids = np.fromiter((unit.setdefault(u, len(unit)) for u in names), dtype=np.int64, count=len(names))
                         while len(unit) > len(total):
                             total, count = np.vstack([total, np.zeros_like(total)]), np.concatenate([count, np.zeros_like(count)])
