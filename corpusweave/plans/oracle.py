@@ -423,10 +423,10 @@ union all """ + _shop_rows(
     "page_record": f"""{_ORDER}, {_SHOP_TITLE} as title, {_SHOP_TEXT} as text,
   'Customer ' || o_custkey || ' <' || o_orderstatus || '>' as description, o_orderstatus as keywords,
   {" || ' ' || ".join(_SHOP_LINKS[1:])} as links,
-  {" || ' ' || ".join(s for s, _ in _SHOP_IMAGES)} as images,
-  {" || '|' || ".join(t for _, t in _SHOP_HEADINGS)} as headings,
-  {" || '|' || ".join(" || ',' || ".join(row) for rows in _SHOP_TABLES for row in rows)} as rows,
-  {" || '|' || ".join(v for _, items in _SHOP_LISTS for v in items)} as items
+  {" || ' ' || ".join(f"{s} || '^' || {alt}" for s, alt in _SHOP_IMAGES)} as images,
+  {" || '|' || ".join(f"{level} || ':' || {t}" for level, t in _SHOP_HEADINGS)} as headings,
+  {" || '||' || ".join(" || '|' || ".join(" || ',' || ".join(row) for row in rows) for rows in _SHOP_TABLES)} as tables,
+  {" || '||' || ".join(f"'{kind}:' || " + " || '|' || ".join(items) for kind, items in _SHOP_LISTS)} as lists
 from orders""",
     "extract_errors": f"""{_ORDER}, case when o_orderstatus = 'P' then '' else {_SHOP_TITLE} end as title,
   case when o_orderstatus = 'P' then 0 else 3 end as links_count,

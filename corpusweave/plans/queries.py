@@ -211,14 +211,16 @@ def page_lists(spark, d):
 
 
 def page_record(spark, d):
+    """Every field of the record, with levels, alternative texts, list types and the borders of tables and lists."""
     records = X.page_records(T.order_pages(spark, d))
+    joined = lambda name, build, mark: F.array_join(F.transform(name, build), mark).alias(name)
     return records.select(
         "page_id", "url", "title", "text", "metadata.description", "metadata.keywords",
         F.array_join("links", " ").alias("links"),
-        F.array_join(F.transform("images", lambda i: i["src"]), " ").alias("images"),
-        F.array_join(F.transform("headings", lambda h: h["text"]), "|").alias("headings"),
-        F.array_join(F.transform(F.flatten("tables"), lambda r: F.array_join(r, ",")), "|").alias("rows"),
-        F.array_join(F.flatten(F.transform("lists", lambda l: l["items"])), "|").alias("items"),
+        joined("images", lambda i: F.concat(i["src"], F.lit("^"), i["alt"]), " "),
+        joined("headings", lambda h: F.concat(h["level"], F.lit(":"), h["text"]), "|"),
+        joined("tables", lambda t: F.array_join(F.transform(t, lambda r: F.array_join(r, ",")), "|"), "||"),
+        joined("lists", lambda x: F.concat(x["type"], F.lit(":"), F.array_join(x["items"], "|")), "||"),
     )
 
 
