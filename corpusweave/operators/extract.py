@@ -16,6 +16,8 @@ from corpusweave.functions import urls as U
 from corpusweave.functions.binding import let, settled
 
 LIST_TAGS = ("ul", "ol", "li")
+# Containers that may stand between a list and an item, which then is no item of that list.
+LIST_WRAPPERS = ("div", "section", "article", "nav", "form", "span", "blockquote", "details", "fieldset")
 TABLE_TAGS = ("table", "tr", "td", "th")
 LISTS = "array<struct<type:string,items:array<string>>>"
 TABLES = "array<array<array<string>>>"
@@ -111,17 +113,17 @@ def _texts(piece_array: Column) -> Column:
 
 def lists_from(piece_array: Column, elements: Column) -> Column:
     """(type, items) per non-empty list in document order, direct items only."""
-    direct = F.filter(elements, lambda e: (e["name"] == "li") & (e["parent"] > 0))
+    owned = F.filter(elements, lambda e: (e["name"] == "li") & (e["parent"] > 0))
     items = let(
         _texts(piece_array),
         lambda texts: F.transform(
-            direct,
+            owned,
             lambda e: F.struct(
                 e["parent"].alias("parent"), e["start"].alias("start"), H.scope_text(texts, e).alias("text")
             ),
         ),
     )
-    # Sorted by (list, position), each list's items are one slice.
+    # Sorted by (parent, position), the items of each list or wrapper are one slice.
     spans = F.aggregate(
         F.filter(elements, lambda e: e["name"] != "li"),
         F.struct(
@@ -139,7 +141,7 @@ def lists_from(piece_array: Column, elements: Column) -> Column:
     filled = let(
         F.array_sort(items),
         lambda by_list: F.transform(
-            spans,
+            F.filter(spans, lambda s: s["name"].isin("ul", "ol")),
             lambda s: F.struct(
                 s["name"].alias("type"),
                 F.filter(
@@ -178,7 +180,7 @@ def tables_from(piece_array: Column, elements: Column) -> Column:
 
 def list_array(clean: Column) -> Column:
     """Lists of a page; a page without a list tag costs one match."""
-    found = let(H.pieces(clean, LIST_TAGS), lambda p: let(list_scopes(p), lambda e: lists_from(p, e)))
+    found = let(H.pieces(clean, LIST_TAGS + LIST_WRAPPERS), lambda p: let(list_scopes(p), lambda e: lists_from(p, e)))
     return F.when(clean.rlike(r"(?i)<[uo]l[\s/>]"), found).otherwise(F.array().cast(LISTS))
 
 

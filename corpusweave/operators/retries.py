@@ -139,18 +139,16 @@ def replay(attempts: DataFrame, config: RetryConfig) -> DataFrame:
 
 
 def error_history(replayed: DataFrame) -> DataFrame:
-    """One row per URL that ended in an error."""
+    """One row per URL that ended in an error, with the attempt that did."""
     return with_message(replayed.where(F.col("outcome") == "failed")).select(
-        "url", F.col("error_type").alias("type"), "message", F.col("error_status").alias("status_code")
+        "url", "attempt", F.col("error_type").alias("type"), "message", F.col("error_status").alias("status_code")
     )
 
 
-def permanent_errors(history: DataFrame, order: str | None = None) -> DataFrame:
-    """url to message for permanent errors; the latest wins where ``order`` is
-    given."""
+def permanent_errors(history: DataFrame, order: str = "attempt") -> DataFrame:
+    """url to message for permanent errors; the latest by ``order`` wins."""
     rows = history.where(F.col("type") == "PermanentError")
-    pick = F.max_by("message", order) if order else F.max("message")
-    return rows.groupBy("url").agg(pick.alias("message"))
+    return rows.groupBy("url").agg(F.max_by("message", order).alias("message"))
 
 
 def error_stats(replayed: DataFrame, config: RetryConfig) -> DataFrame:

@@ -553,7 +553,7 @@ from requests""",
     "simple_backoff": _with(_REQUESTS, _ATTEMPTS, _classified("attempts"), _BACKOFFS) + "select url, attempt, error_type, backoff from backoffs",
     "timeout_by_attempt": _with(_REQUESTS, _ATTEMPTS) + f"""select url, attempt, {Q.TIMEOUT.total_timeout} * pow(2.0, attempt) as total,
   {Q.TIMEOUT.connect_timeout} * pow(2.0, attempt) as connect, {Q.TIMEOUT.read_timeout} * pow(2.0, attempt) as "read" from attempts""",
-    "error_history": _with(*_ATTEMPT_LOG) + """select url, error_type as type, message, error_status as status_code
+    "error_history": _with(*_ATTEMPT_LOG) + """select url, attempt, error_type as type, message, error_status as status_code
 from ran where outcome = 'failed'""",
     "permanent_errors": _with(*_ATTEMPT_LOG) + "select url, message from ran where outcome = 'failed' and error_type = 'PermanentError'",
     "error_stats": _with(*_ATTEMPT_LOG) + _ERROR_STATS,

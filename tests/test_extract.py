@@ -162,6 +162,19 @@ def test_nested_lists_and_tables_equal_a_sequential_model(spark):
         assert [[list(r) for r in t] for t in row.tables] == [t for t in tables if t], body
 
 
+@pytest.mark.parametrize(
+    ("markup", "lists"),
+    [
+        ("<ul><div><li>x</li></div></ul>", []),
+        ("<ul><li>a</li><div><li>x</li></div><li>b</li></ul>", [("ul", ["a", "b"])]),
+        ("<ul><li><div>a<span>b</span></div></li></ul>", [("ul", ["a b"])]),
+        ("<div><ol><li>a<ul><li>b</ul></ol></div><section><li>no list</section>", [("ol", ["a b"]), ("ul", ["b"])]),
+    ],
+)
+def test_only_direct_children_are_items(spark, markup, lists):
+    assert [(x.type, list(x["items"])) for x in one(spark, markup).lists] == lists
+
+
 def test_long_flat_page(spark):
     n = 3500
     body = "<ul>" + "".join(f"<li>i{i}" for i in range(n)) + "</ul>"

@@ -155,6 +155,12 @@ def test_no_errors(spark, tmp_path):
     assert stats["average_retry_delay"] == 0.0 and stats["final_failures"] == 0 and not any(got.values())
 
 
+def test_the_latest_permanent_error_wins(spark):
+    rows = [("u", 0, "PermanentError", "z first", 404), ("u", 2, "PermanentError", "a last", 410), ("u", 3, "NetworkError", "n", None)]
+    history = spark.createDataFrame(rows, "url string, attempt int, type string, message string, status_code int")
+    assert [tuple(r) for r in RT.permanent_errors(history).collect()] == [("u", "a last")]
+
+
 def test_simple_backoff(spark):
     rows = HTTP("a", 404, 500, 200) + HTTP("b", 500, 500, 500, 200) + HTTP("c", 200)
     config = SimpleBackoffConfig(max_retries=2, backoff_base=0.5)
