@@ -71,7 +71,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
     that later reads prune columns and filter at the scan."""
     path = run_dir(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return temporary(df.sparkSession, path).read.schema(df.schema).parquet(path)
+
+
+def temporary(spark: SparkSession, path: str) -> SparkSession:
+    """Have a written folder deleted when the driver ends."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return spark
 
 
 def shuffle_width(spark: SparkSession) -> int:
