@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusweave.llm.components import components
-from corpusweave.session import written
+from corpusweave.session import shuffle_width, written
 
 SEED = 42
 RADIUS = 4  # the grid below is complete for this distance and any smaller one
@@ -125,6 +125,8 @@ def link_components(points: DataFrame, config: SimHashConfig = SimHashConfig())
     """``(fp, comp)`` for distinct ``points(fp)``: equal ``comp`` where links of up
     to ``max_distance`` bits connect, directly or through others. Exact."""
     radius, cell = config.max_distance, ["kind", "cell"]
+    # A few narrow files make many cells: spread them before they do.
+    points = points.repartition(shuffle_width(points.sparkSession), "fp")
     least = _cells(points).groupBy(*cell).agg(F.min("fp").alias("pivot"), F.max("fp").alias("_top")).where("pivot <> _top")
     shared = written(_cells(points).join(least.select(*cell, "pivot"), cell), "simhash-cells")
     stars = shared.where(F.col("fp") != F.col("pivot")).where(_near(F.col("fp"), F.col("pivot"), radius))
