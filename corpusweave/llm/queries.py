@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusweave.llm import ann, bpe, embdedup, langid, mixing, quality, secrets, simhash, url_lm, warc
 from corpusweave.llm.oracle import LLM_ORACLE  # noqa: F401
-from corpusweave.session import importable, run_dir
+from corpusweave.session import importable, run_dir, temporary
 from corpusweave.sources.tables import table
 
 # The rules of the URL filter's contract.
@@ -29,7 +29,7 @@ def op1_url_filter(spark: SparkSession, d: str) -> DataFrame:
 def op2_warc(spark: SparkSession, d: str) -> DataFrame:
     folder = run_dir(spark, "warc")
     warc.write_archive(table(spark, d, "pages"), folder)
-    return warc.read_archive(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return warc.read_archive(temporary(spark, folder), folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op3_ann(spark: SparkSession, d: str) -> DataFrame:
