@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _PART = 1 << 16  # characters of a text that are cut into pieces at a time
 _LONG = 4096  # bytes from which a piece is streamed, not kept
-_KEPT = 250_000  # entries of each half of the table of pieces, and of the table of borders
+_KEPT = 150_000  # entries of each half of the table of pieces, and of the table of borders
 _OUT = 8 << 20
 
 

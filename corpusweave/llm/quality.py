@@ -93,8 +93,8 @@ class QualityModel:
     prior: float = 0.5
 
 
-_CHUNK = 200_000  # words whose vectors are held at a time
-_KEPT = 300_000
+_CHUNK = 50_000  # words whose vectors are held at a time
+_KEPT = 100_000
 
 
 class _Vocabulary:
