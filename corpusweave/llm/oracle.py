@@ -43,4 +43,23 @@ select doc_id, size, source_size, target,
 from e
 """
 
-LLM_ORACLE: dict[str, str] = {"op2_warc": _WARC, "op9_mix": _MIX}
+# Every pair: the tables that the SQL runs on are small.
+_EMBEDDING_DEDUP = """
+with recursive v as (
+  select vec_id, embedding::double[] as e,
+    coalesce(len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+      and len(list_filter(embedding, lambda x: x <> 0)) > 0, false) as ok
+  from embeddings
+), p as (
+  select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id and a.ok and b.ok and len(a.e) = len(b.e)
+  where list_cosine_similarity(a.e, b.e) >= 0.95
+), r(vec_id, c) as (
+  select vec_id, vec_id from v union select r.vec_id, p.b from r join p on r.c = p.a
+), n as (
+  select a as vec_id, count(*) as n_links from p group by 1
+)
+select r.vec_id, coalesce(any_value(n.n_links), 0) as n_links, min(r.c) as component_id, r.vec_id = min(r.c) as kept
+from r left join n using (vec_id) group by r.vec_id
+"""
+
+LLM_ORACLE: dict[str, str] = {"op2_warc": _WARC, "op8_embedding_dedup": _EMBEDDING_DEDUP, "op9_mix": _MIX}
