@@ -7,15 +7,18 @@ is left. A linear model for each family decides first. Within it, linear support
 vector machines compare the languages two by two; the one that wins most, then
 by the larger margins, is the answer.
 
-The models are fitted on a bounded number of documents for each language. Every
-text is scored whole, in chunks of bounded size.
+The models are fitted on a bounded number of documents for each language, and on
+every language there is. Features stay in a written sample: the driver holds a
+mean vector a language and the models, tasks hold a shard of the sample or two
+blocks of a family's languages. Every text is scored whole, in chunks of bounded
+size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
-from itertools import combinations
+from itertools import combinations, product
 
 import numpy as np
 import pyarrow as pa
@@ -30,12 +33,16 @@ UNDETERMINED = "und"
 
 @dataclass(frozen=True)
 class LanguageConfig:
-    """``per_language`` bounds the documents that train each language,
-    ``languages`` the languages (the most frequent ones). Documents with
-    crc32(doc_id) mod ``fold`` = ``held`` never train."""
+    """``per_language`` bounds the documents that train each language.
+    Documents with crc32(doc_id) mod ``fold`` = ``held`` never train. The family
+    models are trained in shards of about ``shard_rows``, each with about
+    ``shard_least`` rows of every language or more, and averaged; a task of the
+    pairs gets two blocks of ``block`` languages."""
 
     per_language: int = 600
-    languages: int = 200
+    shard_rows: int = 6000
+    shard_least: int = 4
+    block: int = 8
     dim: int = 4096
     fold: int = 4
     held: int = 2
@@ -93,13 +100,14 @@ def features(texts: Iterable[str | None], n: int, dim: int) -> tuple[np.ndarray,
 
 
 def _linear_svm(x: np.ndarray, y: np.ndarray, config: LanguageConfig) -> np.ndarray:
-    """Weights and bias of a squared-hinge support vector machine, ``y`` of -1 and 1.
+    """Weights and bias of a squared-hinge support vector machine, ``y`` of -1 and 1;
+    one machine a column if ``y`` has columns.
 
     Accelerated gradient steps on the class-balanced loss.
     """
     x = np.hstack([x, np.ones((len(x), 1), dtype=np.float32)])
-    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float32)
-    w = np.zeros(x.shape[1], dtype=np.float32)
+    weight = np.where(y > 0, 0.5 / np.maximum(1, (y > 0).sum(axis=0)), 0.5 / np.maximum(1, (y < 0).sum(axis=0))).astype(np.float32)
+    w = np.zeros((x.shape[1], *y.shape[1:]), dtype=np.float32)
     ahead, t = w, 1.0
     step = 1 / (2 * 2 + config.penalty)  # rows have length at most sqrt(2)
     for _ in range(config.rounds):
@@ -118,72 +126,178 @@ class LanguageModel:
     languages: list[str] = field(default_factory=list)
     family: np.ndarray | None = None  # of each language
     between: np.ndarray | None = None  # one column per family
-    pairs: list[tuple[int, int]] = field(default_factory=list)  # languages of one family
+    pairs: list[tuple[int, int]] = field(default_factory=list)  # languages of one family, family by family
     within: np.ndarray | None = None  # one column per pair
 
 
 def families(means: np.ndarray) -> np.ndarray:
-    """Family number of each language: average-linkage merging of mean vectors by cosine."""
-    groups = [[k] for k in range(len(means))]
-    unit = means / np.maximum(np.linalg.norm(means, axis=1, keepdims=True), 1e-9)
-    near = unit @ unit.T
-    while len(groups) > max(1, round(np.sqrt(len(means)))):
-        a, b = max(combinations(range(len(groups)), 2), key=lambda p: near[np.ix_(groups[p[0]], groups[p[1]])].mean())
-        groups[a] += groups.pop(b)
-    out = np.zeros(len(means), dtype=np.int64)
-    for f, members in enumerate(groups):
-        out[members] = f
-    return out
+    """Family number of each language: average-linkage merging of mean vectors by cosine.
 
-
-def fit(documents: DataFrame, config: LanguageConfig = LanguageConfig()) -> LanguageModel:
-    """Model from up to ``per_language`` documents of each of ``documents.lang``.
-
-    Rows with null lang, null text, no letter or of the held-out fold do not
-    train; a doc_id that repeats trains once. Features of at most
-    ``per_language * languages`` rows come to the driver.
+    No family gets more than about twice the square root of the languages, so
+    the pairs stay far fewer than all pairs.
     """
+    n = len(means)
+    unit = means / np.maximum(np.linalg.norm(means, axis=1, keepdims=True), 1e-9)
+    total, size, group = (unit @ unit.T).astype(np.float64), np.ones(n), np.arange(n)  # of first members
+    most = max(4, 2 * np.ceil(np.sqrt(n)))
+    live = np.ones(n, dtype=bool)
+
+    def row(a: int) -> tuple[float, int]:
+        """Nearest later group and how near it is."""
+        free = live & (size + size[a] <= most)
+        free[: a + 1] = False
+        near = np.where(free, total[a] / (size[a] * size), -np.inf)
+        return near.max(), int(near.argmax())
+
+    best, at = (np.array(v) for v in zip(*(row(a) for a in range(n)), strict=True))
+    while live.sum() > max(1, round(np.sqrt(n))) and best.max() > -np.inf:
+        a = int(best.argmax())
+        b = int(at[a])
+        total[a] += total[b]
+        total[:, a] += total[:, b]
+        size[a] += size[b]
+        group[group == b] = a
+        live[b], best[b] = False, -np.inf
+        for k in np.flatnonzero(live[: b + 1]):
+            if k == a or at[k] in (a, b):
+                best[k], at[k] = row(k)
+            elif k < a and size[k] + size[a] <= most and (near := total[k, a] / (size[k] * size[a])) >= best[k]:
+                best[k], at[k] = near, a if near > best[k] else min(a, at[k])
+    return np.unique(group, return_inverse=True)[1]
+
+
+def _sample(documents: DataFrame, config: LanguageConfig) -> DataFrame:
+    """``doc_id, label, x``, written: the documents that train, with their features."""
     usable = documents.select("doc_id", "lang", "text").where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & (crc_mod(F.col("doc_id"), config.fold) != config.held)
     )
-    ids = usable.groupBy("doc_id").agg(F.min("lang").alias("label"))
-    # Counted before the shuffle; the rows of one language are cut by hash, without a window over all of them.
-    sizes = {r["label"]: r["n"] for r in ids.groupBy("label").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label").limit(config.languages).collect()}
-    ids = written(ids, "language-ids")
-    chosen = None
-    for label in sizes:
-        part = sampled(ids.where(F.col("label") == label), config.per_language)
-        chosen = part if chosen is None else chosen.unionByName(part)
-    model = LanguageModel(config)
-    if chosen is None:
-        return model
+    ids = written(usable.groupBy("doc_id").agg(F.min("lang").alias("label")), "language-ids")
+    sizes = ids.groupBy("label").agg(F.count("*").alias("n"))
+    # The first by hash lie below a border, by more than ten deviations; only these meet in a window of their language.
+    border = F.lit(-(2.0**63)) + F.lit(2.0**64) * (config.per_language + 10 * config.per_language**0.5 + 20) / F.col("n")
+    first = ids.join(F.broadcast(sizes), "label").where(F.xxhash64("doc_id").cast("double") <= border).select("doc_id", "label")
+    chosen = sampled(first, config.per_language, "label")
     rows = usable.drop("lang").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
     dim = config.dim
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, some = features((t.as_py() for t in batch.column(2)), batch.num_rows, dim)
-            packed = pa.array([r.astype(np.float16).tobytes() if ok else None for r, ok in zip(x, some, strict=True)], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), packed], ["doc_id", "label", "x"])
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                x, some = features((t.as_py() for t in part.column(2)), part.num_rows, dim)
+                packed = pa.array([r.astype(np.float16).tobytes() if ok else None for r, ok in zip(x, some, strict=True)], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), packed], ["doc_id", "label", "x"])
 
     got = rows.select(F.col("doc_id").cast("long"), "label", "text").mapInArrow(run, "doc_id long, label string, x binary")
-    got = sorted((r for r in got.collect() if r["x"] is not None), key=lambda r: (r["label"], r["doc_id"]))
-    if not got:
+    return written(got.where(F.col("x").isNotNull()), "language-sample")
+
+
+def _unpacked(table: pa.Table) -> tuple[list[str], np.ndarray]:
+    """Labels and features of sample rows, ordered by label and doc_id."""
+    table = table.sort_by([("label", "ascending"), ("doc_id", "ascending")])
+    x = np.empty((table.num_rows, len(table["x"][0].as_py()) // 2), dtype=np.float32)
+    for k, row in enumerate(table["x"]):
+        x[k] = np.frombuffer(row.as_buffer(), dtype=np.float16)
+    return table["label"].to_pylist(), x
+
+
+def _mean(table: pa.Table) -> pa.Table:
+    label, x = _unpacked(table)
+    mean = x.mean(axis=0, dtype=np.float64).astype(np.float32).tobytes()
+    return pa.table({"label": label[:1], "n": pa.array([len(x)], pa.int64()), "mean": pa.array([mean], pa.binary())})
+
+
+def _between(sample: DataFrame, sizes: list[int], model: LanguageModel) -> np.ndarray:
+    """A column for each family, against all others.
+
+    Each shard of the sample trains all columns; a family's column is their mean
+    by its rows in the shard, so shards without it do not count. Rows of rare
+    languages go to several shards.
+    """
+    config, family, n = model.config, model.family, int(model.family.max()) + 1
+    of = {lang: int(f) for lang, f in zip(model.languages, family, strict=True)}
+    shards = -(-sum(sizes) // config.shard_rows)
+    copies = [min(shards, -(-config.shard_least * shards // size)) for size in sizes]
+    dealt = sample.sparkSession.createDataFrame(list(zip(model.languages, copies, strict=True)), "label string, _copies int")
+    shard = F.explode(F.transform(
+        F.sequence(F.lit(0), F.col("_copies") - 1), lambda i: F.pmod(F.pmod(F.xxhash64("doc_id"), F.lit(shards)) + i, F.lit(shards))
+    ))
+    rows = sample.join(F.broadcast(dealt), "label").select("doc_id", "label", "x", shard.alias("shard"))
+
+    def train(key: tuple, table: pa.Table) -> pa.Table:
+        label, x = _unpacked(table.select(["doc_id", "label", "x"]))
+        own = np.array([of[lang] for lang in label])[:, None] == np.arange(n)
+        w = _linear_svm(x, np.where(own, 1, -1).astype(np.float32), config)
+        count = own.sum(axis=0)
+        some = np.flatnonzero((count > 0) & (count < len(x)))
+        columns = pa.array([np.ascontiguousarray(w[:, f]).tobytes() for f in some], pa.binary())
+        at = pa.array([key[0].as_py()] * len(some), pa.int64())
+        return pa.table({"shard": at, "family": pa.array(some, pa.int64()), "n": pa.array(count[some], pa.int64()), "w": columns})
+
+    found = rows.groupBy("shard").applyInArrow(train, "shard long, family long, n long, w binary")
+    total, weight = np.zeros((config.dim + 1, n)), np.zeros(n)
+    for r in written(found, "language-shards").orderBy("shard", "family").toLocalIterator():
+        total[:, r["family"]] += r["n"] * np.frombuffer(r["w"], dtype=np.float32).astype(np.float64)
+        weight[r["family"]] += r["n"]
+    return (total / np.maximum(weight, 1)).astype(np.float32)
+
+
+def _within(sample: DataFrame, model: LanguageModel) -> np.ndarray:
+    """A column for each of ``model.pairs``; a task trains the pairs of two blocks of one family's languages."""
+    config = model.config
+    index = {lang: k for k, lang in enumerate(model.languages)}
+    blocks = []
+    for f in range(int(model.family.max()) + 1):
+        members = np.flatnonzero(model.family == f)
+        if len(members) > 1:
+            blocks += [(model.languages[k], f, at // config.block, (len(members) - 1) // config.block) for at, k in enumerate(members)]
+    dealt = sample.sparkSession.createDataFrame(blocks, "label string, _family int, _block int, _last int")
+    both = F.explode(F.transform(
+        F.sequence(F.lit(0), F.col("_last")),
+        lambda j: F.struct(F.col("_family").alias("f"), F.least("_block", j).alias("i"), F.greatest("_block", j).alias("j")),
+    ))
+    rows = sample.join(F.broadcast(dealt), "label").select("doc_id", "label", "x", "_block", both.alias("t")).select("*", "t.*").drop("t")
+
+    def train(key: tuple, table: pa.Table) -> pa.Table:
+        block = {index[lang]: b for lang, b in zip(table["label"].to_pylist(), table["_block"].to_pylist(), strict=True)}
+        label, x = _unpacked(table.select(["doc_id", "label", "x"]))
+        y = np.array([index[lang] for lang in label])
+        _, i, j = (k.as_py() for k in key)
+        first, second = (sorted(k for k, b in block.items() if b == of) for of in (i, j))
+        pairs = list(combinations(first, 2) if i == j else product(first, second))
+        columns = []
+        for a, b in pairs:
+            rows = (y == a) | (y == b)
+            columns.append(_linear_svm(x[rows], np.where(y[rows] == a, 1, -1).astype(np.float32), config).tobytes())
+        ends = [pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)]
+        return pa.table({"a": ends[0], "b": ends[1], "w": pa.array(columns, pa.binary())})
+
+    found = written(rows.groupBy("f", "i", "j").applyInArrow(train, "a long, b long, w binary"), "language-pairs")
+    out, at = np.zeros((config.dim + 1, len(model.pairs)), dtype=np.float32), {p: k for k, p in enumerate(model.pairs)}
+    for r in found.toLocalIterator():
+        out[:, at[r["a"], r["b"]]] = np.frombuffer(r["w"], dtype=np.float32)
+    return out
+
+
+def fit(documents: DataFrame, config: LanguageConfig = LanguageConfig()) -> LanguageModel:
+    """Model from up to ``per_language`` documents of each of ``documents.lang``, however many there are.
+
+    Rows with null lang, null text, no letter or of the held-out fold do not
+    train; a doc_id that repeats trains once. A mean vector for each language
+    and a column for each family and pair come to the driver, no features.
+    """
+    model = LanguageModel(config)
+    sample = _sample(documents, config)
+    means = sorted(sample.groupBy("label").applyInArrow(_mean, "label string, n long, mean binary").collect(), key=lambda r: r["label"])
+    if not means:
         return model
-    x = np.stack([np.frombuffer(r["x"], dtype=np.float16) for r in got]).astype(np.float32)
-    model.languages = sorted({r["label"] for r in got})
-    y = np.array([model.languages.index(r["label"]) for r in got])
-    model.family = families(np.stack([x[y == k].mean(axis=0) for k in range(len(model.languages))]))
-    n = model.family.max() + 1
-    sign = lambda of: np.where(of, 1, -1).astype(np.float32)
-    blank = np.zeros((dim + 1, 0), dtype=np.float32)
-    model.between = np.stack([_linear_svm(x, sign(model.family[y] == f), config) for f in range(n)], axis=1) if n > 1 else blank
-    model.pairs = [(a, b) for a, b in combinations(range(len(model.languages)), 2) if model.family[a] == model.family[b]]
-    columns = []
-    for a, b in model.pairs:
-        both = (y == a) | (y == b)
-        columns.append(_linear_svm(x[both], sign(y[both] == a), config))
-    model.within = np.stack(columns, axis=1) if columns else blank
+    model.languages = [r["label"] for r in means]
+    model.family = families(np.stack([np.frombuffer(r["mean"], dtype=np.float32) for r in means]))
+    pairs = ((a, b) for f in range(model.family.max() + 1) for a, b in combinations(np.flatnonzero(model.family == f).tolist(), 2))
+    model.pairs = list(pairs)
+    blank = np.zeros((config.dim + 1, 0), dtype=np.float32)
+    model.between = _between(sample, [r["n"] for r in means], model) if model.family.max() > 0 else blank
+    model.within = _within(sample, model) if model.pairs else blank
     return model
 
 
@@ -198,17 +312,24 @@ def predictions(x: np.ndarray, some: np.ndarray, model: LanguageModel) -> tuple[
     if model.between.shape[1]:
         margins = x @ model.between
         family, score = margins.argmax(axis=1), squash(margins.max(axis=1))
-    member = model.family[None, :] == family[:, None]
-    votes, margin, least = np.zeros(member.shape), np.zeros(member.shape), np.ones(member.shape)
-    inner = x @ model.within
-    for k, (a, b) in enumerate(model.pairs):
-        p = squash(inner[:, k])
-        for lang, q, m in ((a, p, inner[:, k]), (b, 1 - p, -inner[:, k])):
-            votes[:, lang] += m > 0
-            margin[:, lang] += m
-            least[:, lang] = np.minimum(least[:, lang], q)
-    best = np.where(member, votes + 0.5 / (1 + np.exp(-np.clip(margin, -30, 30))), -1).argmax(axis=1)
-    score = score * least[np.arange(n), best]
+    best = np.zeros(n, dtype=np.int64)
+    of = model.family[[a for a, _ in model.pairs]] if model.pairs else np.zeros(0, dtype=np.int64)
+    for f in np.unique(family):
+        rows, langs = np.flatnonzero(family == f), np.flatnonzero(model.family == f)
+        lo, hi = np.searchsorted(of, (f, f + 1))
+        place = {k: at for at, k in enumerate(langs.tolist())}
+        shape = (len(rows), len(langs))
+        votes, margin, least = np.zeros(shape), np.zeros(shape), np.ones(shape)
+        inner = x[rows] @ model.within[:, lo:hi]
+        for k, (a, b) in enumerate(model.pairs[lo:hi]):
+            p = squash(inner[:, k])
+            for lang, q, m in ((place[a], p, inner[:, k]), (place[b], 1 - p, -inner[:, k])):
+                votes[:, lang] += m > 0
+                margin[:, lang] += m
+                least[:, lang] = np.minimum(least[:, lang], q)
+        won = (votes + 0.5 / (1 + np.exp(-np.clip(margin, -30, 30)))).argmax(axis=1)
+        best[rows] = langs[won]
+        score[rows] *= least[np.arange(len(rows)), won]
     names = [model.languages[k] if ok else UNDETERMINED for k, ok in zip(best, some, strict=True)]
     return names, np.where(some, score, 0.0)
 

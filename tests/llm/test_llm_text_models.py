@@ -247,3 +247,42 @@ def test_language_edge_tables(spark):
     assert {r.lang_pred for r in langid.judge(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
     one = {r.lang_pred for r in langid.judge(docs.withColumn("lang", F.lit("zz"))).collect()}
     assert one == {"zz", "und"}
+
+
+def many_languages(spark, n=230, each=10):
+    """``n`` languages, the rarest last, with words of their own letters."""
+    rnd, rows = random.Random(6), []
+    for k in range(n):
+        own = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(3)) for _ in range(5)]
+        for _ in range(each + (k < 200)):
+            rows.append((len(rows), " ".join("".join(rnd.choice(own) for _ in range(2)) for _ in range(40)), f"l{k:03}"))
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+
+def test_every_language_is_learned(spark):
+    """More than 200 languages, with shards and blocks that split them."""
+    docs = many_languages(spark)
+    config = langid.LanguageConfig(dim=512, rounds=30, shard_rows=900, block=4)
+    truth = {r.doc_id: r.lang for r in docs.collect()}
+    got = langid.judge(docs, config).collect()
+    assert {r.lang_pred for r in got} == set(truth.values())
+    rare = [r for r in got if r.held_out and truth[r.doc_id] >= "l200"]
+    assert rare and np.mean([r.lang_pred == truth[r.doc_id] for r in rare]) > 0.9
+
+
+def test_families_stay_small_and_merge_the_nearest():
+    rng = np.random.default_rng(2)
+    near = 1 + 0.01 * rng.random((300, 20))  # all alike
+    assert max(np.bincount(langid.families(near))) <= 2 * np.ceil(np.sqrt(300))
+    for n in (5, 12, 30):
+        means = rng.random((n, 6))
+        unit = means / np.linalg.norm(means, axis=1, keepdims=True)
+        most, groups = max(4, 2 * np.ceil(np.sqrt(n))), [[k] for k in range(n)]
+        while len(groups) > round(np.sqrt(n)):
+            fits = [(a, b) for a in range(len(groups)) for b in range(a + 1, len(groups)) if len(groups[a]) + len(groups[b]) <= most]
+            if not fits:
+                break
+            a, b = max(fits, key=lambda p: (unit @ unit.T)[np.ix_(groups[p[0]], groups[p[1]])].mean())
+            groups[a] += groups.pop(b)
+        found = langid.families(means)
+        assert sorted(np.flatnonzero(found == f).tolist() for f in range(found.max() + 1)) == sorted(map(sorted, groups))
