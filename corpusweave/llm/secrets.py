@@ -2,7 +2,9 @@
 
 The patterns find keyed assignments, access keys and long hex runs. The models
 find what the patterns cannot name: runs of key characters that look more like a
-random string than like an ordinary identifier. Both models hold transition
+random string than like an ordinary identifier. A run that touches a pattern's
+span is judged without it, and a run that is ordinary as a whole by its parts
+between / _ = - as well. Both models hold transition
 probabilities between the symbols of ``ALPHABET``; they are trained on labelled
 samples, by default values that the patterns found (random) and words of the
 same documents (ordinary). A model has ``len(ALPHABET) ** 2`` entries, so it is
@@ -30,6 +32,8 @@ KINDS = ("assign", "access", "hex", "markov")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 # An ordinary identifier: letters, joined by single marks, with nothing of the alphabet around it.
 _WORD = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z_-]{4})[A-Za-z]+(?:[_-][A-Za-z]+)*(?![A-Za-z0-9+/_=-])"
+# A part of a run between / _ = -.
+_PART = "[A-Za-z0-9+]{%d,}"
 SPAN = "struct<start:int,kind:int,end:int>"
 _BLOCK = 512
 
@@ -94,8 +98,27 @@ def base_spans(text: Column, config: SecretConfig = SecretConfig()) -> Column:
     ))
 
 
-def _overlaps(spans: Column, span: Column) -> Column:
-    return F.exists(spans, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
+def _span(start: Column, end: Column) -> Column:
+    return F.struct(start.alias("start"), F.lit(3).alias("kind"), end.alias("end"))
+
+
+def _rests(base: Column, run: Column, shortest: int) -> Column:
+    """What the pattern spans, ordered by start, leave of a run: pieces of ``shortest`` or more."""
+    within = F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
+    begin = F.struct(run["start"].alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
+
+    def step(acc, b):
+        gap = F.array(_span(acc["at"], b["start"]))
+        return F.struct(
+            F.greatest(acc["at"], b["end"]).alias("at"),
+            F.when(b["start"] - acc["at"] >= shortest, F.concat(acc["out"], gap)).otherwise(acc["out"]).alias("out"),
+        )
+
+    def last(acc):
+        gap = F.array(_span(acc["at"], run["end"]))
+        return F.when(run["end"] - acc["at"] >= shortest, F.concat(acc["out"], gap)).otherwise(acc["out"])
+
+    return let(F.aggregate(within, begin, step), last)
 
 
 def _cut_out(text: Column, span: Column) -> Column:
@@ -178,17 +201,29 @@ def _ratio(token: Column, model: list[float]) -> Column:
 def scan(documents: DataFrame, model: list[float], config: SecretConfig = SecretConfig()) -> DataFrame:
     """``row, base, spans``: the document as a struct, and arrays of (start, kind, end).
 
-    ``spans`` are the pattern spans and the runs the models add where no pattern
-    span is. Null texts are read as empty and have none.
+    ``spans`` are the pattern spans and what the models add in the runs beside
+    them: what is left of a run without its pattern spans, or else the parts of
+    that between / _ = - that look random by themselves. Null texts are read as
+    empty and have none.
     """
     text = F.coalesce("text", F.lit(""))
     runs = _matches(text, _run_pattern(config.min_run), 3)
     found = F.explode(F.array(F.struct(base_spans(text, config).alias("base"), runs.alias("runs")))).alias("found")
     rows = documents.select(F.struct("*").alias("row"), found)
     base, text = F.col("found.base"), F.col("row.text")
-    added = F.filter(
-        F.filter("found.runs", lambda r: ~_overlaps(base, r)), lambda r: _ratio(_cut_out(text, r), model) >= config.min_ratio
-    )
+    random = lambda token: _ratio(token, model) >= config.min_ratio
+
+    def judged(rest):
+        """A rest of a run, or its random parts."""
+        def parts(cut):
+            found = _matches(cut, _PART % config.min_run, 3)
+            found = F.filter(found, lambda p: random(_cut_out(cut, p)))
+            return F.transform(found, lambda p: _span(rest["start"] + p["start"], rest["start"] + p["end"]))
+
+        return let(_cut_out(text, rest), lambda cut: F.when(random(cut), F.array(_span(rest["start"], rest["end"]))).otherwise(parts(cut)))
+
+    rests = F.flatten(F.transform("found.runs", lambda r: _rests(base, r, config.min_run)))
+    added = let(rests, lambda xs: F.flatten(F.transform(xs, judged)))
     return rows.select("row", base.alias("base"), F.explode(F.array(F.array_sort(F.concat(base, added)))).alias("spans"))
 
 

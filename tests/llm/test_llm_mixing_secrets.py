@@ -122,3 +122,23 @@ def test_redaction_keeps_the_rest(spark):
     ], key=str)
     assert secrets.redact(docs.where("false")).collect() == []
     assert secrets.find_secrets(docs.where("false")).collect() == []
+
+
+def test_models_judge_what_a_pattern_leaves_and_the_parts_of_a_run(spark):
+    words = "the reading overthinking understandably internationalization counterrevolutionaries electroencephalographically"
+    random, access = "xK9qZ7vRw3TbN8mLp2Js", "AKIA" + "A1B2" * 4
+    path = "counterrevolutionaries/understandably/internationalization/overthinking/reading/electroencephalographically/"
+    key, tail = "0123456789abcdef" * 2, "xK9qZ7vRw3+TbN8mLp2Js"
+    odd = [f"{access}/{random}.", f"{path * 3}{random} {words}", f"my-{tail}=token={key}", f"{path * 3} plain", f"{random}/{key}/{random}"]
+    rows = [(k, f"{words} token={hashlib.md5(str(k).encode()).hexdigest()}") for k in range(60)] + [(100 + k, t) for k, t in enumerate(odd)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secrets.find_secrets(docs).collect()}
+    end = len(access) + 1 + len(random)
+    assert got[100] in {f"access:0:{len(access)},markov:{at}:{end}" for at in (len(access), len(access) + 1)}
+    at = len(path * 3)
+    assert got[101] == f"markov:{at}:{at + len(random)}"
+    assert "markov" in got[102] and "assign" in got[102]
+    assert got[103] == ""
+    assert got[104].count("markov") == 2 and got[104].count("hex") == 1
+    texts = secrets.redact(docs).where("doc_id >= 100").select("text").collect()
+    assert not any(random in r.text or tail in r.text for r in texts)
