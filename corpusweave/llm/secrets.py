@@ -6,8 +6,8 @@ random string than like an ordinary identifier. A run that touches a pattern's
 span is judged without it, and a run that is ordinary as a whole by its parts
 between / _ = - as well. Both models hold transition
 probabilities between the symbols of ``ALPHABET``; they are trained on labelled
-samples, by default values that the patterns found (random) and words of the
-same documents (ordinary). A model has ``len(ALPHABET) ** 2`` entries, so it is
+samples, by default the values that the patterns found in all documents (random)
+and the words of these (ordinary). A model has ``len(ALPHABET) ** 2`` entries, so it is
 a literal of fixed size in the scan, which reads each text once and moves none.
 
 Positions are code points, ends are exclusive.
@@ -40,16 +40,13 @@ _BLOCK = 512
 
 @dataclass(frozen=True)
 class SecretConfig:
-    """``sample_docs`` bounds the documents that train the models.
-
-    ``min_value``: shortest value of an assignment. ``min_run``: shortest run
+    """``min_value``: shortest value of an assignment. ``min_run``: shortest run
     the models judge. ``min_ratio``: mean log ratio per transition from which a
     run counts as random. ``uniform``: share of the uniform distribution in the
     random model, ``floor`` in the ordinary one. ``lean``: weight of a symbol's
     own frequency against the transitions seen.
     """
 
-    sample_docs: int = 10_000
     min_value: int = 6
     min_run: int = 20
     min_ratio: float = 0.5
@@ -130,13 +127,11 @@ def _run_pattern(shortest: int) -> str:
 
 
 def labelled_samples(documents: DataFrame, config: SecretConfig = SecretConfig()) -> DataFrame:
-    """``(token, secret)`` from up to ``sample_docs`` documents, chosen by a hash
-    of doc_id: pattern values, and words of letters that no pattern touches, each once."""
-    ids = documents.select("doc_id").where(F.col("doc_id").isNotNull()).distinct()
-    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(config.sample_docs)
+    """``(token, secret)`` from every document: pattern values, and words of
+    letters that no pattern touches, each once. Tasks drop repetitions before
+    the tokens move."""
     text = F.col("text")
-    rows = documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi")
-    rows = rows.select("text", F.explode(F.array(base_spans(text, config))).alias("base"))
+    rows = documents.select("text", F.explode(F.array(base_spans(text, config))).alias("base"))
     value = lambda m: F.regexp_replace(m, r"^.*[\s:=\"']", "")
     secrets = F.transform("base", lambda s: value(_cut_out(text, s)))
     words = F.regexp_extract_all(F.regexp_replace(text, ASSIGN + "|" + ACCESS + "|" + HEX, " "), F.lit(_WORD), 0)
@@ -144,7 +139,7 @@ def labelled_samples(documents: DataFrame, config: SecretConfig = SecretConfig()
         F.transform(secrets, lambda t: F.struct(t.alias("token"), F.lit(True).alias("secret"))),
         F.transform(words, lambda t: F.struct(t.alias("token"), F.lit(False).alias("secret"))),
     )
-    return rows.select(F.inline(labelled)).distinct()
+    return rows.select(F.inline(F.array_distinct(labelled))).distinct()
 
 
 def train(samples: DataFrame, config: SecretConfig = SecretConfig()) -> list[float]:

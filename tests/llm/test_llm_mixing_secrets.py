@@ -142,3 +142,12 @@ def test_models_judge_what_a_pattern_leaves_and_the_parts_of_a_run(spark):
     assert got[104].count("markov") == 2 and got[104].count("hex") == 1
     texts = secrets.redact(docs).where("doc_id >= 100").select("text").collect()
     assert not any(random in r.text or tail in r.text for r in texts)
+
+
+def test_models_learn_from_every_document(spark):
+    n = 10_500
+    docs = spark.range(n).select(
+        F.when(F.col("id") % 100 > 0, F.col("id")).alias("doc_id"), F.concat(F.lit("plain words token=x"), F.col("id") + 100_000).alias("text")
+    )
+    got = {r.secret: r["count"] for r in secrets.labelled_samples(docs).groupBy("secret").count().collect()}
+    assert got == {True: n, False: 2}
