@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusweave.llm import ann, bpe, embdedup, langid, mixing, quality, secrets, simhash, url_lm, warc
+from corpusweave.llm import ann, bpe, embdedup, langid, mixing, packing, quality, secrets, simhash, url_lm, warc
 from corpusweave.llm.oracle import LLM_ORACLE  # noqa: F401
 from corpusweave.session import importable, run_dir, temporary
 from corpusweave.sources.tables import table
@@ -67,6 +67,12 @@ def op10_secrets(spark: SparkSession, d: str) -> DataFrame:
     return secrets.find_secrets(table(spark, d, "documents"))
 
 
+def op11_packing(spark: SparkSession, d: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.packed(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, d: query(importable(spark), d)
 
@@ -75,5 +81,6 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: _ready(q)
     for q in (
         op1_url_filter, op2_warc, op3_ann, op4_quality, op5_bpe, op6_simhash, op7_language, op8_embedding_dedup, op9_mix, op10_secrets,
+        op11_packing,
     )
 }
