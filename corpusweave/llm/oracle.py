@@ -62,4 +62,42 @@ select r.vec_id, coalesce(any_value(n.n_links), 0) as n_links, min(r.c) as compo
 from r left join n using (vec_id) group by r.vec_id
 """
 
-LLM_ORACLE: dict[str, str] = {"op2_warc": _WARC, "op8_embedding_dedup": _EMBEDDING_DEDUP, "op9_mix": _MIX}
+_TRIE = r"""
+with t as (
+  select conv_id, coalesce(text, '') as text, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as digest, turn
+  from conversations where conv_id is not null
+), k as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, digest) as k,
+    len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) as words
+  from t
+), c as (
+  select conv_id, conv_id - conv_id % 20 as stem, xor(list_reduce(
+    list_concat([4294967295], list_transform(string_split(conv_id::varchar, ''), lambda s: ascii(s)::bigint)),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)
+  ), 4294967295) % 4 as h
+  from (select distinct conv_id from k)
+), s as (
+  select c.conv_id, k.k, digest, words from c join k on k.conv_id = c.stem where k.k <= c.h
+  union all select c.conv_id, 10 + k.k, digest, words from c join k using (conv_id) where k.k > c.h
+), seq as (
+  select c.conv_id, coalesce(string_agg(digest, '' order by k), '') as seq, [0::bigint] || coalesce(list(words order by k) filter (k is not null), []) as words
+  from c left join s using (conv_id) group by 1
+), p as (
+  select conv_id, d, substr(seq, 1, 64 * d) as key, seq, words[d + 1] as words, 64 * d = length(seq) as ends
+  from seq, unnest(range(length(seq) // 64 + 1)) as u(d)
+), n as (
+  select key, d, min(conv_id) as conv_id, count(*) as n_convs, any_value(words) as words, arg_min(seq, conv_id) as seq,
+    sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (ends), '')) as ends_sha256
+  from p group by 1, 2
+), kids as (
+  select substr(key, 1, 64 * (d - 1)) as key, count(*) as n_children from n where d > 0 group by 1
+), under as (
+  select substr(n.key, 1, 64 * u.d) as key, sum((n_convs - 1) * words) as saved_tokens, count(*) filter (kids.key is null) as n_leaves
+  from n left join kids using (key), unnest(range(n.d + 1)) as u(d) group by 1
+)
+select n.conv_id, n.d as depth, up.conv_id as parent_conv_id, n.n_convs, coalesce(kids.n_children, 0) as n_children, under.n_leaves,
+  under.saved_tokens::bigint as saved_tokens, n.ends_sha256
+from n join under using (key) left join kids on kids.key = n.key left join n up on n.d > 0 and up.key = substr(n.key, 1, 64 * (n.d - 1))
+"""
+
+LLM_ORACLE: dict[str, str] = {"op2_warc": _WARC, "op8_embedding_dedup": _EMBEDDING_DEDUP, "op9_mix": _MIX, "op13_trie": _TRIE}
