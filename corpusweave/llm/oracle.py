@@ -62,6 +62,38 @@ select r.vec_id, coalesce(any_value(n.n_links), 0) as n_links, min(r.c) as compo
 from r left join n using (vec_id) group by r.vec_id
 """
 
+_COLLOCATIONS = r"""
+with d as (
+  select coalesce(lang, 'und') as lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text
+  from documents
+), p as (
+  select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w
+  from (select lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) as piece from d)
+), g as (
+  select lang, list_slice(w, k, k + size - 1) as ids, count(*) as f
+  from p, unnest([1, 2, 3]) as s(size), unnest(range(1, len(w) - size + 2)) as u(k) group by 1, 2
+), n as (
+  select lang, sum(f)::bigint as n from g where len(ids) = 1 group by 1
+), c as (
+  select lang, ids, f as a from g where len(ids) > 1 and f >= 10
+), cuts as (
+  select c.lang, c.ids, a, k, l.f as l, r.f as r, 1000000 * a::hugeint * a // (l.f::hugeint * r.f) as score
+  from c, unnest(range(1, len(c.ids))) as u(k)
+  join g l on l.lang = c.lang and l.ids = list_slice(c.ids, 1, k)
+  join g r on r.lang = c.lang and r.ids = list_slice(c.ids, k + 1, len(c.ids))
+), least as (
+  select lang, ids, a, unnest(arg_min({l: l, r: r, score: score}, score * 10 + k)) from cuts group by 1, 2, 3
+), inside as (
+  select lang, list_slice(ids, k, k + 1) as ids, max(a) as most from c, unnest([1, 2]) as u(k) where len(ids) = 3 group by 1, 2
+), ranked as (
+  select least.lang, array_to_string(ids, ' ') as phrase, a, l, r, score::bigint as score,
+    row_number() over (partition by least.lang order by score desc, a desc, phrase) as rank
+  from least left join inside using (lang, ids) where most is null or 100 * most < 50 * a
+)
+select lang, rank, phrase, a, l, r, n, score from ranked join n using (lang) where rank <= 2000
+"""
+
 _TRIE = r"""
 with t as (
   select conv_id, coalesce(text, '') as text, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as digest, turn
@@ -100,4 +132,4 @@ select n.conv_id, n.d as depth, up.conv_id as parent_conv_id, n.n_convs, coalesc
 from n join under using (key) left join kids on kids.key = n.key left join n up on n.d > 0 and up.key = substr(n.key, 1, 64 * (n.d - 1))
 """
 
-LLM_ORACLE: dict[str, str] = {"op2_warc": _WARC, "op8_embedding_dedup": _EMBEDDING_DEDUP, "op9_mix": _MIX, "op13_trie": _TRIE}
+LLM_ORACLE: dict[str, str] = {"op2_warc": _WARC, "op8_embedding_dedup": _EMBEDDING_DEDUP, "op9_mix": _MIX, "op12_collocations": _COLLOCATIONS, "op13_trie": _TRIE}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusweave.llm import ann, bpe, embdedup, langid, mixing, packing, quality, secrets, simhash, trie, url_lm, warc
+from corpusweave.llm import ann, bpe, collocations, embdedup, langid, mixing, packing, quality, secrets, simhash, trie, url_lm, warc
 from corpusweave.llm.oracle import LLM_ORACLE  # noqa: F401
 from corpusweave.session import importable, run_dir, temporary
 from corpusweave.sources.tables import table
@@ -73,6 +73,10 @@ def op11_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.packed(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op12_collocations(spark: SparkSession, d: str) -> DataFrame:
+    return collocations.collocations(table(spark, d, "documents"))
+
+
 def op13_trie(spark: SparkSession, d: str) -> DataFrame:
     return trie.conversation_trie(table(spark, d, "conversations"))
 
@@ -85,6 +89,6 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: _ready(q)
     for q in (
         op1_url_filter, op2_warc, op3_ann, op4_quality, op5_bpe, op6_simhash, op7_language, op8_embedding_dedup, op9_mix, op10_secrets,
-        op11_packing, op13_trie,
+        op11_packing, op12_collocations, op13_trie,
     )
 }
