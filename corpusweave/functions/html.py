@@ -67,6 +67,11 @@ def visible(html: Column) -> Column:
     return without(html, PRUNED + HIDDEN_STRINGS)
 
 
+def holds(html: Column, names: tuple[str, ...]) -> Column:
+    """Whether a page has a tag of one of these names at all."""
+    return html.rlike(r"(?i)<(?:" + "|".join(names) + r")[\s/>]")
+
+
 def read_aloud(html: Column) -> Column:
     """Page whose element texts count: ruby and template strings are no text of
     the heading, cell or item around them."""
@@ -210,158 +215,43 @@ def heading_items(clean: Column) -> Column:
     return F.filter(items, lambda h: h["text"] != "")
 
 
-# -- element scopes ---------------------------------------------------------
-
-def pieces(clean: Column, names: tuple[str, ...] | None) -> Column:
-    """Cut a page at the tags of ``names`` (every tag when None).
-
-    Gives one (name, close, tag, text) per such tag, where text is the node
-    text up to the next one.
-    """
-    which = "|".join(names) if names else "[a-zA-Z][^\\s/>]*+"
-    marked = F.regexp_replace(clean, rf"(?is)<(/?(?:{which})(?=[\s/>]){_ATTRS})>", f"{OPEN}$1{BODY}")
-    found = let(F.split(untag(marked), OPEN), lambda cut: F.slice(cut, F.lit(2), F.size(cut)))
-    return F.transform(
-        F.transform(found, lambda p: F.split(p, BODY)),
-        lambda p: F.struct(
-            F.lower(F.regexp_extract(p[0], r"^/?([^\s/>]+)", 1)).alias("name"),
-            p[0].startswith("/").alias("close"),
-            F.concat(F.lit("<"), p[0], F.lit(">")).alias("tag"),
-            node_text(p[1]).alias("text"),
-        ),
-    )
+# -- token table ------------------------------------------------------------
 
+def tokens(clean: Column, whole: bool = False) -> Column:
+    """A page as an array of (key, text), one a tag, with the stripped text up to the
+    next one; the first is what stands before any tag. ``key`` is the tag's name,
+    with a slash if it closes, and empty for odd markup. ``whole`` adds ``tag``,
+    the tag with its attributes."""
+    name = rf"/?[a-z][^\s/>]*+{_ATTRS}" if whole else r"/?[a-z][^\s/>]*+"
+    rest = "" if whole else _ATTRS
+    pattern = rf"(?is)<(?:({name}){rest}>|[/!?a-z](?:{_ATTRS}|[^>]*+)(?:>|\z))"
+    marked = F.concat(F.lit(BODY), F.regexp_replace(clean, pattern, f"{OPEN}$1{BODY}"))
+    # References in attributes are read with the attributes.
+    decoded, read = (marked, decode_entities) if whole else (decode_entities(marked), lambda t: t)
+    text = lambda t: F.when(t.contains(NODE), node_text(read(t))).otherwise(strip(read(t)))
 
-_ENTRY = "struct<name:string,start:int,parent:int,kids:int,a0:int,b0:int>"
-_ELEMENT = "struct<start:int,end:int,name:string,parent:int,kids:int,a0:int,a1:int,b0:int,b1:int>"
-_CHUNK = 1000
-
-
-def scopes(piece_array: Column, rule, opens, class_a: tuple[str, ...], class_b: tuple[str, ...]) -> Column:
-    """Elements of a page from its tag sequence, ordered by start.
-
-    ``rule(piece)`` gives (targets, stops): a tag closes everything up to the
-    nearest open element named in ``targets`` unless one named in ``stops``
-    comes first. ``opens(piece)`` says whether it then opens an element. Each
-    element carries its enclosing element's start, its count of class-a children,
-    and how many class-a / class-b elements opened before it (a0, b0) and by its
-    end (a1, b1), so descendants are a slice. Chunking keeps the fold linear on
-    very long pages.
-    """
-    n = F.size(piece_array)
-    tokens = F.transform(
-        piece_array,
-        lambda p, i: F.struct(
-            p["name"].alias("name"),
-            (i + 1).cast("int").alias("pos"),
-            rule(p)[0].alias("targets"),
-            rule(p)[1].alias("stops"),
-            opens(p).alias("open"),
-        ),
-    )
-    in_chunks = let(
-        tokens,
-        lambda all_tokens: F.transform(
-            F.sequence(F.lit(0), F.floor((F.greatest(n, F.lit(1)) - 1) / _CHUNK).cast("int")),
-            lambda i: F.slice(all_tokens, i * _CHUNK + 1, F.lit(_CHUNK)),
-        ),
-    )
-    no_entries = F.array().cast(f"array<{_ENTRY}>")
-    no_elements = F.array().cast(f"array<{_ELEMENT}>")
-
-    def closed(entries: Column, pos: Column, a: Column, b: Column) -> Column:
-        return F.transform(
-            entries,
-            lambda e: F.struct(
-                e["start"].alias("start"), pos.cast("int").alias("end"), e["name"].alias("name"),
-                e["parent"].alias("parent"), e["kids"].alias("kids"),
-                e["a0"].alias("a0"), a.alias("a1"), e["b0"].alias("b0"), b.alias("b1"),
-            ),
-        )
+    def one(p: Column) -> Column:
+        key = F.regexp_extract(p[0], r"^/?[^\s/]*+", 0) if whole else p[0]
+        fields = [F.lower(key).alias("key"), text(p[1]).alias("text")]
+        return F.struct(*fields, *([F.concat(F.lit("<"), p[0], F.lit(">")).alias("tag")] if whole else []))
 
-    def popped_count(stack: Column, t: Column) -> Column:
-        """How many open elements the tag closes; mostly the top one decides."""
-        top = F.try_element_at(stack, F.lit(1))["name"]
-        marks = F.transform(
-            stack,
-            lambda e: F.when(F.array_contains(t["targets"], e["name"]), 1)
-            .when(F.array_contains(t["stops"], e["name"]), 2)
-            .otherwise(0),
-        )
-        hit = let(marks, lambda m: F.struct(F.array_position(m, 1).alias("at"), F.array_position(m, 2).alias("stop")))
-        deeper = let(hit, lambda h: F.when((h["stop"] == 0) | (h["at"] < h["stop"]), h["at"]).otherwise(0).cast("int"))
-        return (
-            F.when((F.size(t["targets"]) == 0) | (F.size(stack) == 0), 0)
-            .when(F.array_contains(t["targets"], top), 1)
-            .when(F.array_contains(t["stops"], top), 0)
-            .otherwise(deeper)
-        )
+    return F.transform(F.transform(F.split(decoded, OPEN), lambda p: F.split(p, BODY)), one)
 
-    def push(stack: Column, t: Column, a: Column, b: Column) -> Column:
-        top = F.try_element_at(stack, F.lit(1))
-        entry = F.struct(
-            t["name"].alias("name"), t["pos"].alias("start"),
-            F.coalesce(top["start"], F.lit(0)).alias("parent"), F.lit(0).alias("kids"),
-            a.alias("a0"), b.alias("b0"),
-        )
-        counted = F.transform(
-            F.slice(stack, 1, 1),
-            lambda e: F.struct(
-                e["name"].alias("name"), e["start"].alias("start"), e["parent"].alias("parent"),
-                (e["kids"] + 1).alias("kids"), e["a0"].alias("a0"), e["b0"].alias("b0"),
-            ),
-        )
-        return F.when(
-            t["name"].isin(*class_a),
-            F.concat(F.array(entry), counted, F.slice(stack, F.lit(2), F.size(stack))),
-        ).otherwise(F.concat(F.array(entry), stack))
-
-    def step(acc: Column, t: Column) -> Column:
-        a = acc["a"] + (t["open"] & t["name"].isin(*class_a)).cast("int")
-        b = acc["b"] + (t["open"] & t["name"].isin(*class_b)).cast("int")
-        def after(k: Column) -> Column:
-            kept = F.when(k == 0, acc["stack"]).otherwise(F.slice(acc["stack"], k + 1, F.size(acc["stack"])))
-            done = closed(F.slice(acc["stack"], F.lit(1), k), t["pos"], acc["a"], acc["b"])
-            return F.struct(
-                F.when(t["open"], let(kept, lambda rest: push(rest, t, a, b))).otherwise(kept).alias("stack"),
-                F.when(k == 0, acc["out"]).otherwise(F.concat(acc["out"], done)).alias("out"),
-                a.alias("a"),
-                b.alias("b"),
-            )
-
-        return let(popped_count(acc["stack"], t), after)
-
-    def chunk_step(acc: Column, chunk: Column) -> Column:
-        start = F.struct(
-            acc["stack"].alias("stack"), no_elements.alias("out"), acc["a"].alias("a"), acc["b"].alias("b")
-        )
-        return let(
-            F.aggregate(chunk, start, step),
-            lambda done: F.struct(
-                done["stack"].alias("stack"),
-                F.concat(acc["outs"], F.array(done["out"])).alias("outs"),
-                done["a"].alias("a"),
-                done["b"].alias("b"),
-            ),
-        )
 
-    zero = F.struct(
-        no_entries.alias("stack"),
-        F.array().cast(f"array<array<{_ELEMENT}>>").alias("outs"),
-        F.lit(0).alias("a"),
-        F.lit(0).alias("b"),
-    )
-    return F.aggregate(
-        in_chunks,
-        zero,
-        chunk_step,
-        lambda acc: F.array_sort(
-            F.concat(F.flatten(acc["outs"]), closed(acc["stack"], n + 1, acc["a"], acc["b"]))
-        ),
-    )
+def texts(token_array: Column) -> Column:
+    """The texts of a page in order, without empty ones."""
+    return F.filter(F.transform(token_array, lambda t: t["text"]), lambda t: t != "")
+
+
+def marks(token_array: Column, wanted=None) -> Column:
+    """A word a tag for ``elements.nesting``: ``[*][+][/]name``."""
+    def mark(t: Column) -> Column:
+        star = F.when(wanted(t), "*").otherwise("") if wanted else F.lit("")
+        return F.concat(star, F.when(t["text"] != "", "+").otherwise(""), t["key"])
+
+    return F.array_join(F.transform(token_array, mark), " ")
 
 
-def scope_text(texts: Column, element: Column) -> Column:
-    """Text between an element's start and end tag."""
-    span = F.slice(texts, element["start"], element["end"] - element["start"])
-    return F.array_join(F.filter(span, lambda t: t != ""), " ")
+def span_text(text_array: Column, span: Column) -> Column:
+    """What an element holds."""
+    return F.array_join(F.slice(text_array, span["a"] + 1, span["b"] - span["a"]), " ")

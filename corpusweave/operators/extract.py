@@ -14,13 +14,7 @@ from pyspark.sql import functions as F
 from corpusweave.functions import html as H
 from corpusweave.functions import urls as U
 from corpusweave.functions.binding import let, settled
-
-LIST_TAGS = ("ul", "ol", "li")
-# Containers that may stand between a list and an item, which then is no item of that list.
-LIST_WRAPPERS = ("div", "section", "article", "nav", "form", "span", "blockquote", "details", "fieldset")
-TABLE_TAGS = ("table", "tr", "td", "th")
-LISTS = "array<struct<type:string,items:array<string>>>"
-TABLES = "array<array<array<string>>>"
+from corpusweave.functions.elements import nesting
 
 
 # -- array columns over cleaned markup --------------------------------------
@@ -56,138 +50,46 @@ def image_array(clean: Column, page_url: Column) -> Column:
             H.attribute_values(imgs, "alt").alias("alt"),
         ),
     )
-    found = let(
-        U.split_url(page_url),
-        lambda base: F.transform(
-            F.filter(pairs, lambda p: p["ref"]["raw"] != ""),
-            lambda p: F.struct(
-                U.resolve_split(base, p["ref"], keep_fragment=True).alias("src"), U.strip(p["alt"]).alias("alt")
-            ),
-        ),
-    )
-    return F.when(
-        ~F.exists(pairs, lambda p: F.rlike(p["ref"]["raw"], F.lit(_BAD_HOST))), F.filter(found, lambda i: U.is_web_url(i["src"]))
-    )
-
-
-def _strings(*names: str) -> Column:
-    return F.array(*(F.lit(n) for n in names)) if names else F.array().cast("array<string>")
-
-
-def _list_rule(p: Column) -> tuple[Column, Column]:
-    item = p["name"] == "li"
-    targets = F.when(item, _strings("li")).when(p["close"], F.array(p["name"])).otherwise(_strings())
-    stops = F.when(item, _strings("ul", "ol")).otherwise(_strings())
-    return targets, stops
-
-
-def _table_rule(p: Column) -> tuple[Column, Column]:
-    cell = p["name"].isin("td", "th")
-    row = p["name"] == "tr"
-    targets = (
-        F.when(p["close"], F.array(p["name"])).when(cell, _strings("td", "th")).when(row, _strings("tr")).otherwise(_strings())
-    )
-    stops = (
-        F.when(cell & ~p["close"], _strings("tr", "table"))
-        .when(cell | row, _strings("table"))
-        .otherwise(_strings())
-    )
-    return targets, stops
-
-
-def _opens(p: Column) -> Column:
-    return ~p["close"]
-
-
-def list_scopes(piece_array: Column) -> Column:
-    return H.scopes(piece_array, _list_rule, _opens, ("li",), ())
-
 
-def table_scopes(piece_array: Column) -> Column:
-    return H.scopes(piece_array, _table_rule, _opens, ("tr",), ("td", "th"))
+    def resolved(found: Column) -> Column:
+        images = let(
+            U.split_url(page_url),
+            lambda base: F.transform(
+                F.filter(found, lambda p: p["ref"]["raw"] != ""),
+                lambda p: F.struct(
+                    U.resolve_split(base, p["ref"], keep_fragment=True).alias("src"), U.strip(p["alt"]).alias("alt")
+                ),
+            ),
+        )
+        bad = F.exists(found, lambda p: F.rlike(p["ref"]["raw"], F.lit(_BAD_HOST)))
+        return F.when(~bad, F.filter(images, lambda i: U.is_web_url(i["src"])))
 
+    return let(pairs, resolved)
 
-def _texts(piece_array: Column) -> Column:
-    return F.transform(piece_array, lambda p: p["text"])
 
+# -- lists and tables, from a page's texts and the spans of its elements ------
 
-def lists_from(piece_array: Column, elements: Column) -> Column:
-    """(type, items) per non-empty list in document order, direct items only."""
-    owned = F.filter(elements, lambda e: (e["name"] == "li") & (e["parent"] > 0))
-    items = let(
-        _texts(piece_array),
-        lambda texts: F.transform(
-            owned,
-            lambda e: F.struct(
-                e["parent"].alias("parent"), e["start"].alias("start"), H.scope_text(texts, e).alias("text")
-            ),
-        ),
-    )
-    # Sorted by (parent, position), the items of each list or wrapper are one slice.
-    spans = F.aggregate(
-        F.filter(elements, lambda e: e["name"] != "li"),
-        F.struct(
-            F.lit(0).alias("seen"), F.array().cast("array<struct<name:string,seen:int,kids:int>>").alias("out")
-        ),
-        lambda acc, e: F.struct(
-            (acc["seen"] + e["kids"]).alias("seen"),
-            F.concat(
-                acc["out"],
-                F.array(F.struct(e["name"].alias("name"), acc["seen"].alias("seen"), e["kids"].alias("kids"))),
-            ).alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
-    filled = let(
-        F.array_sort(items),
-        lambda by_list: F.transform(
-            F.filter(spans, lambda s: s["name"].isin("ul", "ol")),
-            lambda s: F.struct(
-                s["name"].alias("type"),
-                F.filter(
-                    F.transform(F.slice(by_list, s["seen"] + 1, s["kids"]), lambda i: i["text"]), lambda t: t != ""
-                ).alias("items"),
-            ),
-        ),
-    )
-    return F.filter(filled, lambda l: F.size(l["items"]) > 0)
+def lists_of(texts: Column, spans: Column) -> Column:
+    """(type, items) per non-empty list in document order; items are the list's
+    direct children, whatever else may stand in between."""
+    filled = F.transform(spans, lambda x: F.struct(
+        x["type"].alias("type"), F.filter(F.transform(x["items"], lambda s: H.span_text(texts, s)), lambda t: t != "").alias("items")
+    ))
+    return F.filter(filled, lambda x: F.size(x["items"]) > 0)
 
 
-def tables_from(piece_array: Column, elements: Column) -> Column:
-    """Rows of cell texts per table; a nested table's rows also show in the
-    table around it. Empty rows and tables are dropped, empty cells are not."""
-    cells = let(
-        _texts(piece_array),
-        lambda texts: F.transform(
-            F.filter(elements, lambda e: e["name"].isin("td", "th")), lambda e: H.scope_text(texts, e)
-        ),
-    )
-    row_cells = let(
-        cells,
-        lambda cs: F.transform(
-            F.filter(elements, lambda e: e["name"] == "tr"), lambda r: F.slice(cs, r["b0"] + 1, r["b1"] - r["b0"])
-        ),
-    )
-    grids = let(
-        row_cells,
-        lambda rs: F.transform(
-            F.filter(elements, lambda e: e["name"] == "table"),
-            lambda t: F.filter(F.slice(rs, t["a0"] + 1, t["a1"] - t["a0"]), lambda r: F.size(r) > 0),
-        ),
-    )
+def tables_of(texts: Column, spans: Column) -> Column:
+    """Rows of cell texts per table; a nested table's rows also show in the table
+    around it. Empty rows and tables are dropped, empty cells are not."""
+    row = lambda r: F.transform(r, lambda s: H.span_text(texts, s))
+    grids = F.transform(spans, lambda t: F.transform(F.filter(t, lambda r: F.size(r) > 0), row))
     return F.filter(grids, lambda g: F.size(g) > 0)
 
 
-def list_array(clean: Column) -> Column:
-    """Lists of a page; a page without a list tag costs one match."""
-    found = let(H.pieces(clean, LIST_TAGS + LIST_WRAPPERS), lambda p: let(list_scopes(p), lambda e: lists_from(p, e)))
-    return F.when(clean.rlike(r"(?i)<[uo]l[\s/>]"), found).otherwise(F.array().cast(LISTS))
-
-
-def table_array(clean: Column) -> Column:
-    """Tables of a page; a page without a table tag costs one match."""
-    found = let(H.pieces(clean, TABLE_TAGS), lambda p: let(table_scopes(p), lambda e: tables_from(p, e)))
-    return F.when(clean.rlike(r"(?i)<table[\s/>]"), found).otherwise(F.array().cast(TABLES))
+def _nested(pages: DataFrame, clean: Column, names: tuple[str, ...]) -> DataFrame:
+    """``page_id, url, _x, _n``: texts and nesting of the pages that have a tag of ``names``."""
+    found = pages.where(H.holds(F.col("html"), names)).select("page_id", "url", H.tokens(clean).alias("_t"))
+    return found.select("page_id", "url", H.texts(F.col("_t")).alias("_x"), nesting(H.marks(F.col("_t"))).alias("_n"))
 
 
 # -- exploded tables --------------------------------------------------------
@@ -239,13 +141,15 @@ def heading_table(pages: DataFrame) -> DataFrame:
 
 
 def cell_table(pages: DataFrame) -> DataFrame:
-    tables = _array_rows(pages, "tables", table_array, H.read_aloud).select("page_id", "url", F.posexplode("tables").alias("table_no", "t"))
+    nested = _nested(pages, H.read_aloud(F.col("html")), ("table",))
+    tables = nested.select("page_id", "url", F.posexplode(tables_of(F.col("_x"), F.col("_n.tables"))).alias("table_no", "t"))
     rows = tables.select("page_id", "url", "table_no", F.posexplode("t").alias("row_no", "r"))
     return rows.select("page_id", "url", "table_no", "row_no", F.posexplode("r").alias("cell_no", "text"))
 
 
 def list_item_table(pages: DataFrame) -> DataFrame:
-    lists = _array_rows(pages, "lists", list_array, H.read_aloud).select("page_id", "url", F.posexplode("lists").alias("list_no", "l"))
+    nested = _nested(pages, H.read_aloud(F.col("html")), ("ul", "ol"))
+    lists = nested.select("page_id", "url", F.posexplode(lists_of(F.col("_x"), F.col("_n.lists"))).alias("list_no", "l"))
     return lists.select(
         "page_id", "url", "list_no", F.col("l.type").alias("type"), F.posexplode("l.items").alias("item_no", "text")
     )
@@ -261,63 +165,24 @@ def _parse_selector(selector: str) -> tuple[str | None, str | None, str | None]:
     return (tag.lower() if tag else None), cls, ident
 
 
-def _selector_rule(p: Column) -> tuple[Column, Column]:
-    """Paragraphs, items and cells may leave their end tag out; any other
-    element runs to its own end tag."""
-    block = p["name"].isin(*H.PARAGRAPH_ENDERS)
-    targets = (
-        F.when(p["close"], F.array(p["name"]))
-        .when(block, _strings("p"))
-        .when(p["name"] == "li", _strings("li"))
-        .when(p["name"].isin("td", "th"), _strings("td", "th"))
-        .when(p["name"].isin("dd", "dt"), _strings("dd", "dt"))
-        .when(p["name"].isin("tr", "option"), F.array(p["name"]))
-        .otherwise(_strings())
-    )
-    stops = (
-        F.when(p["name"] == "li", _strings("ul", "ol"))
-        .when(p["name"].isin("td", "th") & ~p["close"], _strings("tr", "table"))
-        .when(p["name"].isin("td", "th", "tr"), _strings("table"))
-        .when(~p["close"] & block, _strings("td", "th", "caption", "button", "table"))
-        .otherwise(_strings())
-    )
-    return targets, stops
-
-
-def _scope_names(tag: str | None) -> tuple[str, ...] | None:
-    """Tags that can bound an element of this name; None means all of them."""
-    if tag is None:
-        return None
-    near = {
-        "li": ("li", "ul", "ol"),
-        "td": TABLE_TAGS, "th": TABLE_TAGS, "tr": TABLE_TAGS,
-        "dd": ("dl", "dt", "dd"), "dt": ("dl", "dt", "dd"),
-        "p": H.PARAGRAPH_ENDERS + ("td", "th", "li", "button", "caption", "body"),
-    }
-    return near.get(tag, (tag,))
-
-
 def _selected(pages: DataFrame, selector: str) -> DataFrame:
     tag, cls, ident = _parse_selector(selector)
     # Raw-text bodies hold no elements; a selector for one of them wants the body.
     hidden = tuple(n for n in H.RAW_TEXT + H.HIDDEN_STRINGS if n != tag)
-    def found(p: Column) -> Column:
-        scopes = H.scopes(p, _selector_rule, lambda t: ~t["close"] & ~t["name"].isin(*H.VOID_TAGS), (), ())
-
-        def hit(element: Column) -> Column:
-            own_tag = F.array(F.element_at(p, element["start"])["tag"])
-            ok = (element["name"] == tag) if tag else F.lit(True)
-            if cls:
-                words = F.split(F.element_at(H.attribute_values(own_tag, "class"), 1), r"\s+")
-                ok = ok & F.array_contains(words, cls)
-            if ident:
-                ok = ok & (F.element_at(H.attribute_values(own_tag, "id"), 1) == ident)
-            return ok
+    named, value = ("class", cls) if cls else ("id", ident)
 
-        return let(_texts(p), lambda texts: F.transform(F.filter(scopes, hit), lambda e: H.scope_text(texts, e)))
+    def wanted(t: Column) -> Column:
+        ok = (t["key"] == tag) if tag else ~t["key"].startswith("/") & (t["key"] != "")
+        if not value:
+            return ok
+        given = F.element_at(H.attribute_values(F.array(t["tag"]), named), 1)
+        has = F.array_contains(F.split(given, r"\s+"), cls) if cls else given == ident
+        # Only a tag that says so at all is read; a value with a reference in it may say so otherwise.
+        return ok & F.when(t["tag"].contains(value) | t["tag"].contains("&"), has).otherwise(False)
 
-    cut = H.pieces(H.without(F.col("html"), hidden), _scope_names(tag))
-    return settled(pages.select("page_id", "url", let(cut, found).alias("found")), "found", F.col("found"))
+    staged = pages.select("page_id", "url", H.tokens(H.without(F.col("html"), hidden), whole=True).alias("_t"))
+    nested = staged.select("page_id", "url", H.texts(F.col("_t")).alias("_x"), nesting(H.marks(F.col("_t"), wanted)).alias("_n"))
+    return nested.select("page_id", "url", F.transform("_n.found", lambda s: H.span_text(F.col("_x"), s)).alias("found"))
 
 
 def selector_matches(pages: DataFrame, selector: str) -> DataFrame:
@@ -347,21 +212,28 @@ def page_records(pages: DataFrame, missing: Column | None = None) -> DataFrame:
     if missing is not None:
         pages = pages.withColumn("missing", missing)
         keep.append("missing")
-    staged = pages.select(
-        *keep, "url", failed.alias("_failed"), H.markup(body).alias("_m"), H.pruned(body).alias("_p"), H.visible(body).alias("_v"),
-    )
+    staged = pages.select(*keep, "url", failed.alias("_failed"), body.alias("_h"), H.markup(body).alias("_m"))
+    # What a page does not hold need not be cut out of it once more.
+    without = lambda names, cut, rest: F.when(H.holds(F.col("_h"), names), cut(F.col("_h"))).otherwise(F.col(rest))
+    staged = staged.withColumn("_p", without(("noscript",), H.pruned, "_m"))
+    staged = staged.withColumn("_v", without(H.HIDDEN_STRINGS, H.visible, "_p")).withColumn("_t", H.tokens(F.col("_v")))
+    tokens = F.col("_t")
+    boxed = F.exists(tokens, lambda t: t["key"].isin("ul", "ol", "table"))
     parts = staged.select(
         *keep,
         "url",
         "_failed",
         H.title_of(F.col("_m")).alias("title"),
-        H.node_text(H.untag(F.col("_v"))).alias("text"),
+        H.texts(tokens).alias("_x"),
         link_array(F.col("_p"), F.col("url")).alias("_links"),
         F.when(~F.col("_failed"), metadata(F.col("_m"))).alias("metadata"),
         image_array(F.col("_p"), F.col("url")).alias("_images"),
         H.heading_items(F.col("_v")).alias("headings"),
-        table_array(F.col("_v")).alias("tables"),
-        list_array(F.col("_v")).alias("lists"),
+        nesting(F.when(boxed, H.marks(tokens)).otherwise("")).alias("_n"),
+    )
+    parts = parts.select(
+        "*", F.array_join("_x", " ").alias("text"), tables_of(F.col("_x"), F.col("_n.tables")).alias("tables"),
+        lists_of(F.col("_x"), F.col("_n.lists")).alias("lists"),
     )
     part_errors = [
         F.when(F.col("_failed"), "Failed to parse HTML: TypeError"),

@@ -1,8 +1,10 @@
 import random
+import time
 from html.parser import HTMLParser as StdParser
 
 import pytest
 
+from corpusweave.functions.elements import _scanner
 from corpusweave.operators import extract as X
 from corpusweave.operators import lookup as L
 
@@ -169,6 +171,11 @@ def test_nested_lists_and_tables_equal_a_sequential_model(spark):
         ("<ul><li>a</li><div><li>x</li></div><li>b</li></ul>", [("ul", ["a", "b"])]),
         ("<ul><li><div>a<span>b</span></div></li></ul>", [("ul", ["a b"])]),
         ("<div><ol><li>a<ul><li>b</ul></ol></div><section><li>no list</section>", [("ol", ["a b"]), ("ul", ["b"])]),
+        *((f"<ul><{t}><li>x</{t}><li>y</ul>", [("ul", ["y"])]) for t in ("main", "center", "a", "div", "x-card", "b")),
+        *((f"<ul><li>y</li><{t}><li>x</{t}></ul>", [("ul", ["y"])]) for t in ("main", "center", "a", "div", "x-card", "b")),
+        ("<ul><li><b>open<li>next</ul><ol><li>other</ol>", [("ul", ["open", "next"]), ("ol", ["other"])]),
+        ("<ul><br><p><li>a</ul></div><ul><ul><li>b</ul><li>c</ul>", [("ul", ["a"]), ("ul", ["c"]), ("ul", ["b"])]),
+        ("<ul title='<li>'><li data-x='</ul>'>a<!-- <li> --></ul>", [("ul", ["a"])]),
     ],
 )
 def test_only_direct_children_are_items(spark, markup, lists):
@@ -182,6 +189,30 @@ def test_long_flat_page(spark):
     assert len(r.lists[0]["items"]) == n and r.lists[0]["items"][-1] == f"i{n - 1}"
 
 
+def _cost(marks):
+    scan, best = _scanner(), float("inf")
+    for _ in range(3):
+        start = time.perf_counter()
+        scan(marks)
+        best = min(best, time.perf_counter() - start)
+    return best
+
+
+@pytest.mark.parametrize("shape", ["flat", "nested", "stray"])
+def test_nesting_costs_in_proportion_to_a_page(shape):
+    def page(n):
+        return {"flat": "ul " + "+li " * n, "nested": "ul li " * n + "/li /ul " * n, "stray": "div " * n + "b /i +li " * n}[shape].strip()
+
+    assert _cost(page(80_000)) <= 2.2 * _cost(page(40_000)) * 1.3  # room for a busy machine
+
+
+def test_deep_lists_in_a_page(spark):
+    n = 3000
+    r = one(spark, "<ul><li>" * n + "x" + "</li></ul>" * n + "<table><tr><td>" * 40 + "y" + "</table>" * 40)
+    assert len(r.lists) == n and {tuple(x["items"]) for x in r.lists} == {("x",)}
+    assert len(r.tables) == 40 and r.tables[-1] == [["y"]] and [len(t) for t in r.tables[:3]] == [40, 39, 38]
+
+
 def test_lookup_and_failed_record(spark):
     pages = frame(spark, ("https://e.com/ok", "<title>T</title>ok"), ("https://e.com/empty", ""), ("https://e.com/ok", "second"))
     urls = spark.createDataFrame([("https://e.com/ok",), ("https://e.com/missing",), ("https://e.com/ok",), ("https://e.com/empty",)], "url string")
