@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,29 +24,72 @@ def _answers(urls: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame, b
     few enough to broadcast.
 
     The page is chosen on (url, page_id) alone, reduced before the shuffle, so a
-    URL with very many copies is no burden.
+    URL with very many copies is no burden. A page without page_id answers nothing.
     """
     wanted = urls.select("url").distinct()
-    first = written(pages.groupBy("url").agg(F.min("page_id").alias("page_id")).join(wanted, "url", "left_semi"), "answers")
+    first = written(pages.where("page_id is not null").groupBy("url").agg(F.min("page_id").alias("page_id")).join(wanted, "url", "left_semi"), "answers")
     size = first.agg(F.sum(F.octet_length("url") + F.lit(64))).first()[0] or 0
     return wanted, first, size <= BROADCAST_BYTES
 
 
-def _looked_up(urls: DataFrame, pages: DataFrame, value: Column, absent: Column, name: str) -> DataFrame:
-    """``url`` and a value of the page that answers it, or ``absent``.
+# Bits of the filter of wanted pages: so many for each of them, up to a size that a plan can carry.
+BITS_EACH, MOST_BITS, PROBES = 12, 1 << 26, 4
+
+
+def _probe(page_id: Column, probe: int, bits: int) -> Column:
+    return F.pmod(F.xxhash64(page_id, F.lit(probe)), F.lit(bits))
+
 
-    The value is taken where the page was read. Up to ``BROADCAST_BYTES`` of
-    answers nothing of a page moves; beyond, the value moves once, by page_id.
+def bloom_filter(ids: DataFrame, column: str) -> Callable[[Column], Column]:
+    """A predicate that every id of ``ids`` passes and few others do.
+
+    Bits are set by tasks and combined before they move; the driver sees at most
+    ``MOST_BITS``. More ids than that is meant for let more others pass.
+    """
+    n = ids.count()
+    bits = min(MOST_BITS, 1 << max(10, (BITS_EACH * n - 1).bit_length()))
+    probes = F.explode(F.array(*(_probe(F.col(column), k, bits) for k in range(PROBES))))
+    words = ids.select(probes.alias("_b")).groupBy((F.col("_b") / 64).cast("int").alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(_b % 64 as int))")).alias("mask")
+    ).toArrow()
+    table = np.zeros(bits // 64, dtype="<i8")
+    table[words.column("word").to_numpy()] = words.column("mask").to_numpy()
+    stored = F.lit(table.tobytes())
+
+    def passes(page_id: Column) -> Column:
+        found = F.lit(True)
+        for k in range(PROBES):
+            bit = _probe(page_id, k, bits)
+            byte = F.conv(F.hex(F.substring(stored, (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+            found = found & (F.getbit(byte, (bit % 8).cast("int")) == 1)
+        return found
+
+    return passes
+
+
+def _looked_up(urls: DataFrame, pages: DataFrame, build: Callable[[DataFrame], DataFrame], absent: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What ``build`` makes of the pages that answer, and ``absent`` of URLs without one.
+
+    Built where the page was read. Up to ``BROADCAST_BYTES`` of answers nothing of a
+    page moves; beyond, a Bloom filter of the wanted pages leaves few others
+    to build from, and what was built moves once.
     """
     wanted, first, few = _answers(urls, pages)
-    values = pages.select("page_id", value.alias(name))
-    found = values.join(F.broadcast(first) if few else first, "page_id").select("url", name)
-    return found.unionByName(wanted.join(first, "url", "left_anti").select("url", absent.alias(name)))
+    answer = ["url", "page_id"]
+    if few:
+        found = build(pages.join(F.broadcast(first), answer, "left_semi"))
+    else:
+        wants = bloom_filter(first, "page_id")
+        found = build(pages.where(wants(F.col("page_id")))).join(first, answer, "left_semi")
+    return found.drop("page_id").unionByName(absent(wanted.join(first, "url", "left_anti")))
 
 
 def batch_lookup(urls: DataFrame, pages: DataFrame) -> DataFrame:
     """One row per requested URL with its body, ``''`` when there is none."""
-    return _looked_up(urls, pages, F.coalesce("html", F.lit("")), F.lit(""), "html")
+    return _looked_up(
+        urls, pages, lambda found: found.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html")),
+        lambda missing: missing.select("url", F.lit("").alias("html")),
+    )
 
 
 def is_fetched(html: Column) -> Column:
@@ -52,13 +98,18 @@ def is_fetched(html: Column) -> Column:
 
 def fetch_status(urls: DataFrame, pages: DataFrame) -> DataFrame:
     """Status and body length of each requested URL; only the length leaves a page."""
-    length = F.length(F.coalesce("html", F.lit("")))
-    found = _looked_up(urls, pages, length, F.lit(0), "length")
+    length = F.length(F.coalesce("html", F.lit(""))).alias("length")
+    found = _looked_up(
+        urls, pages, lambda found: found.select("page_id", "url", length), lambda missing: missing.select("url", F.lit(0).alias("length"))
+    )
     return found.select("url", F.when(F.col("length") > 0, "OK").otherwise("ERROR").alias("status"), "length")
 
 
 def fetch_and_extract(urls: DataFrame, pages: DataFrame) -> DataFrame:
-    """Page record per requested URL; an unfetched page gets the failed record."""
-    fetched = batch_lookup(urls, pages)
-    missing = ~is_fetched(F.col("html"))
-    return X.with_fetch_failures(X.page_records(fetched, missing=missing), F.col("missing")).drop("missing")
+    """Page record per requested URL; an unfetched page gets the failed record.
+    Records are made where their page was read, before anything moves."""
+    def records(found: DataFrame) -> DataFrame:
+        whole = found.withColumn("html", F.coalesce("html", F.lit("")))
+        return X.with_fetch_failures(X.page_records(whole, missing=~is_fetched(F.col("html"))), F.col("missing")).drop("missing")
+
+    return _looked_up(urls, pages, records, lambda missing: records(missing.withColumn("html", F.lit(""))))

@@ -34,18 +34,21 @@ def visited_once(stream: DataFrame, horizon: str | None = None, time_column: str
     return urls.withWatermark(time_column, horizon).dropDuplicatesWithinWatermark(["url"])
 
 
-def visited_urls(stream: DataFrame) -> DataFrame:
-    """The visited set as bare URLs. Repeats within a task's batch are dropped
-    before the shuffle, which keyed deduplication alone would not do, so one
-    very frequent URL does not land on one task."""
+SALTS = 16
 
-    # Local, so that it travels to executors that lack this package.
-    def first_of_each(batches):
-        for urls in batches:
-            yield urls.drop_duplicates("url")
 
-    urls = stream.select(U.normalize(F.col("url")).alias("url"))
-    return urls.mapInPandas(first_of_each, "url string").dropDuplicates(["url"])
+def visited_urls(stream: DataFrame, horizon: str | None = None, time_column: str = "ts") -> DataFrame:
+    """The visited set as bare URLs; with ``horizon`` a URL is forgotten after that
+    long, and the state holds no more than it saw in that time.
+
+    Repeats go in two keyed steps: by URL and a salt first, so that one very frequent
+    URL is spread over ``SALTS`` tasks and sends at most so many rows to the second.
+    """
+    urls = stream.withColumn("url", U.normalize(F.col("url"))).withColumn("_salt", F.pmod(F.xxhash64("req_id"), F.lit(SALTS)))
+    if horizon is None:
+        return urls.select("url", "_salt").dropDuplicates(["url", "_salt"]).select("url").dropDuplicates(["url"])
+    timed = urls.select("url", "_salt", time_column).withWatermark(time_column, horizon)
+    return timed.dropDuplicatesWithinWatermark(["url", "_salt"]).dropDuplicatesWithinWatermark(["url"]).select("url")
 
 
 def request_rate(stream: DataFrame, per_domain: bool = True, window: str = "1 second", slide: str | None = None, lateness: str = "1 minute") -> DataFrame:
@@ -71,10 +74,10 @@ def _batch_writer(path: str):
     return write
 
 
-def run_visited(stream: DataFrame) -> DataFrame:
+def run_visited(stream: DataFrame, horizon: str | None = None) -> DataFrame:
     spark = stream.sparkSession
     out = run_dir(spark, "visited")
-    unique = visited_urls(stream)
+    unique = visited_urls(stream, horizon)
     _finish(unique.writeStream.format("parquet").option("path", f"{out}/data").outputMode("append"), f"{out}/checkpoint")
     return spark.read.schema(unique.schema).parquet(f"{out}/data")
 

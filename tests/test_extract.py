@@ -3,6 +3,7 @@ import time
 from html.parser import HTMLParser as StdParser
 
 import pytest
+from pyspark.sql import functions as F
 
 from corpusweave.functions.elements import _scanner
 from corpusweave.operators import extract as X
@@ -237,3 +238,23 @@ def test_lookups_beyond_the_broadcast_bound(spark, monkeypatch):
     monkeypatch.setattr(L, "BROADCAST_BYTES", 0)
     assert sorted(map(tuple, L.batch_lookup(urls, pages).collect())) == few
     assert few == sorted((f"https://e.com/{k}", "x" * k if k < 40 else "") for k in range(30, 50))
+    records = {r.url: (r.text, list(r.errors)) for r in L.fetch_and_extract(urls, pages).collect()}
+    assert records == {u: (h, [] if h else ["Failed to fetch HTML"]) for u, h in few}
+
+
+def test_no_body_moves_unfiltered_beyond_the_broadcast_bound(spark, tmp_path, monkeypatch):
+    frame(spark, *((f"https://e.com/{k}", f"<h1>{k}") for k in range(200))).write.parquet(str(tmp_path / "p"))
+    pages = spark.read.parquet(str(tmp_path / "p"))
+    urls = spark.createDataFrame([(f"https://e.com/{k}",) for k in range(5)], "url string")
+    monkeypatch.setattr(L, "BROADCAST_BYTES", 0)
+    for job in (L.batch_lookup, L.fetch_status, L.fetch_and_extract):
+        plan = job(urls, pages)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        scans = [k for k, line in enumerate(plan) if "Relation" in line and "html" in line]
+        assert scans and all("Filter" in plan[k - 1] and "getbit" in plan[k - 1] for k in scans)
+
+
+def test_bloom_filter_lets_wanted_ids_pass_and_few_others(spark):
+    ids = spark.range(0, 40_000, 40).withColumnRenamed("id", "page_id")
+    passed = {r.id for r in spark.range(40_000).where(L.bloom_filter(ids, "page_id")(F.col("id"))).collect()}
+    assert passed >= set(range(0, 40_000, 40)) and len(passed) < 1000 + 400
+    assert spark.range(100).where(L.bloom_filter(ids.where("false"), "page_id")(F.col("id"))).count() == 0

@@ -42,6 +42,23 @@ def test_visited_passes_each_url_once(spark, tmp_path, batches):
     assert sorted(got) == sorted({r[1].split("#")[0] for b in batches for r in b})
 
 
+def test_visited_needs_no_python_and_spreads_a_hot_url(spark, tmp_path, batches):
+    hot = [[(k, "https://hot.com/", "hot.com", 1_700_000_000_000_000 + k, 200, "http", None) for k in range(900)]]
+    stream = files(spark, tmp_path, hot)
+    plan = S.visited_urls(stream)._jdf.queryExecution().analyzed().toString()
+    assert "Python" not in plan and "InPandas" not in plan and plan.count("Deduplicate") == 2
+    assert [r.url for r in S.run_visited(stream).collect()] == ["https://hot.com/"]
+
+
+def test_visited_forgets_after_the_horizon(spark, tmp_path):
+    at = lambda s: 1_700_000_000_000_000 + s * 1_000_000
+    seen = [("a", 0), ("a", 30), ("b", 500), ("c", 1000), ("a", 1500)]
+    rows = [[(k, f"https://{d}.com/", f"{d}.com", at(s), 200, "http", None)] for k, (d, s) in enumerate(seen)]
+    stream = files(spark, tmp_path, rows).withColumn("ts", F.timestamp_micros("arrival_us"))
+    got = sorted(r.url for r in S.run_visited(stream, "60 seconds").collect())
+    assert got == ["https://a.com/", "https://a.com/", "https://b.com/", "https://c.com/"]
+
+
 @pytest.mark.parametrize("per_domain", [True, False])
 def test_rate_per_second(spark, tmp_path, batches, per_domain):
     got = {tuple(r[:-1]): r.n for r in S.run_request_rate(files(spark, tmp_path, batches), per_domain).collect()}
