@@ -13,11 +13,12 @@ is the lattice point of five groups, and every pair within the radius shares a
 cell, while two unrelated fingerprints do so once in some 300,000 times. Counts are kept in unary inside one long (two bits a segment), so a cell
 key is a mask and a Manhattan distance is the bit count of a XOR.
 
-Pairs of a dense cell are never listed. First every fingerprint of a cell is
-compared with the cell's smallest, which links a group of near copies as a star.
-The links found so far give components; then only pairs of different components
-are compared, with each cell's largest component on one side only. A cell that
-lies in one component costs nothing more.
+Pairs of a cell are never listed. First every fingerprint of a cell is compared
+with the cell's smallest, which links a group of near copies as a star. The links
+found so far give components, and a cell that lies in one of them costs nothing
+more. The members of the other cells are compared where they meet, in arrays: a
+large cell is dealt out over pairs of blocks, so no task holds more than two of
+them, and a unit of work hands on a spanning forest of the components it joins.
 """
 
 from __future__ import annotations
@@ -46,6 +47,7 @@ _EVEN = 0x5555555555555555
 class SimHashConfig:
     shingle: int = 4
     max_distance: int = RADIUS
+    block: int = 2048  # fingerprints of a cell that meet at a time
 
     def __post_init__(self) -> None:
         if not 0 <= self.max_distance <= RADIUS:
@@ -133,18 +135,98 @@ def link_components(points: DataFrame, config: SimHashConfig = SimHashConfig())
     first = written(_labelled(points, stars.select(F.col("fp").alias("a"), F.col("pivot").alias("b")).distinct()), "simhash-stars")
 
     members = shared.select(*cell, "fp").join(first, "fp")
-    sizes = members.groupBy(*cell, "comp").agg(F.count("*").alias("n"))
-    mixed = sizes.groupBy(*cell).agg(F.max_by("comp", F.struct("n", "comp")).alias("big"), F.count("*").alias("comps")).where("comps > 1")
-    members = members.join(mixed.select(*cell, "big"), cell)
-    a = members.where("comp <> big").select(*cell, F.col("fp").alias("_fa"), F.col("comp").alias("_ca"))
-    b = members.select(*cell, F.col("fp").alias("_fb"), F.col("comp").alias("_cb"), "big")
-    once = (F.col("_cb") == F.col("big")) | (F.col("_ca") < F.col("_cb"))
-    pairs = a.join(b, cell).where((F.col("_ca") != F.col("_cb")) & once & _near(F.col("_fa"), F.col("_fb"), radius))
-    joined = components(pairs.select(F.col("_ca").alias("a"), F.col("_cb").alias("b")).distinct())
+    mixed = members.groupBy(*cell).agg(F.count("*").alias("_n"), F.min("comp").alias("_a"), F.max("comp").alias("_b")).where("_a <> _b")
+    dealt = _dealt(members.join(mixed.select(*cell, "_n"), cell), config.block)
+    joined = components(_compared(dealt, config).distinct())
     found = first.join(joined.select(F.col("id").alias("comp"), "component"), "comp", "left")
     return found.select("fp", F.coalesce("component", "comp").alias("comp"))
 
 
+UNIT = ["kind", "cell", "i", "j"]
+
+
+def _dealt(members: DataFrame, block: int) -> DataFrame:
+    """Members of cells of ``_n`` fingerprints, for each pair ``i <= j`` of blocks they take part in."""
+    blocks = F.ceil(F.col("_n") / block).cast("int")
+    placed = members.withColumn("_k", blocks).withColumn("sub", F.pmod(F.xxhash64("fp"), F.col("_k")).cast("int"))
+    pairs = F.transform(F.sequence(F.lit(0), F.col("_k") - 1), lambda o: F.struct(F.least("sub", o).alias("i"), F.greatest("sub", o).alias("j")))
+    return placed.select("kind", "cell", "sub", "fp", "comp", F.explode(pairs).alias("_p")).select("kind", "cell", "_p.i", "_p.j", "sub", "fp", "comp")
+
+
+def spanning(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """Of links between components, those that join what was apart."""
+    root: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = x = root[up]
+        return x
+
+    kept = []
+    for x, y in zip(a.tolist(), b.tolist(), strict=True):
+        p, q = top(x), top(y)
+        if p != q:
+            root[max(p, q)] = min(p, q)
+            kept.append((x, y))
+    return kept
+
+
+def unary(fp: np.ndarray) -> np.ndarray:
+    """``embedded`` for an array of fingerprints."""
+    even, high = np.uint64(_EVEN), fp >> np.uint64(1)
+    return (fp & high & even) << np.uint64(1) | (fp | high) & even
+
+
+def unit_links(unit: np.ndarray, right: np.ndarray, inner: np.ndarray, fp: np.ndarray, comp: np.ndarray, radius: int) -> list[tuple[int, int]]:
+    """Links between components within units of work, whose rows stand together. A row
+    is compared with those up to the end of its unit; ``inner`` units have one block,
+    in others only rows of the left and the ``right`` block meet."""
+    e, n, found = unary(fp), len(fp), []
+    ends = np.flatnonzero(np.diff(unit, append=-1))
+    last = np.repeat(ends, np.diff(ends, prepend=-1))
+    rows, step = np.arange(n), 1
+    while len(rows := rows[rows + step <= last[rows]]):
+        other = rows + step
+        near = (np.bitwise_count(e[rows] ^ e[other]) <= radius) & (comp[rows] != comp[other]) & (inner[rows] | (right[rows] != right[other]))
+        a, b = rows[near], other[near]
+        exact = np.bitwise_count(fp[a] ^ fp[b]) <= radius
+        found.append(np.stack([comp[a[exact]], comp[b[exact]]]))
+        step += 1
+    if not found:
+        return []
+    pairs = np.unique(np.concatenate(found, axis=1), axis=1)
+    return spanning(*pairs)
+
+
+def _compared(dealt: DataFrame, config: SimHashConfig) -> DataFrame:
+    """``(a, b)``: links between components, from the units that ``dealt`` holds."""
+    radius = config.max_distance
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def links(table: pa.Table) -> pa.RecordBatch:
+            columns = [table.column(c).to_numpy().astype(np.int64) for c in (*UNIT, "sub", "fp", "comp")]
+            kind, cell, i, j, sub, fp, comp = columns
+            new = np.logical_or.reduce([np.diff(c, prepend=c[:1]) != 0 for c in (kind, cell, i, j)]) if len(fp) else np.zeros(0, bool)
+            pairs = unit_links(np.cumsum(new), sub == j, i == j, fp.view(np.uint64), comp, radius)
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+        held: pa.Table | None = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            # The last unit may go on in the next batch.
+            same = np.logical_and.reduce([held.column(c).to_numpy() == held.column(c)[-1].as_py() for c in UNIT]) if held.num_rows else np.zeros(0, bool)
+            whole = int(held.num_rows - same.sum())
+            if whole:
+                yield links(held.slice(0, whole))
+                held = held.slice(whole).combine_chunks()
+        if held is not None and held.num_rows:
+            yield links(held)
+
+    spread = dealt.repartition(shuffle_width(dealt.sparkSession), *UNIT).sortWithinPartitions(*UNIT, "sub")
+    return spread.mapInArrow(run, "a long, b long")
+
+
 def near_duplicates(documents: DataFrame, config: SimHashConfig = SimHashConfig()) -> DataFrame:
     """``(doc_id, fingerprint, component_id)`` per row of ``documents(doc_id, text)``.
 
