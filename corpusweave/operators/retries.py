@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from corpusweave.config import RetryConfig, SimpleBackoffConfig, TimeoutConfig
 from corpusweave.functions.binding import settled
+from corpusweave.functions.html import FETCH_FAILED
+from corpusweave.sources.sinks import Entries, json_object, json_text
 
 # Status sets, message texts and the type hierarchy.
 TRANSIENT_STATUSES = (408, 425, 429, 500, 502, 503, 504)
@@ -218,3 +220,38 @@ def error_report(replayed: DataFrame, config: RetryConfig) -> DataFrame:
         .unionByName(line("permanent_errors", permanent_errors(history)))
         .unionByName(line("retry_delays", delays))
     )
+
+
+def error_document(replayed: DataFrame, config: RetryConfig) -> dict:
+    """The report as one nested document for ``sinks.write_document``: counters are
+    read once, every list and mapping over URLs stays a table."""
+    counts = error_stats(replayed, config).first().asDict()
+    history = error_history(replayed)
+    permanent = permanent_errors(history)
+    delays = replayed.where(F.col("retry_delay").isNotNull())
+    types = ("TransientError", "PermanentError", "NetworkError", "ParseError")
+    stats = {
+        "errors_by_type": {t: counts[t] for t in types if counts[t]},
+        **{name: counts[name] for name in ("successful_retries", "failed_after_retries", "average_retry_delay")},
+        "permanent_error_urls": Entries(permanent, json_text(F.col("url")), ("url",)),
+        **{name: counts[name] for name in ("total_error_events", "final_failures")},
+    }
+    return {
+        "error_stats": stats,
+        "error_history": Entries(history, json_object("url", "type", "message", "status_code"), ("url", "attempt")),
+        "permanent_errors": Entries(permanent, json_text(F.col("message")), ("url",), key=F.col("url")),
+        "retry_delays": Entries(delays, F.col("retry_delay").cast("string"), ("url", "attempt")),
+    }
+
+
+def crawl_document(replayed: DataFrame, config: RetryConfig, rate_stats: dict) -> dict:
+    """The whole run: rate statistics, error report, and what became of each URL."""
+    by_outcome = lambda outcome: replayed.where(F.col("outcome") == outcome).select("url").distinct()
+    calls = replayed.groupBy("url").agg(F.count("*").alias("n"))
+    return {
+        "rate_stats": rate_stats,
+        "error_report": error_document(replayed, config),
+        "processed_urls": Entries(by_outcome("success"), json_text(F.col("url")), ("url",)),
+        "failed_urls": Entries(by_outcome("failed"), json_text(F.lit(FETCH_FAILED)), ("url",), key=F.col("url")),
+        "http_calls": Entries(calls, F.col("n").cast("string"), ("url",), key=F.col("url")),
+    }

@@ -160,11 +160,15 @@ def results_sink(spark, d):
 
 
 def report_sink(spark, d):
-    report = RT.error_report(checkpointed(_replayed(spark, d)), RETRY)
+    """The nested report is written; its parts are counted as they read back."""
+    report = RT.error_document(checkpointed(_replayed(spark, d)), RETRY)
     path = run_dir(spark, "report")
-    sinks.write_report(report, path)
-    parsed = sinks.read_report(spark, path).select(F.get_json_object("value", "$.section").alias("section"))
-    return parsed.groupBy("section").agg(F.count("*").alias("entries"))
+    sinks.write_document(spark, report, path)
+    counted = spark.createDataFrame([("error_stats", 1)], "section string, entries long")
+    for section in ("error_history", "permanent_errors", "retry_delays"):
+        entries = sinks.read_entries(spark, path, section)
+        counted = counted.unionByName(entries.agg(F.lit(section).alias("section"), F.count("*").alias("entries")))
+    return counted.where("entries > 0")
 
 
 def robots_source(spark, d):

@@ -149,6 +149,38 @@ def test_written_report(spark, tmp_path):
     assert sorted(h["url"] for h in got["error_history"]) == ["https://dock.example/gone", "https://dock.example/slow"]
 
 
+def test_nested_document(spark, tmp_path):
+    replayed, config = harbour(spark)
+    sinks.write_document(spark, RT.crawl_document(replayed, config, {"requests_per_second": 2.5, "note": 'q"\u00e9'}), str(tmp_path / "d"))
+    sinks.join_document(spark, str(tmp_path / "d"), str(tmp_path / "whole.json"))
+    got = json.loads((tmp_path / "whole.json").read_text())
+    gone, slow = "https://dock.example/gone", "https://dock.example/slow"
+    message = f"Permanent HTTP error: 410 | url={gone} | status_code=410"
+    assert got["rate_stats"] == {"requests_per_second": 2.5, "note": 'q"\u00e9'}
+    report = got["error_report"]
+    assert report["error_stats"] == {
+        "errors_by_type": {"TransientError": 5, "PermanentError": 1, "NetworkError": 1}, "successful_retries": 2, "failed_after_retries": 1,
+        "average_retry_delay": pytest.approx(0.9), "permanent_error_urls": [gone], "total_error_events": 7, "final_failures": 2,
+    }
+    assert report["error_history"][0] == {"url": gone, "type": "PermanentError", "message": message, "status_code": 410}
+    assert [(h["url"], h["status_code"]) for h in report["error_history"]] == [(gone, 410), (slow, None)]
+    assert report["permanent_errors"] == {gone: message} and report["retry_delays"] == [0.5, 1.5, 0.5, 0.5, 1.5]
+    assert got["processed_urls"] == ["https://dock.example/a", "https://dock.example/b"]
+    assert got["failed_urls"] == dict.fromkeys([gone, slow], "Failed to fetch HTML")
+    assert got["http_calls"] == {"https://dock.example/a": 3, "https://dock.example/b": 2, gone: 1, slow: 3}
+
+
+def test_large_document_stays_in_parts(spark, tmp_path):
+    rows = spark.range(50_000).select(F.concat(F.lit('u"\n'), F.lpad("id", 6, "0")).alias("url"), "id")
+    document = {"none": sinks.Entries(rows.where("false"), F.col("id").cast("string"), ("id",)), "all": {"of": sinks.Entries(rows, F.col("id").cast("string"), ("url",), key=F.col("url"))}}
+    sinks.write_document(spark, document, str(tmp_path / "d"))
+    sinks.join_document(spark, str(tmp_path / "d"), str(tmp_path / "whole.json"))
+    whole = json.loads((tmp_path / "whole.json").read_text())
+    assert whole["none"] == [] and list(whole["all"]["of"].items()) == [(f'u"\n{k:06d}', k) for k in range(50_000)]
+    assert sinks.read_entries(spark, str(tmp_path / "d"), "all.of").count() == 50_000
+    assert sinks.read_entries(spark, str(tmp_path / "d"), "none").count() == 0
+
+
 def test_no_errors(spark, tmp_path):
     got = report(spark, tmp_path, RT.replay(log(spark, HTTP("u", 200)), RetryConfig()), RetryConfig())
     (stats,) = got.pop("error_stats")
