@@ -175,6 +175,22 @@ def test_grid_join_equals_all_pairs(spark, radius):
     assert len({(root[k], got[s]) for k, s in enumerate(signed)}) == len(set(root)) == len(set(got.values()))
 
 
+@pytest.mark.parametrize("block", [7, 2048])
+def test_a_group_around_its_least_member_links_as_all_pairs_do(spark, block):
+    """Members are five to eight bits from the least one, so its star holds none of them."""
+    rng = np.random.default_rng(block)
+    points = {0}
+    while len(points) < 150:
+        points.add(sum(1 << int(j) for j in rng.choice(20, int(rng.integers(5, 9)), replace=False)))
+    points = sorted(points)
+    found = simhash.link_components(spark.createDataFrame([(p,) for p in points], "fp long"), simhash.SimHashConfig(block=block)).collect()
+    arr = np.array(points, dtype=np.uint64)
+    root = reached(len(points), zip(*np.nonzero(np.bitwise_count(arr[:, None] ^ arr[None, :]) <= 4), strict=True))
+    got = {r.fp: r.comp for r in found}
+    assert len(found) == len(points) and 1 < len(set(root)) < 50
+    assert len({(root[k], got[p]) for k, p in enumerate(points)}) == len(set(root)) == len(set(got.values()))
+
+
 def test_documents_and_deduplication(spark):
     rows = [(5, "same words here now and then"), (3, "Same words here NOW and then"), (9, None), (8, " "), (7, "other text of its own kind"), (None, "same words here now and then"), (7, "other text of its own kind")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("fp", F.lit("x")).withColumn("fingerprint", F.lit(1))
