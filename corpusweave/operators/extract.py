@@ -180,7 +180,7 @@ def _selected(pages: DataFrame, selector: str) -> DataFrame:
         # Only a tag that says so at all is read; a value with a reference in it may say so otherwise.
         return ok & F.when(t["tag"].contains(value) | t["tag"].contains("&"), has).otherwise(False)
 
-    staged = pages.select("page_id", "url", H.tokens(H.without(F.col("html"), hidden), whole=True).alias("_t"))
+    staged = pages.select("page_id", "url", H.tokens(H.without(F.col("html"), hidden), whole=bool(value)).alias("_t"))
     nested = staged.select("page_id", "url", H.texts(F.col("_t")).alias("_x"), nesting(H.marks(F.col("_t"), wanted)).alias("_n"))
     return nested.select("page_id", "url", F.transform("_n.found", lambda s: H.span_text(F.col("_x"), s)).alias("found"))
 

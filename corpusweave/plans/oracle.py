@@ -307,6 +307,37 @@ _SHOP_TEXT = " || ' ' || ".join(
 )
 
 
+# Baskets: a page per order of the lines, with its lines in order.
+_BASKETS = """baskets as (
+  select l_orderkey as page_id, 'https://shop.example.com/baskets/' || l_orderkey as url, count(*) as n,
+    list({n: l_linenumber, p: l_partkey} order by l_linenumber, l_partkey) as ls from lineitem group by 1)"""
+_EACH = "list_transform(ls, lambda l: {})"
+_BASKET_TITLE = "'Basket ' || page_id"
+_BASKET_LINK = "'https://shop.example.com/orders/' || page_id || '?lines=' || n"
+_BASKET_TEXT = (
+    f"{_BASKET_TITLE} || ' ' || {_BASKET_TITLE} || ' ' || n || ' lines Offer ' || page_id || ' Line Part ' || "
+    f"""array_to_string({_EACH.format("l.n || ' Part ' || l.p")}, ' ') || ' ' || array_to_string({_EACH.format("'Line ' || l.n")}, ' ') || ' order'"""
+)
+_BASKET_LISTS = (
+    "list_transform(range(1, n + 1), lambda i: array_to_string(list_transform(ls[i:], lambda l: 'Line ' || l.n), ' '))"
+)
+
+# What the archived pages hold, counted in their markup.
+_PAGE_FACTS = f"""link_sums as (
+  select page_id, count(*) as n, array_to_string(list(dst_url order by pos), ' ') as every, array_to_string(list(dst_url order by pos)[1:5], ' ') as first_links
+  from links group by page_id),
+page_items as (
+  select page_id, list_filter(list_transform(regexp_extract_all(m, '(?is)<li>(.*?)</li>', 1), lambda x: {_text("x")}), lambda t: t <> '') as items,
+    len(regexp_extract_all(m, '(?i)<[uo]l[\\s>]')) as lists, len(regexp_extract_all(m, '(?i)<table[\\s>]')) as tables,
+    len(regexp_extract_all(m, '(?i)<img[\\s>]')) as images, len(regexp_extract_all(m, '(?i)<h[1-3][\\s>]')) as headings
+  from clean),
+facts as (
+  select c.page_id, c.url, {_text("regexp_extract(m, '(?is)<title>(.*?)</title>', 1)")} as title, {_text('m')} as text,
+    {_text("regexp_extract(m, '(?is)<h1>(.*?)</h1>', 1)")} as heading, coalesce(n, 0) as n, coalesce(every, '') as every,
+    coalesce(first_links, '') as first_links, items, lists, tables, images, headings
+  from clean c left join link_sums using (page_id) join page_items using (page_id))"""
+
+
 def _int(n: int) -> str:
     return f"cast({n} as integer)"
 
@@ -361,12 +392,15 @@ _ERROR_STATS = """select cast(sum((error_type = 'TransientError')::int) as bigin
     cast(sum(cast(round(retry_delay * 1000000000) as hugeint)) as double) / count(retry_delay) / 1e9 as average_retry_delay
   from ran"""
 
-_SUMMARY = _with(_CLEAN, _LINKS, f"""link_sums as (
-  select page_id, count(*) as n, array_to_string(list(dst_url order by pos)[1:5], ' ') as first_links from links group by page_id)""") + f"""
-select p.page_id, p.url, {_text("regexp_extract(m, '(?is)<title>(.*?)</title>', 1)")} as title,
-  cast(length({_text('m')}) as integer) as text_length, cast(coalesce(n, 0) as integer) as links_count, 0 as images_count,
-  1 as headings_count, 0 as tables_count, 1 as lists_count, coalesce(first_links, '') as first_links, '' as errors
-from clean p left join link_sums using (page_id)"""
+_SUMMARY = _with(_CLEAN, _LINKS, _BASKETS, _PAGE_FACTS, f"""every as (
+  select page_id, url, title, length(text) as text_length, n as links_count, images as images_count, headings as headings_count,
+    tables as tables_count, lists as lists_count, first_links from facts
+  union all select o_orderkey, 'https://shop.example.com/orders/' || o_orderkey, {_SHOP_TITLE}, length({_SHOP_TEXT}), {len(_SHOP_LINKS) - 1},
+    {len(_SHOP_IMAGES)}, {len(_SHOP_HEADINGS)}, {len(_SHOP_TABLES)}, {len(_SHOP_LISTS)}, {" || ' ' || ".join(_SHOP_LINKS[1:])} from orders
+  union all select page_id, url, {_BASKET_TITLE}, length({_BASKET_TEXT}), 1, n, 1, 1, n, {_BASKET_LINK} from baskets)""") + """
+select page_id, url, title, text_length::integer as text_length, links_count::integer as links_count, images_count::integer as images_count,
+  headings_count::integer as headings_count, tables_count::integer as tables_count, lists_count::integer as lists_count, first_links, '' as errors
+from every"""
 
 _LOOKUP = (_CLEAN, _LINKS, _URLS, """fetched as (
   select u.url, coalesce(arg_min(html, page_id), '') as html from (select distinct url from url_list) u left join pages using (url) group by u.url)""")
@@ -393,20 +427,29 @@ union all select 'retry_delays', count(*) from ran where retry_delay is not null
 select page_id, url, {_text("regexp_extract(m, '(?is)<title>(.*?)</title>', 1)")} as title, '' as description, '' as keywords from clean
 union all {_ORDER}, {_SHOP_TITLE}, 'Customer ' || o_custkey || ' <' || o_orderstatus || '>', o_orderstatus from orders""",
     "page_text": _with(_CLEAN) + f"select page_id, url, {_text('m')} as text from clean",
-    "text_by_selector": _with(_CLEAN, _paragraphs()) + f"""
+    "text_by_selector": _with(_CLEAN, _BASKETS, _paragraphs()) + f"""
 select 'p' as selector, page_id, url, cast(pos as integer) as pos,
   {_text("regexp_extract(body, '(?is)^(.*?)(?:</p>|</article>|</body>|<footer>|$)', 1)")} as text from paragraphs
 union all select 'div.ad', page_id, url, 0, {_text("regexp_extract(m, '(?is)<div class=.ad.>(.*?)</div>', 1)")} from clean
-where regexp_matches(m, '<div class=.ad.>')""",
+where regexp_matches(m, '<div class=.ad.>')
+union all select 'p', o_orderkey, 'https://shop.example.com/orders/' || o_orderkey, 0, 'Tail © ' || o_orderkey from orders
+union all select 'p', page_id, url, 0, n || ' lines' from baskets
+union all select 'div.ad', page_id, url, 0, 'Offer ' || page_id from baskets""",
     "page_links": _with(_CLEAN, _LINKS) + "select page_id, src_url, cast(pos as integer) as pos, dst_url from links\nunion all "
     + "\nunion all ".join(
         f"{_ORDER.replace(' as url', ' as src_url')}, {_int(i)} as pos, {link} as dst_url from orders" for i, link in enumerate(_SHOP_LINKS)
     ),
-    "page_images": _shop_rows(("pos", "src", "alt"), [(_int(i), s, a) for i, (s, a) in enumerate(_SHOP_IMAGES)]),
+    "page_images": _with(_BASKETS) + _shop_rows(("pos", "src", "alt"), [(_int(i), s, a) for i, (s, a) in enumerate(_SHOP_IMAGES)]) + """
+union all select page_id, url, (i - 1)::integer, 'https://shop.example.com/part/' || ls[i].p || '.png', 'Part ' || ls[i].p
+from baskets, unnest(range(1, n + 1)) as u(i)""",
     "page_headings": _with(_CLEAN) + f"""
 select page_id, url, 0 as pos, 'h1' as level, {_text("regexp_extract(m, '(?is)<h1>(.*?)</h1>', 1)")} as text from clean
 union all """ + _shop_rows(("pos", "level", "text"), [(_int(i), l, t) for i, (l, t) in enumerate(_SHOP_HEADINGS)]),
-    "page_tables": _shop_rows(
+    "page_tables": _with(_BASKETS) + """
+select page_id, url, 0 as table_no, 0 as row_no, u.c::integer as cell_no, ['Line', 'Part'][u.c + 1] as text from baskets, unnest([0, 1]) as u(c)
+union all select page_id, url, 0, i::integer, u.c::integer, [ls[i].n::varchar, 'Part ' || ls[i].p][u.c + 1]
+from baskets, unnest(range(1, n + 1)) as r(i), unnest([0, 1]) as u(c)
+union all """ + _shop_rows(
         ("table_no", "row_no", "cell_no", "text"),
         [(_int(t), _int(r), _int(c), v) for t, rows in enumerate(_SHOP_TABLES) for r, row in enumerate(rows) for c, v in enumerate(row)],
     ),
@@ -420,7 +463,14 @@ union all """ + _shop_rows(
         ("list_no", "type", "item_no", "text"),
         [(_int(n), f"'{kind}'", _int(i), v) for n, (kind, items) in enumerate(_SHOP_LISTS) for i, v in enumerate(items)],
     ),
-    "page_record": f"""{_ORDER}, {_SHOP_TITLE} as title, {_SHOP_TEXT} as text,
+    "page_record": _with(_CLEAN, _LINKS, _BASKETS, _PAGE_FACTS) + f"""
+select page_id, url, title, text, '' as description, '' as keywords, every as links, '' as images, 'h1:' || heading as headings, '' as tables,
+  'ul:' || array_to_string(items, '|') as lists from facts
+union all select page_id, url, {_BASKET_TITLE}, {_BASKET_TEXT}, '', '', {_BASKET_LINK},
+  array_to_string({_EACH.format("'https://shop.example.com/part/' || l.p || '.png^Part ' || l.p")}, ' '), 'h2:' || {_BASKET_TITLE},
+  'Line,Part|' || array_to_string({_EACH.format("l.n || ',Part ' || l.p")}, '|'),
+  array_to_string(list_transform({_BASKET_LISTS}, lambda t: 'ul:' || t), '||') from baskets
+union all {_ORDER}, {_SHOP_TITLE} as title, {_SHOP_TEXT} as text,
   'Customer ' || o_custkey || ' <' || o_orderstatus || '>' as description, o_orderstatus as keywords,
   {" || ' ' || ".join(_SHOP_LINKS[1:])} as links,
   {" || ' ' || ".join(f"{s} || '^' || {alt}" for s, alt in _SHOP_IMAGES)} as images,
@@ -428,7 +478,10 @@ union all """ + _shop_rows(
   {" || '||' || ".join(" || '|' || ".join(" || ',' || ".join(row) for row in rows) for rows in _SHOP_TABLES)} as tables,
   {" || '||' || ".join(f"'{kind}:' || " + " || '|' || ".join(items) for kind, items in _SHOP_LISTS)} as lists
 from orders""",
-    "extract_errors": f"""{_ORDER}, case when o_orderstatus = 'P' then '' else {_SHOP_TITLE} end as title,
+    "extract_errors": _with(_CLEAN, _LINKS, _BASKETS, _PAGE_FACTS) + f"""
+select page_id, url, title, n::integer as links_count, '' as errors from facts
+union all select page_id, url, {_BASKET_TITLE}, 1, '' from baskets
+union all {_ORDER}, case when o_orderstatus = 'P' then '' else {_SHOP_TITLE} end as title,
   case when o_orderstatus = 'P' then 0 else 3 end as links_count,
   case when o_orderstatus = 'P' then 'Failed to parse HTML: TypeError' else '' end as errors from orders""",
     "url_defrag": _dim("regexp_replace(url, '#.*$', '')"),
@@ -437,7 +490,10 @@ from orders""",
     "url_domain": _dim(f"case when {_domain('url')} = '' then 'unknown' else {_domain('url')} end"),
     "robots_url": _dim(_base("url") + " || '/robots.txt'"),
     "url_resolve": _with(
-        "refs as (select page_id, url, unnest([" + ", ".join(f"'{r}'" for r in Q.REFERENCES) + "]) as ref from pages)",
+        _CLEAN, f"""refs as (
+  select page_id, url, unnest([{", ".join(f"'{r}'" for r in Q.REFERENCES)}]) as ref from pages
+  union select page_id, url, {_strip(_decode('h'))} from (
+    select page_id, url, unnest(regexp_extract_all(m, '(?i)<a\\s[^>]*?href="([^"]*)"', 1)) as h from clean))""",
         f"""cut as (
   select page_id, ref, regexp_extract(url, '^[^/]*//[^/?#]*', 0) as root, lower({_part('url', 1)}) as scheme,
     string_split({_part('url', 3)}, '/') as folder, {_part('url', 3)} as base_path, {_part('url', 4)} as base_query,

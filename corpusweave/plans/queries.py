@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusweave.config import CrawlConfig, PolitenessConfig, RetryConfig, SimpleBackoffConfig, TimeoutConfig
+from corpusweave.functions import html as H
 from corpusweave.functions import urls as U
 from corpusweave.operators import extract as X
 from corpusweave.operators import frontier as FR
@@ -153,7 +154,7 @@ def _flat_summary(records):
 
 
 def results_sink(spark, d):
-    records = X.page_records(T.pages(spark, d))
+    records = X.page_records(T.all_pages(spark, d))
     path = run_dir(spark, "records")
     sinks.write_records(records, path)
     return _flat_summary(sinks.read_records(spark, path, records))
@@ -185,7 +186,7 @@ def page_text(spark, d):
 
 
 def text_by_selector(spark, d):
-    pages = T.pages(spark, d)
+    pages = T.all_pages(spark, d)
     paragraphs = X.selector_matches(pages, "p").select(F.lit("p").alias("selector"), "*")
     ads = X.selector_matches(pages, "div.ad").select(F.lit("div.ad").alias("selector"), "*")
     return paragraphs.unionByName(ads)
@@ -197,7 +198,7 @@ def page_links(spark, d):
 
 
 def page_images(spark, d):
-    return X.image_table(T.order_pages(spark, d))
+    return X.image_table(T.all_pages(spark, d))
 
 
 def page_headings(spark, d):
@@ -206,7 +207,7 @@ def page_headings(spark, d):
 
 
 def page_tables(spark, d):
-    return X.cell_table(T.order_pages(spark, d))
+    return X.cell_table(T.all_pages(spark, d))
 
 
 def page_lists(spark, d):
@@ -216,7 +217,7 @@ def page_lists(spark, d):
 
 def page_record(spark, d):
     """Every field of the record, with levels, alternative texts, list types and the borders of tables and lists."""
-    records = X.page_records(T.order_pages(spark, d))
+    records = X.page_records(T.all_pages(spark, d))
     joined = lambda name, build, mark: F.array_join(F.transform(name, build), mark).alias(name)
     return records.select(
         "page_id", "url", "title", "text", "metadata.description", "metadata.keywords",
@@ -230,18 +231,20 @@ def page_record(spark, d):
 
 def extract_errors(spark, d):
     """Bodies of pending orders are NULL: those rows must fail alone."""
-    pages = T.order_pages(spark, d).withColumn("html", F.when(F.col("o_orderstatus") != "P", F.col("html")))
+    orders = T.order_pages(spark, d).withColumn("html", F.when(F.col("o_orderstatus") != "P", F.col("html")))
+    pages = T.pages(spark, d).unionByName(T.basket_pages(spark, d)).unionByName(orders.drop("o_orderstatus"))
     return X.page_records(pages).select("page_id", "url", "title", F.size("links").alias("links_count"), F.array_join("errors", "; ").alias("errors"))
 
 
 def page_summary(spark, d):
-    return _flat_summary(X.page_records(T.pages(spark, d)))
+    return _flat_summary(X.page_records(T.all_pages(spark, d)))
 
 
 def url_resolve(spark, d):
-    pages = T.table(spark, d, "pages").select("page_id", "url")
-    refs = F.explode(F.array(*(F.lit(r) for r in REFERENCES)))
-    return pages.select("page_id", "url", refs.alias("ref")).select("page_id", "ref", U.resolve(F.col("url"), F.col("ref")).alias("value"))
+    """Every reference of a page, and odd ones."""
+    hrefs = F.transform(H.attribute_values(H.tags(H.markup(F.col("html")), "a"), "href"), U.strip)
+    refs = F.explode(F.array_distinct(F.concat(hrefs, F.array(*(F.lit(r) for r in REFERENCES)))))
+    return T.pages(spark, d).select("page_id", "url", refs.alias("ref")).select("page_id", "ref", U.resolve(F.col("url"), F.col("ref")).alias("value"))
 
 
 def seed_domains(spark, d):

@@ -99,6 +99,38 @@ ORDER_PAGE = """<!DOCTYPE html><html lang=en><head><title>Order {key} &amp; {pri
 <p>Tail &copy; {key}</body></html>"""
 
 
+def basket_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page per order of the order lines, whose table rows, images and list depth
+    follow the lines."""
+    lines = spread_small(table(spark, sf_dir, "lineitem")).groupBy("l_orderkey").agg(
+        F.sort_array(F.collect_list(F.struct(F.col("l_linenumber").cast("string").alias("n"), F.col("l_partkey").alias("p")))).alias("ls")
+    )
+    each = lambda template: F.array_join(
+        F.transform("ls", lambda l: _fill(template, {"n": l["n"], "p": l["p"].cast("string")})), ""
+    )
+    size = F.size("ls")
+    fields = {
+        "key": F.col("l_orderkey").cast("string"), "count": size.cast("string"), "rows": each(BASKET_ROW), "images": each(BASKET_IMAGE),
+        "lists": F.concat(each(BASKET_LIST), F.repeat(F.lit("</ul>"), size)),
+    }
+    url = F.concat(F.lit("https://shop.example.com/baskets/"), fields["key"])
+    return lines.select(F.col("l_orderkey").alias("page_id"), url.alias("url"), _fill(BASKET_PAGE, fields).alias("html"))
+
+
+# Markup of a basket page and of its parts for each line.
+BASKET_PAGE = """<html><head><title>Basket {key}</title></head><body><h2>Basket {key}</h2><p>{count} lines<div class="ad big">Offer {key}</div>
+<table><tr><th>Line<th>Part</tr>{rows}</table>{images}{lists}<a href="/orders/{key}?lines={count}">order</a></body></html>"""
+BASKET_ROW = "<tr><td>{n}<td>Part {p}</tr>"
+BASKET_IMAGE = '<img src="../part/{p}.png" alt="Part {p}">'
+BASKET_LIST = "<ul><li>Line {n}"
+
+
+def all_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archived pages, shop pages and baskets: ``page_id, url, html``."""
+    shop = order_pages(spark, sf_dir).select("page_id", "url", "html")
+    return pages(spark, sf_dir).select("page_id", "url", "html").unionByName(shop).unionByName(basket_pages(spark, sf_dir))
+
+
 def _fill(template: str, fields: dict[str, Column]) -> Column:
     parts: list[Column] = []
     rest = template
