@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-# The default user agent and the error types a policy may name.
+# The default user agent, the error types a policy may name and, below, the defaults of each policy.
 DEFAULT_USER_AGENT = "AsyncCrawler/1.0"
 ERROR_TYPES = ("CrawlerError", "TransientError", "PermanentError", "NetworkError", "ParseError")
 
 
-def _at_least(name: str, value: float, low: float) -> None:
+def at_least(name: str, value: float, low: float) -> None:
     if value < low:
         bound = "non-negative" if low == 0 else f"at least {low}"
         raise ValueError(f"{name} must be {bound}")
@@ -33,11 +33,11 @@ class CrawlConfig:
     user_agent: str = DEFAULT_USER_AGENT
 
     def __post_init__(self) -> None:
-        _at_least("max_depth", self.max_depth, 0)
+        at_least("max_depth", self.max_depth, 0)
         if self.max_pages is not None:
-            _at_least("max_pages", self.max_pages, 1)
-        _at_least("max_concurrent", self.max_concurrent, 1)
-        _at_least("max_per_domain", self.max_per_domain, 1)
+            at_least("max_pages", self.max_pages, 1)
+        at_least("max_concurrent", self.max_concurrent, 1)
+        at_least("max_per_domain", self.max_per_domain, 1)
 
 
 @dataclass(frozen=True)
@@ -51,8 +51,8 @@ class PolitenessConfig:
 
     def __post_init__(self) -> None:
         _positive("requests_per_second", self.requests_per_second)
-        _at_least("min_delay", self.min_delay, 0)
-        _at_least("jitter", self.jitter, 0)
+        at_least("min_delay", self.min_delay, 0)
+        at_least("jitter", self.jitter, 0)
 
     @property
     def effective_rps(self) -> float:
@@ -82,15 +82,15 @@ class RetryConfig:
     backoff_by_error: dict[str, float] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
-        _at_least("max_retries", self.max_retries, 0)
-        _at_least("backoff_factor", self.backoff_factor, 0)
-        _at_least("base_delay", self.base_delay, 0)
+        at_least("max_retries", self.max_retries, 0)
+        at_least("backoff_factor", self.backoff_factor, 0)
+        at_least("base_delay", self.base_delay, 0)
         for label, table in (("retry_limits", self.retry_limits),
                              ("backoff_by_error", self.backoff_by_error)):
             for error_type, value in table.items():
                 if error_type not in ERROR_TYPES and error_type != "Exception":
                     raise TypeError(f"{label} keys must be error types")
-                _at_least(f"{label} value", value, 0)
+                at_least(f"{label} value", value, 0)
 
 
 @dataclass(frozen=True)
@@ -103,8 +103,7 @@ class TimeoutConfig:
     def __post_init__(self) -> None:
         if self.total_timeout is not None:
             _positive("total_timeout", self.total_timeout)
-        if self.timeout_backoff_factor < 1.0:
-            raise ValueError("timeout_backoff_factor must be greater than or equal to 1.0")
+        at_least("timeout_backoff_factor", self.timeout_backoff_factor, 1)
 
 
 @dataclass(frozen=True)
@@ -114,6 +113,6 @@ class SimpleBackoffConfig:
     jitter: float = 0.0
 
     def __post_init__(self) -> None:
-        _at_least("max_retries", self.max_retries, 0)
-        _at_least("backoff_base", self.backoff_base, 0)
-        _at_least("jitter", self.jitter, 0)
+        at_least("max_retries", self.max_retries, 0)
+        at_least("backoff_base", self.backoff_base, 0)
+        at_least("jitter", self.jitter, 0)

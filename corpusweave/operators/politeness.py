@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusweave.config import PolitenessConfig
+from corpusweave.config import PolitenessConfig, at_least
 from corpusweave.functions import urls as U
 from corpusweave.operators.robots import delay_for_agent
 from corpusweave.operators.scans import fifo_gate, ordinals, running_total
@@ -147,7 +147,6 @@ def concurrency_peaks(requests: DataFrame) -> DataFrame:
 
 def domain_waves(requests: DataFrame, max_per_domain: int = 2) -> DataFrame:
     """Add ``wave``: at most ``max_per_domain`` requests of a domain per wave."""
-    if max_per_domain < 1:
-        raise ValueError("max_per_domain must be at least 1")
+    at_least("max_per_domain", max_per_domain, 1)
     placed = ordinals(_keyed(requests), ["domain"], ORDER, "_i")
     return placed.withColumn("wave", F.floor(F.col("_i") / max_per_domain).cast("long")).drop("_i")

@@ -7,13 +7,14 @@ from corpusweave.operators import frontier as FR
 from corpusweave.operators import robots as R
 from corpusweave.plans import crawl as C
 
-SITE = "https://site.com"
+SITE = "https://library.example"
+# Two ways to one book, a way back to the door, a page that names itself, one that is lost.
 PAGES = {
-    "/": '<a href="/page1">1</a><a href="/page2">2</a><a href="/page1">1</a><a href="https://other.com/x">x</a>',
-    "/page1": '<a href="/deep#f">d</a>',
-    "/page2": "<p>two</p>",
-    "/deep": "<p>deep</p>",
-    "/with-missing": '<a href="/missing">m</a>',
+    "/": '<a href="shelf/b">b</a><a href="/shelf/a">a</a><a href="/shelf/b#top">b</a><a href="//press.example/n">n</a>',
+    "/shelf/a": '<a href="/book/3#c">3</a><a href="/">door</a>',
+    "/shelf/b": '<a href="../book/3">3</a><a href="/book/1?x=1">1</a>',
+    "/book/3": '<a href="">again</a><a href="3">again</a>',
+    "/book/1?x=1": '<a href="/lost">lost</a>',
 }
 
 
@@ -33,39 +34,51 @@ def run(spark, graph, config, *urls, **kw):
     return [(r.url.replace(SITE, ""), r.depth, r.status) for r in rows]
 
 
-def test_breadth_first_within_a_site(spark, site):
-    got = run(spark, site, CrawlConfig(max_depth=2, same_domain_only=True), SITE)
-    assert got == [("/", 0, "processed"), ("/page1", 1, "processed"), ("/page2", 1, "processed"), ("/deep", 2, "processed")]
+def test_levels_follow_the_shortest_way(spark, site):
+    got = run(spark, site, CrawlConfig(max_depth=3, same_domain_only=True), SITE)
+    assert got == [
+        ("/", 0, "processed"), ("/shelf/b", 1, "processed"), ("/shelf/a", 1, "processed"), ("/book/3", 2, "processed"),
+        ("/book/1?x=1", 2, "processed"), ("/lost", 3, "failed"),
+    ]
 
 
-def test_depth_and_budget(spark, site):
-    assert [u for u, *_ in run(spark, site, CrawlConfig(max_depth=0), SITE)] == ["/"]
-    assert [u for u, *_ in run(spark, site, CrawlConfig(max_depth=1, same_domain_only=True), SITE)] == ["/", "/page1", "/page2"]
-    assert [u for u, *_ in run(spark, site, CrawlConfig(max_pages=2), SITE)] == ["/", "/page1"]
+@pytest.mark.parametrize("pages", [1, 2, 4, 5])
+def test_budget_ends_within_a_level(spark, site, pages):
+    want = ["/", "/shelf/b", "/shelf/a", "/book/3", "/book/1?x=1"][:pages]
+    assert [u for u, *_ in run(spark, site, CrawlConfig(max_depth=2, max_pages=pages, same_domain_only=True), SITE)] == want
 
 
-def test_failed_and_external_pages(spark, site):
-    assert run(spark, site, CrawlConfig(max_depth=1), SITE + "/with-missing") == [("/with-missing", 0, "processed"), ("/missing", 1, "failed")]
-    assert ("https://other.com/x", 1, "failed") in run(spark, site, CrawlConfig(max_depth=1), SITE)
+def test_depth_counts_from_each_seed(spark, site):
+    assert run(spark, site, CrawlConfig(max_depth=0), SITE + "/book/3", SITE) == [("/book/3", 0, "processed"), ("/", 0, "processed")]
+    got = run(spark, site, CrawlConfig(max_depth=1, same_domain_only=True), SITE + "/book/1?x=1", SITE + "/shelf/a")
+    assert got == [
+        ("/book/1?x=1", 0, "processed"), ("/shelf/a", 0, "processed"), ("/lost", 1, "failed"), ("/book/3", 1, "processed"), ("/", 1, "processed"),
+    ]
+
+
+def test_pages_elsewhere_are_tried_unless_kept_out(spark, site):
+    assert ("https://press.example/n", 1, "failed") in run(spark, site, CrawlConfig(max_depth=1), SITE)
+    assert len(run(spark, site, CrawlConfig(max_depth=1, same_domain_only=True), SITE)) == 3
 
 
 def test_patterns_and_bad_seeds(spark, site):
-    got = run(spark, site, CrawlConfig(exclude_patterns=(r"page1$",), include_patterns=(r"site\.com/",)), SITE, SITE + "/page1")
-    assert got == [("/", 0, "processed"), ("/page2", 1, "processed")]
-    assert run(spark, site, CrawlConfig(), "mailto:x@y.com", "/relative") == []
+    config = CrawlConfig(max_depth=2, exclude_patterns=(r"/shelf/b$", r"press"), include_patterns=(r"library\.example/",))
+    got = run(spark, site, config, SITE + "/shelf/b", SITE, "tel:5", "shelf/a", "")
+    assert got == [("/", 0, "processed"), ("/shelf/a", 1, "processed"), ("/book/3", 2, "processed")]
+    assert run(spark, site, CrawlConfig(), "tel:5", "shelf/a") == []
 
 
-def test_robots_block(spark, site):
-    files = spark.createDataFrame([(SITE, 200, "User-agent: *\nDisallow: /page1")], "base_url string, status int, body string")
+def test_robots_leave_the_other_way(spark, site):
+    files = spark.createDataFrame([(SITE, 200, "User-agent: *\nDisallow: /shelf/b")], "base_url string, status int, body string")
     sources = R.robots_source(seeds(spark, SITE), files)
-    config = CrawlConfig(same_domain_only=True, user_agent="B/1")
+    config = CrawlConfig(max_depth=2, same_domain_only=True, user_agent="B/1")
     crawled = C.crawl(seeds(spark, SITE), site, config, sources)
     got = {r.url.replace(SITE, ""): (r.status, r.reason) for r in crawled.collect()}
-    assert got == {"/": ("processed", ""), "/page1": ("blocked", "Blocked by robots.txt for user-agent B/1"), "/page2": ("processed", "")}
-    open_crawl = C.crawl(seeds(spark, SITE), site, CrawlConfig(same_domain_only=True, respect_robots=False), sources)
-    assert open_crawl.where("status = 'blocked'").count() == 0
-    stats = FR.queue_stats(crawled).first().asDict()
-    assert stats == {"queued": 0, "processed": 2, "failed": 1, "total_known": 3}
+    done = ("processed", "")
+    assert got == {"/": done, "/shelf/b": ("blocked", "Blocked by robots.txt for user-agent B/1"), "/shelf/a": done, "/book/3": done}
+    careless = C.crawl(seeds(spark, SITE), site, CrawlConfig(max_depth=2, same_domain_only=True, respect_robots=False), sources)
+    assert careless.where("status = 'blocked'").count() == 0 and careless.count() == 5
+    assert FR.queue_stats(crawled).first().asDict() == {"queued": 0, "processed": 3, "failed": 1, "total_known": 4}
 
 
 def test_pages_that_share_a_key(spark):
@@ -122,22 +135,21 @@ def test_random_graphs_equal_a_sequential_crawl(spark, seed, monkeypatch):
 
 
 def test_progress(spark, site):
-    crawled = C.crawl(seeds(spark, SITE), site, CrawlConfig(same_domain_only=True))
+    crawled = C.crawl(seeds(spark, SITE), site, CrawlConfig(max_depth=3, same_domain_only=True))
     log = spark.createDataFrame([(0, 10), (2_000_000, 2_500_000)], "arrival_us long, end_us long")
     assert C.progress(crawled, log).first().asDict() == {
-        "processed": 4, "queued": 0, "failed": 0, "blocked": 0, "active": 1, "elapsed_us": 2_000_000, "pages_per_second": 2.0,
+        "processed": 5, "queued": 0, "failed": 1, "blocked": 0, "active": 1, "elapsed_us": 2_000_000, "pages_per_second": 3.0,
     }
 
 
 def test_frontier_keeps_the_first_arrival(spark):
-    rows = [(1, "https://e.com/low", 1, 0), (2, "https://e.com/high", 10, 1), (3, "https://e.com/mid", 5, 0), (4, "https://e.com/low", 99, 2), (5, "", 1, 0),
-            (6, "https://e.com/done", 50, 0), (7, "https://e.com/tie", 5, 0)]
+    rows = [(9, "https://e.com/quiet", 3, 4), (4, "https://e.com/loud", 8, 1), (5, "https://e.com/loud", -1, 0), (6, "", 9, 0), (7, "https://e.com/even", 3, 2),
+            (2, "https://e.com/met", 70, 0), (8, "https://e.com/quiet", 2, 7)]
     queue = spark.createDataFrame(rows, "seq int, url string, priority int, depth int")
-    known = spark.createDataFrame([("https://e.com/done",)], "url string")
-    frontier = FR.frontier_merge(queue, known)
-    assert [r.url[14:] for r in FR.frontier_topk(frontier, 3).collect()] == ["high", "mid", "tie"]
-    depths = FR.depth_lookup(spark.createDataFrame([("https://e.com/high",), ("https://e.com/unknown",)], "url string"), frontier)
-    assert {r.url: r.depth for r in depths.collect()} == {"https://e.com/high": 1, "https://e.com/unknown": 0}
+    frontier = FR.frontier_merge(queue, spark.createDataFrame([("https://e.com/met",)], "url string"))
+    assert [(r.url[14:], r.priority) for r in FR.frontier_topk(frontier, 9).collect()] == [("loud", 8), ("even", 3), ("quiet", 2)]
+    wanted = spark.createDataFrame([("https://e.com/quiet",), ("https://e.com/met",)], "url string")
+    assert {r.url[14:]: r.depth for r in FR.depth_lookup(wanted, frontier).collect()} == {"quiet": 7, "met": 0}
 
 
 def test_state_keeps_the_latest_reason_and_both_sets(spark):
