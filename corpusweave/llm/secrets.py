@@ -135,11 +135,17 @@ def labelled_samples(documents: DataFrame, config: SecretConfig = SecretConfig()
     value = lambda m: F.regexp_replace(m, r"^.*[\s:=\"']", "")
     secrets = F.transform("base", lambda s: value(_cut_out(text, s)))
     words = F.regexp_extract_all(F.regexp_replace(text, ASSIGN + "|" + ACCESS + "|" + HEX, " "), F.lit(_WORD), 0)
+    # Strings are told apart by hash, structs one by one.
     labelled = F.concat(
-        F.transform(secrets, lambda t: F.struct(t.alias("token"), F.lit(True).alias("secret"))),
-        F.transform(words, lambda t: F.struct(t.alias("token"), F.lit(False).alias("secret"))),
+        F.transform(F.array_distinct(secrets), lambda t: F.struct(t.alias("token"), F.lit(True).alias("secret"))),
+        F.transform(F.array_distinct(words), lambda t: F.struct(t.alias("token"), F.lit(False).alias("secret"))),
     )
-    return rows.select(F.inline(F.array_distinct(labelled))).distinct()
+    return rows.select(F.inline(labelled)).distinct()
+
+
+def _codes(token: Column) -> Column:
+    """Places in ``ALPHABET``, -1 for other characters; the token is cut up once."""
+    return F.transform(F.split(token, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
 
 
 def train(samples: DataFrame, config: SecretConfig = SecretConfig()) -> list[float]:
@@ -150,10 +156,7 @@ def train(samples: DataFrame, config: SecretConfig = SecretConfig()) -> list[flo
     ``len(ALPHABET) ** 2`` sums come to the driver.
     """
     size = len(ALPHABET)
-    codes = F.transform(
-        F.sequence(F.lit(1), F.length("token")), lambda i: F.instr(F.lit(ALPHABET), F.substring(F.col("token"), i, F.lit(1))) - 1
-    )
-    pairs = samples.where(F.length("token") > 1).select("secret", F.explode(F.array(codes)).alias("c"))
+    pairs = samples.where(F.length("token") > 1).select("secret", F.explode(F.array(_codes(F.col("token")))).alias("c"))
     pairs = pairs.select("secret", F.explode(F.transform(
         F.sequence(F.lit(2), F.size("c")), lambda i: F.struct(F.element_at("c", i - 1).alias("a"), F.element_at("c", i).alias("b"))
     )).alias("p")).where("p.a >= 0 and p.b >= 0")
@@ -183,10 +186,7 @@ def _ratio(token: Column, model: list[float]) -> Column:
     """Mean log ratio per transition of a run of ``ALPHABET``."""
     size = len(ALPHABET)
     table = F.split(F.lit(",".join(f"{r:.6f}" for r in model)), ",").cast("array<double>")
-    codes = F.transform(
-        F.sequence(F.lit(1), F.length(token)), lambda i: F.instr(F.lit(ALPHABET), F.substring(token, i, F.lit(1))) - 1
-    )
-    total = let(codes, lambda c: F.aggregate(
+    total = let(_codes(token), lambda c: F.aggregate(
         F.sequence(F.lit(2), F.size(c)), F.lit(0.0),
         lambda acc, i: acc + F.element_at(table, F.element_at(c, i - 1) * size + F.element_at(c, i) + 1),
     ))

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -151,3 +152,13 @@ def test_models_learn_from_every_document(spark):
     )
     got = {r.secret: r["count"] for r in secrets.labelled_samples(docs).groupBy("secret").count().collect()}
     assert got == {True: n, False: 2}
+
+
+def test_long_runs_and_many_distinct_words_stay_cheap(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = " ".join(letters[k % 26] + letters[k // 26 % 26] + letters[k // 676 % 26] + letters[k // 17576 % 26] + "word" for k in range(200_000))
+    run = hashlib.sha256(b"run").hexdigest().upper() * 8000
+    start = time.monotonic()
+    got = secrets.find_secrets(spark.createDataFrame([(1, words, None, None, 0), (2, "x " + run + " y", None, None, 0)], DOCS)).collect()
+    assert time.monotonic() - start < 120
+    assert {r.doc_id: r.n_hex for r in got} == {1: 0, 2: 0} and len(got) == 2
