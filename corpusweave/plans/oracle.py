@@ -620,6 +620,8 @@ union all select 'error_history', url, message, null, null from ran where outcom
 union all select 'permanent_errors', url, message, null, null from ran where outcome = 'failed' and error_type = 'PermanentError'
 union all select 'retry_delays', url, null, retry_delay, null from ran where retry_delay is not null""",
     "stream_visited": _with(_REQUESTS) + "select distinct 'https://' || domain || '/' || day_no as url from requests",
+    "stream_trailing": _with(_REQUESTS) + """select req_id, arrival_us,
+  count(*) over (order by arrival_us range between 1000000 preceding and current row) as trailing from requests""",
     "stream_rate": _with(_REQUESTS) + """select cast(arrival_us // 1000000 * 1000000 as bigint) as window_us, domain, count(*) as n
 from requests group by 1, 2""",
     "stream_schedule": _with(_REQUESTS, _DOMAIN_GATE) + "select req_id, domain, arrival_us, start_us from gated",

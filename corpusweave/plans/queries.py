@@ -473,6 +473,10 @@ def stream_visited(spark, d):
     return S.run_visited(_user_days(spark, d))
 
 
+def stream_trailing(spark, d):
+    return S.run_trailing(S.request_stream(spark, d)).select("req_id", "arrival_us", "trailing")
+
+
 def stream_rate(spark, d):
     return S.run_request_rate(S.request_stream(spark, d))
 
@@ -506,6 +510,6 @@ QUERIES: dict[str, Query] = {
         "robots_rules robots_allowed robots_delays crawl_delay_for_agent robots_blocked "
         "classify_status classify_outcome error_message retryable retry_replay retry_delays retry_limits "
         "simple_backoff timeout_by_attempt error_history permanent_errors error_stats error_report "
-        "stream_visited stream_rate stream_schedule stream_errors"
+        "stream_visited stream_trailing stream_rate stream_schedule stream_errors"
     ).split()
 }

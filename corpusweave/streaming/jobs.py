@@ -8,13 +8,14 @@ addition of ours: rows later than one are dropped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusweave.functions import urls as U
+from corpusweave.operators.politeness import TRAILING_US, trailing_counts
 from corpusweave.operators.retries import classified
 from corpusweave.operators.scans import fifo_gate
-from corpusweave.session import run_dir
+from corpusweave.session import run_dir, written
 from corpusweave.sources.tables import with_requests
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,3 +132,47 @@ def run_schedule(stream: DataFrame, interval_us: int) -> DataFrame:
 
     _finish(stream.writeStream.foreachBatch(gate), f"{out}/checkpoint")
     return spark.read.parquet(f"{out}/data").drop("batch_id")
+
+
+def run_trailing(stream: DataFrame, lateness_us: int = 60_000_000, per_domain: bool = False) -> DataFrame:
+    """Requests in the second up to and including each request's time, live.
+
+    A request is counted when no more than ``lateness_us`` can be missing before
+    it; what comes later than that is dropped. The state is the requests of the
+    lateness and one second more, whatever the stream's length, and each batch is
+    counted with the batch form, so a busy second is scanned in ranges. Batch n's
+    state is derived from that of n-1, so a repeated batch is harmless.
+    """
+    spark = stream.sparkSession
+    out = run_dir(spark, "trailing")
+    columns = "req_id long, domain string, arrival_us long, counted boolean"
+
+    def newest(rows: DataFrame) -> int | None:
+        return rows.agg(F.max("arrival_us")).first()[0]
+
+    def counts(held: DataFrame, until: Column) -> DataFrame:
+        wanted = ~F.col("counted") & until
+        return trailing_counts(held, per_domain).where(wanted).select("req_id", "domain", "arrival_us", "trailing")
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        here = batch.sparkSession
+        state = here.createDataFrame([], columns)
+        if batch_id > 0:
+            state = here.read.schema(columns).parquet(f"{out}/state/batch_id={batch_id - 1}")
+        before = newest(state)
+        rows = batch.where("arrival_us is not null").select("req_id", "domain", "arrival_us", F.lit(False).alias("counted"))
+        if before is not None:
+            rows = rows.where(F.col("arrival_us") > before - lateness_us)
+        held = written(state.unionByName(rows), "trailing-held")
+        last = newest(held)
+        safe = (last if last is not None else 0) - lateness_us
+        done = F.col("arrival_us") <= safe
+        counts(held, done).write.mode("overwrite").parquet(f"{out}/data/batch_id={batch_id}")
+        kept = held.where(F.col("arrival_us") > safe - TRAILING_US).withColumn("counted", F.col("counted") | done)
+        kept.write.mode("overwrite").parquet(f"{out}/state/batch_id={batch_id}")
+
+    _finish(stream.writeStream.foreachBatch(step), f"{out}/checkpoint")
+    states = spark.read.option("basePath", f"{out}/state").parquet(f"{out}/state")
+    rest = states.where(F.col("batch_id") == states.agg(F.max("batch_id")).first()[0]).drop("batch_id")
+    done = spark.read.parquet(f"{out}/data").drop("batch_id")
+    return done.unionByName(counts(rest, F.lit(True)))

@@ -69,6 +69,26 @@ def test_rate_per_second(spark, tmp_path, batches, per_domain):
     assert got == want
 
 
+@pytest.mark.parametrize("per_domain", [True, False])
+def test_trailing_second_over_batches(spark, tmp_path, batches, per_domain):
+    """Batches overlap by less than the lateness; equal instants meet across batches."""
+    rows = sorted(((r[3] // 500_000 * 500_000, r) for b in batches for r in b), key=lambda x: x[0])
+    mixed = [[(*r[:3], t, *r[4:]) for k, (t, r) in enumerate(rows) if (k + 7 * (k % 3)) // 40 == b] for b in range(6)]
+    got = {r.req_id: r.trailing for r in S.run_trailing(files(spark, tmp_path, mixed), 60_000_000, per_domain).collect()}
+    flat = [r for b in mixed for r in b]
+    assert len(flat) == len(got) == 180
+    near = lambda a, b: 0 <= a[3] - b[3] <= 1_000_000 and (not per_domain or a[2] == b[2])
+    assert got == {a[0]: sum(near(a, b) for b in flat) for a in flat}
+
+
+def test_trailing_state_is_bounded_and_late_rows_drop(spark, tmp_path):
+    at = lambda s: 1_700_000_000_000_000 + s * 1_000_000
+    times = [[0, 1], [100], [2, 50, 101], [102]]
+    batches = [[(10 * b + k, "u", "d", at(s), 200, "http", None) for k, s in enumerate(ts)] for b, ts in enumerate(times)]
+    got = {r.req_id: r.trailing for r in S.run_trailing(files(spark, tmp_path, batches), 60_000_000).collect()}
+    assert got == {0: 1, 1: 2, 10: 1, 21: 1, 22: 2, 30: 2}  # 20 came later than the lateness allows
+
+
 def test_error_counters(spark, tmp_path, batches):
     got = {r.error_type: r.n for r in S.run_error_counts(files(spark, tmp_path, batches)).collect()}
     rows = [r for b in batches for r in b]
