@@ -182,7 +182,8 @@ def _selected(pages: DataFrame, selector: str) -> DataFrame:
 
     staged = pages.select("page_id", "url", H.tokens(H.without(F.col("html"), hidden), whole=bool(value)).alias("_t"))
     nested = staged.select("page_id", "url", H.texts(F.col("_t")).alias("_x"), nesting(H.marks(F.col("_t"), wanted)).alias("_n"))
-    return nested.select("page_id", "url", F.transform("_n.found", lambda s: H.span_text(F.col("_x"), s)).alias("found"))
+    found = F.transform("_n.found", lambda s: H.span_text(F.col("_x"), s))
+    return settled(nested, "found", found).select("page_id", "url", "found")
 
 
 def selector_matches(pages: DataFrame, selector: str) -> DataFrame:
