@@ -36,6 +36,7 @@ _WORD = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z_-]{4})[A-Za-z]+(?:[_-][A-Za-z]+)*(?![A
 _PART = "[A-Za-z0-9+]{%d,}"
 SPAN = "struct<start:int,kind:int,end:int>"
 _BLOCK = 512
+_PIECE = 4096
 
 
 @dataclass(frozen=True)
@@ -55,43 +56,57 @@ class SecretConfig:
     lean: float = 4.0
 
 
-def _matches(text: Column, pattern: str, kind: int, keep=None) -> Column:
-    """Spans of the leftmost non-overlapping matches.
+def _emitted(xs: Column, state: dict[str, Column], step) -> Column:
+    """Spans that a pass over the array ``xs`` gives out, in its order.
 
-    Lengths of the gaps between matches and of the matches add up to positions;
-    they are summed in blocks, so a text with very many matches stays cheap.
+    ``step(state, x)`` is the next state, whether a span is given out, and that
+    span. The pass goes in blocks, so giving out very many stays cheap.
     """
+    nothing = F.array().cast(f"array<{SPAN}>")
+
+    def packed(values, out):
+        return F.struct(*(values[k].alias(k) for k in state), out.alias("out"))
+
+    def one(acc, x):
+        new, some, span = step(acc, x)
+        return packed(new, F.when(some, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]))
+
+    def block(acc, part):
+        inner = F.aggregate(part, packed(acc, nothing), one)
+        return let(inner, lambda i: packed(i, F.concat(acc["out"], i["out"])))
+
+    blocks = F.transform(F.sequence(F.lit(1), F.size(xs), F.lit(_BLOCK)), lambda k: F.slice(xs, k, _BLOCK))
+    return F.aggregate(blocks, packed(state, nothing), block)["out"]
+
+
+def _matches(text: Column, pattern: str, kind: int, keep=None) -> Column:
+    """Spans of the leftmost non-overlapping matches: lengths of the gaps
+    between matches and of the matches add up to positions."""
     gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g))
     found = F.transform(
         F.regexp_extract_all(text, F.lit(pattern), 0),
         lambda m: F.struct(F.length(m).alias("n"), (keep(m) if keep else F.lit(True)).alias("keep")),
     )
-    nothing = F.array().cast(f"array<{SPAN}>")
 
     def step(acc, x):
         start = acc["at"] + x["gaps"]
         end = start + x["found"]["n"]
-        span = F.array(F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end")))
-        return F.struct(end.alias("at"), F.when(x["found"]["keep"], F.concat(acc["out"], span)).otherwise(acc["out"]).alias("out"))
+        return {"at": end}, x["found"]["keep"], F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"))
 
-    def block(acc, xs):
-        inner = F.aggregate(xs, F.struct(acc["at"].alias("at"), nothing.alias("out")), step)
-        return let(inner, lambda i: F.struct(i["at"].alias("at"), F.concat(acc["out"], i["out"]).alias("out")))
+    pairs = let(found, lambda f: F.arrays_zip(F.slice(gaps, 1, F.size(f)).alias("gaps"), f.alias("found")))
+    spans = let(pairs, lambda xs: _emitted(xs, {"at": F.lit(0)}, step))
+    return F.when(F.rlike(text, F.lit(pattern)), spans).otherwise(F.array().cast(f"array<{SPAN}>"))
 
-    def spans(xs):
-        blocks = F.transform(F.sequence(F.lit(1), F.size(xs), F.lit(_BLOCK)), lambda k: F.slice(xs, k, _BLOCK))
-        return F.aggregate(blocks, F.struct(F.lit(0).alias("at"), nothing.alias("out")), block)["out"]
 
-    pairs = let(found, lambda f: F.arrays_zip(F.slice(gaps, 1, F.size(f)).alias("gaps"), f.alias("found")))
-    return F.when(F.rlike(text, F.lit(pattern)), let(pairs, spans)).otherwise(nothing)
+def _long_enough(match: Column, config: SecretConfig) -> Column:
+    return F.length(F.regexp_extract(match, ASSIGN, 2)) >= config.min_value
 
 
 def base_spans(text: Column, config: SecretConfig = SecretConfig()) -> Column:
     """Pattern spans by (start, kind). A run that a bounded pattern accepts is
     the whole run: it starts at the run's first possible character."""
-    long_enough = lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= config.min_value
     return F.array_sort(F.concat(
-        _matches(text, ASSIGN, 0, long_enough), _matches(text, ACCESS, 1), _matches(text, HEX, 2)
+        _matches(text, ASSIGN, 0, lambda m: _long_enough(m, config)), _matches(text, ACCESS, 1), _matches(text, HEX, 2)
     ))
 
 
@@ -99,27 +114,44 @@ def _span(start: Column, end: Column) -> Column:
     return F.struct(start.alias("start"), F.lit(3).alias("kind"), end.alias("end"))
 
 
-def _rests(base: Column, run: Column, shortest: int) -> Column:
-    """What the pattern spans, ordered by start, leave of a run: pieces of ``shortest`` or more."""
-    within = F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
-    begin = F.struct(run["start"].alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
+def _rests(base: Column, runs: Column, shortest: int) -> Column:
+    """What the pattern spans leave of the runs: pieces of ``shortest`` or more.
+
+    One pass over both, by start: ``at`` is the first place of the open run that
+    no pattern span holds, ``end`` the run's end, ``free`` the end of the pattern
+    spans so far.
+    """
+    beyond = F.lit(2**31 - 1)
+
+    def step(acc, x):
+        run, stop = x["kind"] == 3, F.least(x["start"], acc["end"])
+        new = {
+            "at": F.when(run, F.greatest(x["start"], acc["free"])).otherwise(F.greatest(acc["at"], x["end"])),
+            "end": F.when(run, x["end"]).otherwise(acc["end"]),
+            "free": F.when(run, acc["free"]).otherwise(F.greatest(acc["free"], x["end"])),
+        }
+        return new, stop - acc["at"] >= shortest, _span(acc["at"], stop)
+
+    ordered = F.array_append(F.array_sort(F.concat(base, runs)), _span(beyond, beyond))
+    rests = let(ordered, lambda xs: _emitted(xs, {"at": F.lit(0), "end": F.lit(0), "free": F.lit(0)}, step))
+    return F.when(F.size(runs) > 0, rests).otherwise(F.array().cast(f"array<{SPAN}>"))
+
 
-    def step(acc, b):
-        gap = F.array(_span(acc["at"], b["start"]))
-        return F.struct(
-            F.greatest(acc["at"], b["end"]).alias("at"),
-            F.when(b["start"] - acc["at"] >= shortest, F.concat(acc["out"], gap)).otherwise(acc["out"]).alias("out"),
-        )
+def _pieces(text: Column) -> Column:
+    """A text in pieces of ``_PIECE`` characters. Counting characters from a long
+    text's start for every span would take time in the square of its length."""
+    return F.when(F.length(text) <= _PIECE, F.array(text)).otherwise(F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % _PIECE), 0))
 
-    def last(acc):
-        gap = F.array(_span(acc["at"], run["end"]))
-        return F.when(run["end"] - acc["at"] >= shortest, F.concat(acc["out"], gap)).otherwise(acc["out"])
 
-    return let(F.aggregate(within, begin, step), last)
+def _between(pieces: Column, start: Column, end: Column) -> Column:
+    """Characters from ``start`` up to ``end`` of a text in pieces."""
+    first, last = F.floor(start / _PIECE).cast("int"), F.floor((end - 1) / _PIECE).cast("int")
 
+    def part(k):
+        begin = F.greatest(start - k * _PIECE, F.lit(0))
+        return F.substring(F.element_at(pieces, k + 1), begin + 1, end - k * _PIECE - begin)
 
-def _cut_out(text: Column, span: Column) -> Column:
-    return F.substring(text, span["start"] + 1, span["end"] - span["start"])
+    return F.when(end > start, F.array_join(F.transform(F.sequence(first, last), part), "")).otherwise("")
 
 
 def _run_pattern(shortest: int) -> str:
@@ -131,16 +163,16 @@ def labelled_samples(documents: DataFrame, config: SecretConfig = SecretConfig()
     letters that no pattern touches, each once. Tasks drop repetitions before
     the tokens move."""
     text = F.col("text")
-    rows = documents.select("text", F.explode(F.array(base_spans(text, config))).alias("base"))
-    value = lambda m: F.regexp_replace(m, r"^.*[\s:=\"']", "")
-    secrets = F.transform("base", lambda s: value(_cut_out(text, s)))
+    found = [F.regexp_extract_all(text, F.lit(p), 0) for p in (ASSIGN, ACCESS, HEX)]
+    found[0] = F.filter(found[0], lambda m: _long_enough(m, config))
+    secrets = F.transform(F.concat(*found), lambda m: F.regexp_replace(m, r"^.*[\s:=\"']", ""))
     words = F.regexp_extract_all(F.regexp_replace(text, ASSIGN + "|" + ACCESS + "|" + HEX, " "), F.lit(_WORD), 0)
     # Strings are told apart by hash, structs one by one.
     labelled = F.concat(
         F.transform(F.array_distinct(secrets), lambda t: F.struct(t.alias("token"), F.lit(True).alias("secret"))),
         F.transform(F.array_distinct(words), lambda t: F.struct(t.alias("token"), F.lit(False).alias("secret"))),
     )
-    return rows.select(F.inline(labelled)).distinct()
+    return documents.select(F.inline(labelled)).distinct()
 
 
 def _codes(token: Column) -> Column:
@@ -208,17 +240,23 @@ def scan(documents: DataFrame, model: list[float], config: SecretConfig = Secret
     base, text = F.col("found.base"), F.col("row.text")
     random = lambda token: _ratio(token, model) >= config.min_ratio
 
-    def judged(rest):
+    def judged(pieces, rest):
         """A rest of a run, or its random parts."""
         def parts(cut):
-            found = _matches(cut, _PART % config.min_run, 3)
-            found = F.filter(found, lambda p: random(_cut_out(cut, p)))
+            inner = _pieces(cut)
+            found = let(inner, lambda ps: F.filter(
+                _matches(cut, _PART % config.min_run, 3), lambda p: random(_between(ps, p["start"], p["end"]))
+            ))
             return F.transform(found, lambda p: _span(rest["start"] + p["start"], rest["start"] + p["end"]))
 
-        return let(_cut_out(text, rest), lambda cut: F.when(random(cut), F.array(_span(rest["start"], rest["end"]))).otherwise(parts(cut)))
+        cut = _between(pieces, rest["start"], rest["end"])
+        return let(cut, lambda c: F.when(random(c), F.array(_span(rest["start"], rest["end"]))).otherwise(parts(c)))
 
-    rests = F.flatten(F.transform("found.runs", lambda r: _rests(base, r, config.min_run)))
-    added = let(rests, lambda xs: F.flatten(F.transform(xs, judged)))
+    rests = _rests(base, F.col("found.runs"), config.min_run)
+    nothing = F.array().cast(f"array<{SPAN}>")
+    added = let(rests, lambda xs: F.when(
+        F.size(xs) > 0, let(_pieces(text), lambda ps: F.flatten(F.transform(xs, lambda x: judged(ps, x))))
+    ).otherwise(nothing))
     return rows.select("row", base.alias("base"), F.explode(F.array(F.array_sort(F.concat(base, added)))).alias("spans"))
 
 
@@ -248,21 +286,18 @@ def redact(documents: DataFrame, config: SecretConfig = SecretConfig(), mark: st
     are unchanged, null ones stay null."""
     model = train(labelled_samples(documents.select("doc_id", "text"), config), config)
     text, some = F.col("row.text"), F.size("spans") > 0
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(acc, s):
-        """Text since the last span and a mark, unless the span begins inside it."""
-        gap = F.array(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))
-        fresh = (s["start"] >= acc["at"]) | (F.size(acc["out"]) == 0)
-        return F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(fresh, F.concat(acc["out"], gap)).otherwise(acc["out"]).alias("out"),
-        )
+    # One pass over the spans: the text before each that does not begin inside an earlier one.
+    def step(acc, x):
+        gap = F.struct(acc["at"].alias("start"), F.lit(3).alias("kind"), x["start"].alias("end"))
+        return {"at": F.greatest(acc["at"], x["end"])}, x["start"] >= acc["at"], gap
 
-    def joined(acc):
-        return F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text)))
+    def joined(pieces):
+        gaps = _emitted(F.col("spans"), {"at": F.lit(0)}, step)
+        kept = F.transform(gaps, lambda g: F.concat(_between(pieces, g["start"], g["end"]), F.lit(mark)))
+        tail = F.array_max(F.transform("spans", lambda x: x["end"]))
+        return F.concat(F.array_join(kept, ""), _between(pieces, tail, F.length(text)))
 
-    clean = F.when(some, let(F.aggregate("spans", start, step), joined)).otherwise(text)
+    clean = F.when(some, let(_pieces(text), joined)).otherwise(text)
     rows = scan(documents, model, config).select("row", some.alias("some"), F.explode(F.array(clean)).alias("clean"))
     new = {"text": F.col("clean")}
     if "n_chars" in documents.columns:

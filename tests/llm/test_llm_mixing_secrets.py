@@ -162,3 +162,21 @@ def test_long_runs_and_many_distinct_words_stay_cheap(spark):
     got = secrets.find_secrets(spark.createDataFrame([(1, words, None, None, 0), (2, "x " + run + " y", None, None, 0)], DOCS)).collect()
     assert time.monotonic() - start < 120
     assert {r.doc_id: r.n_hex for r in got} == {1: 0, 2: 0} and len(got) == 2
+
+
+def test_spans_of_very_long_texts(spark):
+    """Spans far into a text are those of its end alone, in time that does not
+    grow with the square of the spans."""
+    tail = "token=" + "a1B2" * 5 + " q7Zk/AKIA" + "X" * 16 + "/w9Tq3Lm8Rz5Yc2Vb7Nd4 end"
+    filler = "key aaa é " * 1000
+    many = ("f0" * 12 + " Q9wE7rT5yU3iO1pA8sD6 ") * 20_000
+    docs = spark.createDataFrame([(1, tail), (2, filler + tail), (3, many), (4, "ab1/" * 250_000)], "doc_id long, text string")
+    model = secrets.train(secrets.labelled_samples(docs.where("doc_id < 3")))
+    started = time.monotonic()
+    rows = {r["doc_id"]: r for r in secrets.scan(docs, model).select("row.doc_id", "base", "spans").collect()}
+    assert time.monotonic() - started < 300
+    moved = [(s["start"] - len(filler), s["kind"], s["end"] - len(filler)) for s in rows[2]["spans"]]
+    assert moved == [tuple(s) for s in rows[1]["spans"]]
+    assert len(rows[3]["base"]) == 20_000
+    clean = secrets.redact(docs.where("doc_id = 2")).first()["text"]
+    assert clean.startswith(filler) and clean.endswith(" end") and "AKIA" not in clean
