@@ -19,15 +19,20 @@ def corpus_scan(pages: DataFrame) -> DataFrame:
     return pages.select("url", "html")
 
 
-def _answers(urls: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame, bool]:
+def _answers(urls: DataFrame, pages: DataFrame, every_copy: bool) -> tuple[DataFrame, DataFrame, bool]:
     """Requested URLs, the page that answers each, and whether the answers are
     few enough to broadcast.
 
     The page is chosen on (url, page_id) alone, reduced before the shuffle, so a
     URL with very many copies is no burden. A page without page_id answers nothing.
+    With ``every_copy`` all pages of a URL answer it, and the answers are URLs alone.
     """
     wanted = urls.select("url").distinct()
-    first = written(pages.where("page_id is not null").groupBy("url").agg(F.min("page_id").alias("page_id")).join(wanted, "url", "left_semi"), "answers")
+    if every_copy:
+        archived = pages.select("url").distinct()
+    else:
+        archived = pages.where("page_id is not null").groupBy("url").agg(F.min("page_id").alias("page_id"))
+    first = written(archived.join(wanted, "url", "left_semi"), "answers")
     size = first.agg(F.sum(F.octet_length("url") + F.lit(64))).first()[0] or 0
     return wanted, first, size <= BROADCAST_BYTES
 
@@ -67,20 +72,21 @@ def bloom_filter(ids: DataFrame, column: str) -> Callable[[Column], Column]:
     return passes
 
 
-def _looked_up(urls: DataFrame, pages: DataFrame, build: Callable[[DataFrame], DataFrame], absent: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def _looked_up(urls: DataFrame, pages: DataFrame, build: Callable[[DataFrame], DataFrame], absent: Callable[[DataFrame], DataFrame],
+               every_copy: bool = False) -> DataFrame:
     """What ``build`` makes of the pages that answer, and ``absent`` of URLs without one.
 
     Built where the page was read. Up to ``BROADCAST_BYTES`` of answers nothing of a
     page moves; beyond, a Bloom filter of the wanted pages leaves few others
     to build from, and what was built moves once.
     """
-    wanted, first, few = _answers(urls, pages)
-    answer = ["url", "page_id"]
+    wanted, first, few = _answers(urls, pages, every_copy)
+    answer = first.columns
     if few:
         found = build(pages.join(F.broadcast(first), answer, "left_semi"))
     else:
-        wants = bloom_filter(first, "page_id")
-        found = build(pages.where(wants(F.col("page_id")))).join(first, answer, "left_semi")
+        wants = bloom_filter(first, answer[-1])
+        found = build(pages.where(wants(F.col(answer[-1])))).join(first, answer, "left_semi")
     return found.drop("page_id").unionByName(absent(wanted.join(first, "url", "left_anti")))
 
 
@@ -105,11 +111,12 @@ def fetch_status(urls: DataFrame, pages: DataFrame) -> DataFrame:
     return found.select("url", F.when(F.col("length") > 0, "OK").otherwise("ERROR").alias("status"), "length")
 
 
-def fetch_and_extract(urls: DataFrame, pages: DataFrame) -> DataFrame:
+def fetch_and_extract(urls: DataFrame, pages: DataFrame, every_copy: bool = False) -> DataFrame:
     """Page record per requested URL; an unfetched page gets the failed record.
-    Records are made where their page was read, before anything moves."""
+    Records are made where their page was read, before anything moves. With
+    ``every_copy`` a URL that was archived more than once has a record a copy."""
     def records(found: DataFrame) -> DataFrame:
         whole = found.withColumn("html", F.coalesce("html", F.lit("")))
         return X.with_fetch_failures(X.page_records(whole, missing=~is_fetched(F.col("html"))), F.col("missing")).drop("missing")
 
-    return _looked_up(urls, pages, records, lambda missing: records(missing.withColumn("html", F.lit(""))))
+    return _looked_up(urls, pages, records, lambda missing: records(missing.withColumn("html", F.lit(""))), every_copy)

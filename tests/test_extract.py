@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusweave.functions.elements import _scanner
 from corpusweave.operators import extract as X
 from corpusweave.operators import lookup as L
+from corpusweave.plans.queries import QUERIES
 
 def frame(spark, *pages):
     return spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(pages)], "page_id long, url string, html string")
@@ -258,3 +259,15 @@ def test_bloom_filter_lets_wanted_ids_pass_and_few_others(spark):
     passed = {r.id for r in spark.range(40_000).where(L.bloom_filter(ids, "page_id")(F.col("id"))).collect()}
     assert passed >= set(range(0, 40_000, 40)) and len(passed) < 1000 + 400
     assert spark.range(100).where(L.bloom_filter(ids.where("false"), "page_id")(F.col("id"))).count() == 0
+
+
+def test_every_copy_of_a_url_has_its_record(spark, tmp_path, monkeypatch):
+    link = '<html><body><p>{}</p><ul><li>x</ul><a href="/a">a</a></body></html>'
+    bodies = [("https://e.com/two", link.format("one")), ("https://e.com/two", link.format("two")), ("https://e.com/one", link.format("three"))]
+    frame(spark, *bodies).write.parquet(str(tmp_path / "pages.parquet"))
+    rows = QUERIES["fetch_extract"](spark, str(tmp_path)).collect()
+    found = sorted((r.url, r.text.split()[0] if r.text else "", r.links_count) for r in rows)
+    assert found == [("https://e.com/a", "", 0), ("https://e.com/one", "three", 1), ("https://e.com/two", "one", 2), ("https://e.com/two", "two", 2)]
+    pages, urls = spark.read.parquet(str(tmp_path / "pages.parquet")), spark.createDataFrame([("https://e.com/two",)], "url string")
+    monkeypatch.setattr(L, "BROADCAST_BYTES", 0)
+    assert L.fetch_and_extract(urls, pages, every_copy=True).count() == 2 and L.fetch_and_extract(urls, pages).count() == 1
