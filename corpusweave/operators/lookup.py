@@ -87,7 +87,8 @@ def _looked_up(urls: DataFrame, pages: DataFrame, build: Callable[[DataFrame], D
     else:
         wants = bloom_filter(first, answer[-1])
         found = build(pages.where(wants(F.col(answer[-1])))).join(first, answer, "left_semi")
-    return found.drop("page_id").unionByName(absent(wanted.join(first, "url", "left_anti")))
+    kept = found if every_copy else found.drop("page_id")
+    return kept.unionByName(absent(wanted.join(first, "url", "left_anti")), allowMissingColumns=every_copy)
 
 
 def batch_lookup(urls: DataFrame, pages: DataFrame) -> DataFrame:
@@ -114,7 +115,7 @@ def fetch_status(urls: DataFrame, pages: DataFrame) -> DataFrame:
 def fetch_and_extract(urls: DataFrame, pages: DataFrame, every_copy: bool = False) -> DataFrame:
     """Page record per requested URL; an unfetched page gets the failed record.
     Records are made where their page was read, before anything moves. With
-    ``every_copy`` a URL that was archived more than once has a record a copy."""
+    ``every_copy`` a URL that was archived more than once has a record a copy, with its page_id."""
     def records(found: DataFrame) -> DataFrame:
         whole = found.withColumn("html", F.coalesce("html", F.lit("")))
         return X.with_fetch_failures(X.page_records(whole, missing=~is_fetched(F.col("html"))), F.col("missing")).drop("missing")

@@ -5,10 +5,12 @@ from html.parser import HTMLParser as StdParser
 import pytest
 from pyspark.sql import functions as F
 
-from corpusweave.functions.elements import _scanner
+from corpusweave import session
+from corpusweave.functions.elements import _scanner, nesting
 from corpusweave.operators import extract as X
 from corpusweave.operators import lookup as L
 from corpusweave.plans.queries import QUERIES
+from corpusweave.sources import tables as T
 
 def frame(spark, *pages):
     return spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(pages)], "page_id long, url string, html string")
@@ -271,3 +273,31 @@ def test_every_copy_of_a_url_has_its_record(spark, tmp_path, monkeypatch):
     pages, urls = spark.read.parquet(str(tmp_path / "pages.parquet")), spark.createDataFrame([("https://e.com/two",)], "url string")
     monkeypatch.setattr(L, "BROADCAST_BYTES", 0)
     assert L.fetch_and_extract(urls, pages, every_copy=True).count() == 2 and L.fetch_and_extract(urls, pages).count() == 1
+    frame(spark, *bodies[:1]).union(frame(spark, *bodies[:1])).write.parquet(str(tmp_path / "again" / "pages.parquet"))
+    again = QUERIES["fetch_extract"](spark, str(tmp_path / "again")).where("url like '%two'").collect()
+    assert [r.links_count for r in again] == [1, 1]
+
+
+def test_selectors_share_a_token_table(spark):
+    page = frame(spark, ("https://e.com/", '<p>a&amp;b<div class="x ad">c<p>d</div><div class=ad>e</div><p*q>f'))
+    got = sorted((r.selector, r.pos, r.text) for r in X.matches_of_each(page, ("p", "div.ad", "p")).collect())
+    assert got == [("div.ad", 0, "c d"), ("div.ad", 1, "e"), ("p", 0, "a&b"), ("p", 1, "d")]
+    plan = X.matches_of_each(page, ("p", "div.ad"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
+def test_nesting_gives_the_wanted_kinds_alone(spark):
+    found = spark.range(1).select(nesting(F.lit("ul +li +li /ul"), ["lists"]).alias("n"))
+    assert found.schema["n"].dataType.fieldNames() == ["lists"]
+    assert [(x.type, [tuple(s) for s in x["items"]]) for x in found.first().n.lists] == [("ul", [(0, 1), (1, 2)])]
+
+
+def test_rows_are_dealt_out_before_pages_are_made(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "ROWS_A_TASK", 10)
+    orders = spark.range(200).selectExpr("id as o_orderkey", "id as o_custkey", "'O' as o_orderstatus", "'x' as o_orderpriority")
+    orders.coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    lines = spark.range(400).selectExpr("id div 2 as l_orderkey", "cast(id % 2 as int) as l_linenumber", "id as l_partkey")
+    lines.coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    shop, baskets = T.order_pages(spark, str(tmp_path)), T.basket_pages(spark, str(tmp_path))
+    assert (shop.count(), baskets.count()) == (200, 200)
+    assert shop.rdd.getNumPartitions() == 20 and baskets.rdd.getNumPartitions() == 40
