@@ -13,12 +13,13 @@ is the lattice point of five groups, and every pair within the radius shares a
 cell, while two unrelated fingerprints do so once in some 300,000 times. Counts are kept in unary inside one long (two bits a segment), so a cell
 key is a mask and a Manhattan distance is the bit count of a XOR.
 
-Pairs of a cell are never listed. First every fingerprint of a cell is compared
-with the cell's smallest, which links a group of near copies as a star. The links
-found so far give components, and a cell that lies in one of them costs nothing
-more. The members of the other cells are compared where they meet, in arrays: a
-large cell is dealt out over pairs of blocks, so no task holds more than two of
-them, and a unit of work hands on a spanning forest of the components it joins.
+Pairs of a cell are never listed, and cells are made and moved once: sorted by
+cell, they stream past one scan. It compares every fingerprint of a cell with the
+cell's smallest, which links a group of near copies as a star, then those of cells
+that stay apart among each other, and hands on a spanning forest of the links.
+Only cells of more than a block of fingerprints hand on their members: those whose
+members are not one component by then are dealt out over pairs of blocks, so no
+task holds more than two of them, and compared in arrays in the same way.
 """
 
 from __future__ import annotations
@@ -111,12 +112,6 @@ def _cells(points: DataFrame) -> DataFrame:
     return rows.select(F.col("kind").cast("byte").alias("kind"), F.col("_e").bitwiseAND(F.col("_m")).alias("cell"), "fp", *others)
 
 
-def _near(a: Column, b: Column, radius: int) -> Column:
-    """Manhattan distance in the embedding first, then the exact Hamming distance."""
-    bound = F.bit_count(embedded(a).bitwiseXOR(embedded(b))) <= radius
-    return bound & (F.bit_count(a.bitwiseXOR(b)) <= radius)
-
-
 def _labelled(points: DataFrame, edges: DataFrame) -> DataFrame:
     """``points(fp)`` with the component their links give; alone, their own."""
     found = components(edges).withColumnRenamed("id", "fp").withColumnRenamed("component", "_c")
@@ -126,15 +121,17 @@ def _labelled(points: DataFrame, edges: DataFrame) -> DataFrame:
 def link_components(points: DataFrame, config: SimHashConfig = SimHashConfig()) -> DataFrame:
     """``(fp, comp)`` for distinct ``points(fp)``: equal ``comp`` where links of up
     to ``max_distance`` bits connect, directly or through others. Exact."""
-    radius, cell = config.max_distance, ["kind", "cell"]
+    cell = ["kind", "cell"]
     # A few narrow files make many cells: spread them before they do.
     points = points.repartition(shuffle_width(points.sparkSession), "fp")
-    least = _cells(points).groupBy(*cell).agg(F.min("fp").alias("pivot"), F.max("fp").alias("_top")).where("pivot <> _top")
-    shared = written(_cells(points).join(least.select(*cell, "pivot"), cell), "simhash-cells")
-    stars = shared.where(F.col("fp") != F.col("pivot")).where(_near(F.col("fp"), F.col("pivot"), radius))
-    first = written(_labelled(points, stars.select(F.col("fp").alias("a"), F.col("pivot").alias("b")).distinct()), "simhash-stars")
-
-    members = shared.select(*cell, "fp").join(first, "fp")
+    scanned = written(_scanned(_cells(points), config), "simhash-cells")
+    links = scanned.where(F.col("kind") == LINK).select("a", "b").distinct()
+    first = written(_labelled(points, links), "simhash-stars")
+    large = scanned.where(F.col("kind") != LINK).select(*cell, F.col("a").alias("fp"))
+    if large.isEmpty():
+        return first
+
+    members = large.join(first, "fp")
     mixed = members.groupBy(*cell).agg(F.count("*").alias("_n"), F.min("comp").alias("_a"), F.max("comp").alias("_b")).where("_a <> _b")
     dealt = _dealt(members.join(mixed.select(*cell, "_n"), cell), config.block)
     joined = components(_compared(dealt, config).distinct())
@@ -142,6 +139,85 @@ def link_components(points: DataFrame, config: SimHashConfig = SimHashConfig())
     return found.select("fp", F.coalesce("component", "comp").alias("comp"))
 
 
+LINK = -1  # in place of a kind of cell
+
+
+def cell_links(unit: np.ndarray, fp: np.ndarray, radius: int) -> list[tuple[int, int]]:
+    """Links that span what lies near within whole cells, whose rows stand together."""
+    heads = np.flatnonzero(np.diff(unit, prepend=-1))
+    pivot = np.repeat(heads, np.diff(heads, append=len(unit)))
+    star = np.bitwise_count(fp ^ fp[pivot]) <= radius
+    signed = fp.view(np.int64)
+    comp = np.where(star, signed[pivot], signed)
+    near = star & (comp != signed)
+    pairs = np.unique(np.stack([signed[near], comp[near]]), axis=1)
+    # Cells that the star did not join.
+    apart = (~np.logical_and.reduceat(star, heads) if len(heads) else np.zeros(0, bool)).repeat(np.diff(heads, append=len(unit)))
+    one = np.ones(int(apart.sum()), bool)
+    more = unit_links(unit[apart], ~one, one, fp[apart], comp[apart], radius)
+    joined = np.concatenate([pairs, np.array(more, np.int64).reshape(-1, 2).T], axis=1)
+    return spanning(*joined)
+
+
+def _scanned(cells: DataFrame, config: SimHashConfig) -> DataFrame:
+    """``(kind, cell, a, b)``: links ``a, b`` under the kind ``LINK``, and the members ``a``
+    of cells of more than a block, of which only those of the smallest are among the links."""
+    radius, block = config.max_distance, config.block
+
+    def rows(kind: np.ndarray, cell: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        columns = [pa.array(kind, pa.int8()), pa.array(cell, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, ["kind", "cell", "a", "b"])
+
+    def links(pairs: np.ndarray) -> pa.RecordBatch:
+        return rows(np.full(len(pairs), LINK), np.zeros(len(pairs), np.int64), pairs[:, 0], pairs[:, 1])
+
+    def members(kind: np.ndarray, cell: np.ndarray, fp: np.ndarray, pivot: int) -> Iterator[pa.RecordBatch]:
+        yield rows(kind, cell, fp, fp)
+        near = fp[(np.bitwise_count((fp ^ pivot).view(np.uint64)) <= radius) & (fp != pivot)]
+        yield links(np.stack([near, np.full(len(near), pivot)], axis=1))
+
+    def whole(kind: np.ndarray, cell: np.ndarray, fp: np.ndarray, new: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Links and members of the cells of these rows, ``new`` where one begins."""
+        heads = np.flatnonzero(new)
+        sizes = np.diff(heads, append=len(fp))
+        for head, size in zip(heads[sizes > block].tolist(), sizes[sizes > block].tolist(), strict=True):
+            at = slice(head, head + size)
+            yield from members(kind[at], cell[at], fp[at], fp[head])
+        met = np.repeat((sizes > 1) & (sizes <= block), sizes)
+        pairs = cell_links(np.cumsum(new)[met], fp[met].view(np.uint64), radius)
+        if pairs:
+            yield links(np.array(pairs, np.int64))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros(0, np.int8), np.zeros(0, np.int64), np.zeros(0, np.int64)]
+        large: tuple[int, int, int] | None = None  # a cell that is handed on as it comes, and its smallest
+        for batch in batches:
+            kind, cell, fp = (np.concatenate([h, c.to_numpy()]) for h, c in zip(held, batch.columns, strict=True))
+            if large is not None:
+                n = int(((kind == large[0]) & (cell == large[1])).sum())  # sorted: the first rows
+                yield from members(kind[:n], cell[:n], fp[:n], large[2])
+                kind, cell, fp = kind[n:], cell[n:], fp[n:]
+            held = [kind, cell, fp]
+            if not len(fp):
+                continue
+            large = None
+            new = (np.diff(kind, prepend=kind[:1]) != 0) | (np.diff(cell, prepend=cell[:1]) != 0)
+            new[0] = True
+            last = int(np.flatnonzero(new)[-1])  # its cell may go on in the next batch
+            yield from whole(kind[:last], cell[:last], fp[:last], new[:last])
+            held = [kind[last:], cell[last:], fp[last:]]
+            if len(held[0]) > block:
+                large = (int(kind[last]), int(cell[last]), int(fp[last]))
+                yield from members(*held, large[2])
+                held = [h[:0] for h in held]
+        kind, cell, fp = held
+        if len(fp):
+            yield from whole(kind, cell, fp, np.arange(len(fp)) == 0)
+
+    by = cells.select("kind", "cell", "fp").repartition(shuffle_width(cells.sparkSession), "kind", "cell")
+    return by.sortWithinPartitions("kind", "cell", "fp").mapInArrow(run, "kind byte, cell long, a long, b long")
+
+
 UNIT = ["kind", "cell", "i", "j"]
 
 

@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pytest
 import xxhash
@@ -191,6 +193,42 @@ def test_a_group_around_its_least_member_links_as_all_pairs_do(spark, block):
     assert len({(root[k], got[p]) for k, p in enumerate(points)}) == len(set(root)) == len(set(got.values()))
 
 
+@pytest.mark.parametrize("block", [2, 5, 2048])
+def test_cells_are_scanned_over_small_batches(spark, block):
+    rng = random.Random(7)
+    base = [rng.getrandbits(62) for _ in range(4)]
+    points = sorted({b ^ (1 << rng.randrange(62)) ^ (1 << rng.randrange(62)) ^ (1 << rng.randrange(62)) for b in base for _ in range(12)})
+    root = {p: p for p in points}
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(points):
+        for b in points[:i]:
+            if (a ^ b).bit_count() <= 4 and top(a) != top(b):
+                root[max(top(a), top(b))] = min(top(a), top(b))
+    df, size = spark.createDataFrame([(p,) for p in points], "fp long"), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(size)
+    spark.conf.set(size, "7")
+    try:
+        found = simhash.link_components(df, simhash.SimHashConfig(block=block)).collect()
+    finally:
+        spark.conf.set(size, was)
+    assert {r.fp: r.comp for r in found} == {p: top(p) for p in points}
+
+
+def test_near_copies_hand_on_a_link_each_not_their_cells(spark):
+    base = 0x1234567890ABCDE
+    points = sorted({base} | {base ^ 1 << i for i in range(62)})
+    cells = simhash._cells(spark.createDataFrame([(p,) for p in points], "fp long"))
+    shared = cells.groupBy("kind", "cell").count().where("count > 1").agg({"count": "sum"}).first()[0]
+    links = simhash._scanned(cells, simhash.SimHashConfig())
+    assert links.where(f"kind <> {simhash.LINK}").count() == 0
+    assert links.count() <= 8 * (len(points) - 1) < shared / 8  # of four tasks, each with a last cell on its own
+
+
 def test_documents_and_deduplication(spark):
     rows = [(5, "same words here now and then"), (3, "Same words here NOW and then"), (9, None), (8, " "), (7, "other text of its own kind"), (None, "same words here now and then"), (7, "other text of its own kind")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("fp", F.lit("x")).withColumn("fingerprint", F.lit(1))
