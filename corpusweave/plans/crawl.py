@@ -2,8 +2,12 @@
 
 The visit order of a breadth-first crawl is (depth, least position path), where
 a path is the seed's index followed by link positions. One join per level finds
-the next URLs; the level's minimum path both removes duplicates and fixes the
-order. Levels are checkpointed, so a plan never grows with depth.
+the next URLs. A page's rank in its level and a link's position stand in one long,
+which orders the links as their paths do: its minimum per URL both removes
+duplicates and fixes the order, in a hash aggregate, and ranks the next level.
+Paths are put together once per URL. Whether a URL may be crawled is asked of the
+distinct URLs found, not of every link. Levels are written, so a plan never grows
+with depth.
 """
 
 from __future__ import annotations
@@ -63,10 +67,14 @@ def _seed_frontier(seeds: DataFrame, domains: DataFrame | None, config: CrawlCon
         FR.normalized(seeds.select("seq", "url")), None, domains, config.exclude_patterns, config.include_patterns
     )
     first = candidates.groupBy("url").agg(F.min("seq").cast("int").alias("seq"))
-    return first.select("url", F.array("seq").alias("path"), F.lit(None).cast("string").alias("discoverer"))
+    return first.select(
+        "url", F.array("seq").alias("path"), F.lit(None).cast("string").alias("discoverer"), F.col("seq").cast("long").alias("_key")
+    )
 
 
-def _outcome(level: DataFrame, corpus: DataFrame, rules: DataFrame | None, config: CrawlConfig) -> DataFrame:
+def _outcome(level: DataFrame, small: bool, corpus: DataFrame, rules: DataFrame | None, config: CrawlConfig) -> DataFrame:
+    if small:
+        corpus = corpus.join(F.broadcast(level.select("url")), "url", "left_semi")
     present = corpus.select("url", F.lit(True).alias("_present"))
     known = level.join(present, "url", "left")
     if rules is not None:
@@ -82,28 +90,48 @@ def _outcome(level: DataFrame, corpus: DataFrame, rules: DataFrame | None, confi
     return known.withColumn("status", status).withColumn("reason", reason).drop("_present", "allowed")
 
 
-def _first_rows(df: DataFrame, limit: int, *order: str) -> DataFrame:
-    """The first ``limit`` rows, by rank: no task holds more than its range."""
-    return ordinals(df, [], list(order), "_rank").where(F.col("_rank") < limit).drop("_rank")
+def _small(frontier: DataFrame) -> tuple[int, bool]:
+    """Rows of a written frontier, and whether its URLs and keys may be broadcast."""
+    row = frontier.agg(F.count("*"), F.sum(F.octet_length("url") + 32)).first()
+    return row[0], (row[1] or 0) <= SMALL_BYTES
+
+
+def _links(open_pages: DataFrame, small: bool, edges: DataFrame) -> DataFrame:
+    """Links of ``open_pages(src, ...)``. Pages of one site begin alike, so a shuffled
+    join sorts by a hash before it compares URLs."""
+    if small:
+        return edges.join(F.broadcast(open_pages), "src")
+    hashed = lambda df: df.withColumn("_hash", F.hash("src"))
+    return hashed(edges).join(hashed(open_pages), ["_hash", "src"]).drop("_hash")
+
+
+# A key is a page's rank in its level, below 2^32, and a link's position.
+POSITION_BITS = 31
 
 
-def _size(level: DataFrame) -> tuple[int, int]:
-    """Rows of a checkpointed level, and the bytes its URLs and paths take."""
-    row = level.agg(F.count("*"), F.sum(F.octet_length("url") + 4 * F.size("path") + 32)).first()
-    return row[0], row[1] or 0
+def _found(level: DataFrame, small: bool, edges: DataFrame) -> DataFrame:
+    """``(url, _key)``: the least key of each URL that a level's processed pages link to."""
+    open_pages = level.where(F.col("status") == "processed").select(F.col("url").alias("src"), "_rank")
+    key = F.shiftleft("_rank", POSITION_BITS).bitwiseOR(F.col("pos").cast("long"))
+    reached = _links(open_pages, small, edges).select(F.col("dst").alias("url"), key.alias("_key"))
+    return reached.groupBy("url").agg(F.min("_key").alias("_key"))
 
 
-def _expand(visited: DataFrame, n_bytes: int, edges: DataFrame) -> DataFrame:
-    """Every link of the given pages with its position path, best one per URL."""
+def _placed(frontier: DataFrame, level: DataFrame, small: bool) -> DataFrame:
+    """Paths and discoverers of a frontier found from ``level``."""
+    above = level.select(F.col("_rank").alias("_above"), F.col("path").alias("_path"), F.col("url").alias("discoverer"))
+    if small:
+        above = F.broadcast(above)
+    pos = F.col("_key").bitwiseAND(F.lit((1 << POSITION_BITS) - 1)).cast("int")
+    of = frontier.withColumn("_above", F.shiftright("_key", POSITION_BITS))
+    return of.join(above, "_above").withColumn("path", F.concat("_path", F.array(pos))).drop("_above", "_path")
+
+
+def _least_paths(visited: DataFrame, small: bool, edges: DataFrame) -> DataFrame:
+    """``(url, path)``: the least path of each URL that processed pages of any level link to."""
     open_pages = visited.where(F.col("status") == "processed").select(F.col("url").alias("src"), "path")
-    if n_bytes <= SMALL_BYTES:
-        open_pages = F.broadcast(open_pages)
-    reached = edges.join(open_pages, "src").select(
-        F.col("dst").alias("url"), F.struct(F.concat("path", F.array(F.col("pos").cast("int"))).alias("path"), "src").alias("via")
-    )
-    return reached.groupBy("url").agg(F.min("via").alias("via")).select(
-        "url", F.col("via.path").alias("path"), F.col("via.src").alias("discoverer")
-    )
+    path = F.concat("path", F.array(F.col("pos").cast("int"))).alias("path")
+    return _links(open_pages, small, edges).select(F.col("dst").alias("url"), path).groupBy("url").agg(F.min("path").alias("path"))
 
 
 def crawl(
@@ -117,40 +145,42 @@ def crawl(
     URLs. With ``include_queued`` the URLs that were enqueued and never visited
     follow with status ``queued``.
     """
-    domains = FR.seed_domains(seeds) if config.same_domain_only else None
-    allowed = FR.crawlable(
-        graph.edges.withColumnRenamed("dst", "url"), None, domains, config.exclude_patterns, config.include_patterns
-    ).select("src", "pos", F.col("url").alias("dst"))
+    domains = written(FR.seed_domains(seeds), "domains") if config.same_domain_only else None
+    crawlable = lambda found: FR.crawlable(found, None, domains, config.exclude_patterns, config.include_patterns)
     # No level follows the last one: a crawl of depth 0 needs no links.
-    edges = written(allowed, "edges") if config.max_depth > 0 else allowed
+    edges = written(graph.edges.select("src", "pos", "dst"), "edges") if config.max_depth > 0 else graph.edges
     corpus = written(graph.corpus.distinct(), "corpus")
     rules = None
     if robots_source is not None and config.respect_robots:
         rules = checkpointed(R.rules_for_agent(robots_source, config.user_agent))
-    frontier = _seed_frontier(seeds, domains, config)
-    seed_frontier = frontier
+    seed_frontier = _seed_frontier(seeds, domains, config)
+    frontier = written(seed_frontier, "frontier")
     visited: DataFrame | None = None
-    n_visited = 0
+    above, few_above, n_visited = None, True, 0
     for depth in range(config.max_depth + 1):
+        n_level, small = _small(frontier)
+        ranked = ordinals(frontier, [], ["_key", "url"], "_rank")
         if config.max_pages is not None:
-            frontier = _first_rows(frontier, config.max_pages - n_visited, "path")
-        level = checkpointed(_outcome(frontier.withColumn("depth", F.lit(depth)), corpus, rules, config))
-        n_level, n_bytes = _size(level)
-        if n_level == 0:
-            visited = level if visited is None else visited
-            break
+            left = config.max_pages - n_visited
+            ranked, n_level = ranked.where(F.col("_rank") < left), min(n_level, left)
+            small = small or n_level * 1024 <= SMALL_BYTES
+        placed = ranked if above is None else _placed(ranked, above, few_above)
+        level = written(_outcome(placed.withColumn("depth", F.lit(depth)), small, corpus, rules, config), "level")
         visited = level if visited is None else visited.unionByName(level)
         n_visited += n_level
         spent = config.max_pages is not None and n_visited >= config.max_pages
-        if depth == config.max_depth or spent:
+        if n_level == 0 or depth == config.max_depth or spent:
             break
-        frontier = FR.unknown_only(_expand(level, n_bytes, edges), visited)
+        # Written before it is filtered, or the filters would run on every link below the aggregate.
+        found = written(FR.unknown_only(_found(level, small, edges), visited), "found")
+        frontier = written(crawlable(found), "frontier")
+        above, few_above = level, small
     out = visited.select("url", "depth", "path", "discoverer", "status", "reason")
     if not include_queued:
         return out
-    out = checkpointed(out)
     inner = out.where(F.col("depth") < config.max_depth)
-    reached = _expand(inner, _size(inner)[1], edges).unionByName(seed_frontier)
+    n_bytes = inner.agg(F.sum(F.octet_length("url") + 4 * F.size("path") + 32)).first()[0] or 0
+    reached = crawlable(_least_paths(inner, n_bytes <= SMALL_BYTES, edges)).unionByName(seed_frontier.select("url", "path"))
     queued = FR.unknown_only(reached.groupBy("url").agg(F.min("path").alias("path")), out)
     return out.unionByName(
         queued.select(

@@ -6,6 +6,7 @@ from corpusweave.config import CrawlConfig
 from corpusweave.operators import frontier as FR
 from corpusweave.operators import robots as R
 from corpusweave.plans import crawl as C
+from corpusweave.sources import tables as T
 
 SITE = "https://library.example"
 # Two ways to one book, a way back to the door, a page that names itself, one that is lost.
@@ -168,3 +169,36 @@ def test_filters(spark):
     assert [r.domain for r in domains.collect()] == ["example.com"]
     assert [r.url for r in FR.crawlable(urls, known, domains).collect()] == ["https://example.com/about"]
     assert FR.crawlable(urls).count() == 3
+
+
+def test_levels_reduce_links_by_hash_and_filter_distinct_urls(spark, monkeypatch):
+    level = spark.createDataFrame([("https://g.com/a", "processed", 0), ("https://g.com/b", "processed", 1), ("https://g.com/c", "failed", 2)], "url string, status string, _rank long")
+    links = [("https://g.com/b", 0, "https://g.com/x"), ("https://g.com/a", 7, "https://g.com/x"), ("https://g.com/b", 1, "https://g.com/y"), ("https://g.com/c", 0, "https://g.com/z")]
+    found = C._found(level, False, spark.createDataFrame(links, "src string, pos int, dst string"))
+    assert {r.url[-1]: (r._key >> C.POSITION_BITS, r._key % (1 << C.POSITION_BITS)) for r in found.collect()} == {"x": (0, 7), "y": (1, 1)}
+    assert "SortAggregate" not in found._jdf.queryExecution().toString()
+    asked, crawlable = [], FR.crawlable
+    monkeypatch.setattr(C.FR, "crawlable", lambda urls, *rest: asked.append(urls) or crawlable(urls, *rest))
+    many = spark.createDataFrame([("https://g.com/a", i, f"https://g.com/{i % 2}") for i in range(40)], "src string, pos int, dst string")
+    crawled = C.crawl(seeds(spark, "https://g.com/a"), C.LinkGraph(many, spark.createDataFrame([("https://g.com/a",)], "url string")), CrawlConfig(max_depth=1))
+    assert crawled.count() == 3 and [a.count() for a in asked] == [1, 2]
+
+
+def test_star_links_count_from_zero_per_page_without_a_sort_by_range(spark, tmp_path):
+    rows = {
+        "nation": ([(0, 0), (1, 0)], "n_nationkey long, n_regionkey long"),
+        "customer": ([(5, 1), (3, 1), (3, 1)], "c_custkey long, c_nationkey long"),
+        "supplier": ([(2, 1)], "s_suppkey long, s_nationkey long"),
+        "orders": ([(9, 3), (8, 3), (None, 3)], "o_orderkey long, o_custkey long"),
+        "lineitem": ([(8, 4, 2), (8, 4, 2), (8, 1, 2), (9, 4, None)], "l_orderkey long, l_partkey long, l_suppkey long"),
+    }
+    for name, (data, schema) in rows.items():
+        spark.createDataFrame(data, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    links = T.star_links(spark, str(tmp_path))
+    got = sorted((r.of, -1 if r.key is None else r.key, r.pos, r.kind, r.k) for r in links.collect())  # no two agree in the first three
+    assert got == [
+        (0, 0, 0, 1, 0), (0, 0, 1, 1, 1), (1, 1, 0, 2, 3), (1, 1, 1, 2, 3), (1, 1, 2, 2, 5), (1, 1, 3, 3, 2),
+        (2, 3, 0, 4, None), (2, 3, 1, 4, 8), (2, 3, 2, 4, 9), (3, -1, 0, 5, 4), (3, 2, 0, 5, 1), (3, 2, 1, 5, 4),
+        (4, 8, 0, 6, 1), (4, 8, 1, 6, 4), (4, 9, 0, 6, 4),
+    ]
+    assert "rangepartitioning" not in links._jdf.queryExecution().toString()
