@@ -15,29 +15,40 @@ earlier one that takes its left part out of the right part of the first, so
 chains of such merges descend in rank and their lengths add up to a bound. The
 transducer holds that much, however long its input.
 
-Pieces are cut by the tokenizer's own pattern. A border lies wherever white space
-follows anything else, so a long text is cut there and read in parts. Frequent
-pieces are kept in a table of bounded size.
+Pieces are cut as the tokenizer's own pattern cuts them, found for a block of
+texts at a time from the classes of its characters. Each distinct piece of a group
+of blocks is encoded once, in sorted order: the transducer goes back to the prefix
+that a piece shares with the one before it and reads only the rest. A border lies
+wherever white space follows anything else, so a long text is cut there and read
+in parts.
 """
 
 from __future__ import annotations
 
 import codecs
 import json
-from collections.abc import Iterator
+from collections import deque
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain, groupby
+from operator import itemgetter
+from typing import Any, NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: the pattern of the byte-level pre-tokenizer.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-_PART = 1 << 16  # characters of a text that are cut into pieces at a time
-_LONG = 4096  # bytes from which a piece is streamed, not kept
-_KEPT = 150_000  # entries of each half of the table of pieces, and of the table of borders
+_PART = 1 << 16  # tokens decoded at a time
+_BLOCK = 1 << 20  # characters cut into pieces at a time
+_GROUP = 1 << 23  # characters whose distinct pieces are encoded together
+_ROW = 32  # what a part or piece counts besides its characters
+_LONG = 4096  # characters from which a piece is streamed, not kept
+_KEPT = 150_000  # entries of the table of borders
 _OUT = 8 << 20
 
 
@@ -71,12 +82,15 @@ class MergeList:
             if self.rank[made] < 0 and len(self.bytes[made]) > 1:
                 self.rank[made], self.parts[made] = rank, (x, y)
         self.longest = max(map(len, self.ids), default=1)
+        self.lengths = [len(b) for b in self.bytes]
         self._fits: dict[int, bool] = {}
         self._whole: dict[int, bool] = {}
         self._layout = None
         self.sufficient_lookahead = self._lookahead()
         # Tokens that their own bytes encode to: no other can end a prefix.
         self.ending = {b: i for b, i in self.ids.items() if self.whole(i)}
+        # These, and -1 for whatever else a token begins with.
+        self.begun = {b[:k]: -1 for b in self.ending for k in range(1, len(b))} | self.ending
         self.packed = [i.to_bytes(4, "little") for i in range(size)]
 
     @classmethod
@@ -175,101 +189,146 @@ class Transducer:
 
     def __init__(self, merges: MergeList):
         self.merges = merges
-        self.data = bytearray()  # bytes after the last emitted token
-        self.last: list[int] = [-1]  # token that ends the prefix at each position
-        self.before = -1  # the last emitted token
+        self.data = b""  # bytes after the last emitted token
+        self.last: list[int] = [-1]  # token that ends the prefix at each position; first the last emitted one
+        self.open: list[int] = [0]  # where the longest suffix of each prefix that begins a token begins
 
     def _extend(self, part: bytes) -> None:
-        m, data, last = self.merges, self.data, self.last
-        ids, fits, longest = m.ending, m.fits, m.longest
-        begin = len(data)
-        data.extend(part)
-        view = bytes(data)
-        for end in range(begin + 1, len(view) + 1):
-            for start in range(max(0, end - longest), end):
-                token = ids.get(view[start:end])
-                if token is None:
-                    continue
-                prior = last[start] if start else self.before
-                if start and prior < 0:
-                    continue
-                if prior < 0 or fits(prior, token):
-                    last.append(token)
-                    break
-            else:
-                raise ValueError("a byte has no token")
+        m, last, open_ = self.merges, self.last, self.open
+        begun, known = m.begun.get, m._fits.get
+        start, end = open_[-1], len(self.data)
+        data = self.data + part
+        while end < len(data):
+            end += 1
+            # No token that reaches this far begins before the longest suffix that begins one.
+            while (token := begun(data[start:end])) is None:
+                start += 1
+                if start == end:
+                    raise ValueError("a byte has no token")
+            at = start
+            while True:
+                if token is not None and token >= 0:
+                    prior = last[at]
+                    if prior < 0:
+                        break
+                    fit = known(prior << 32 | token)
+                    if fit or (fit is None and m.fits(prior, token)):
+                        break
+                at += 1
+                if at == end:
+                    raise ValueError("a byte has no token")
+                token = begun(data[at:end])
+            last.append(token)
+            open_.append(start)
+        self.data = data
+
+    def whole(self, piece: bytes) -> list[int]:
+        """Tokens of a piece read at once, by a transducer that reads nothing else.
+        What the piece before began with as well is not read again."""
+        same = 0
+        for a, b in zip(piece, self.data, strict=False):
+            if a != b:
+                break
+            same += 1
+        self.data = self.data[:same]
+        del self.last[same + 1 :], self.open[same + 1 :]
+        self._extend(piece[same:])
+        return self._path(len(piece))
 
     def _path(self, end: int, stop: int = 0) -> list[int]:
-        found = []
+        found, last, lengths = [], self.last, self.merges.lengths
         while end > stop:
-            token = self.last[end]
+            token = last[end]
             found.append(token)
-            end -= len(self.merges.bytes[token])
+            end -= lengths[token]
         return found[::-1]
 
     def feed(self, part: bytes) -> list[int]:
         self._extend(part)
         # The prefix that all of the last positions share.
-        n, lengths = len(self.data), self.merges.bytes
+        n, lengths = len(self.data), self.merges.lengths
         at = set(range(max(0, n - self.merges.longest + 1), n + 1))
         while len(at) > 1:
             far = max(at)
             at.remove(far)
-            at.add(far - len(lengths[self.last[far]]))
+            at.add(far - lengths[self.last[far]])
         stable = at.pop()
         return self._emit(stable)
 
     def _emit(self, upto: int) -> list[int]:
         found = self._path(upto)
         if found:
-            self.before = found[-1]
-            del self.data[:upto]
-            self.last = [-1, *self.last[upto + 1 :]]
+            self.data = self.data[upto:]
+            self.last = [found[-1], *self.last[upto + 1 :]]
+            self.open = [0, *(max(0, at - upto) for at in self.open[upto + 1 :])]
         return found
 
     def close(self) -> list[int]:
         return self._emit(len(self.data))
 
 
+LETTER, NUMBER, OTHER, SPACE = range(4)
+
+
+@lru_cache(maxsize=1)
+def classes() -> np.ndarray:
+    """The class that the pattern gives each code point."""
+    found, every = np.full(0x110000, OTHER, dtype=np.uint8), np.arange(0x110000, dtype="<u4").tobytes().decode("utf-32-le", "surrogatepass")
+    for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
+        for m in regex.finditer(pattern, every):
+            found[m.start() : m.end()] = kind
+    return found
+
+
+def cuts(code: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Where ``PATTERN`` begins a match in texts laid end to end: ``code`` has their
+    code points, ``begins`` the first position of each. As the pattern would, but for
+    all positions at once:
+
+    * matches are runs of a class;
+    * a run of white space before another character gives its last one away: a blank
+      to that character's match, any other stands alone;
+    * an apostrophe that is a match alone takes the letters of a contraction.
+    """
+    kind = classes()[code]
+    begin = np.zeros(len(code) + 1, dtype=bool)
+    begin[begins] = True
+    start = begin.copy()
+    start[1:-1] |= kind[1:] != kind[:-1]
+    after = np.flatnonzero((kind[:-1] == SPACE) & (kind[1:] != SPACE) & ~begin[1:-1]) + 1
+    start[after - 1] = True
+    start[after[code[after - 1] == 0x20]] = False
+    sign = np.flatnonzero((code[:-1] == 0x27) & start[:-2] & ~begin[1:-1])
+    first = code[sign + 1]
+    one = sign[np.isin(first, [ord(c) for c in "stmd"])]
+    pair = sign[np.isin(first, [ord(c) for c in "rvl"]) & (sign + 2 < len(code)) & ~begin[sign + 2]]
+    pair = pair[np.isin(code[pair + 1] << 8 | code[pair + 2], [ord(a) << 8 | ord(b) for a, b in ("re", "ve", "ll")])]
+    for at, letters in ((one, 1), (pair, 2)):
+        start[at + 1] = False
+        start[at + 1 + letters] = True
+    return np.flatnonzero(start[:-1])
+
+
+class Block(NamedTuple):
+    """Pieces of some parts: part ``k`` has those from ``borders[k]`` to ``borders[k + 1]``."""
+
+    parts: list[tuple[int, int | None]]  # number of the text, and its id if the part is a special token
+    borders: np.ndarray
+    pieces: pa.DictionaryArray
+    size: int
+
+
 class Encoder:
-    """Packed little-endian ids of texts, in parts of bounded size."""
+    """Packed little-endian ids of texts."""
 
     def __init__(self, merges: MergeList):
         self.merges = merges
-        self.find = regex.compile(PATTERN).findall
-        self.kept = _Kept(self._piece)
+        self.short = Transducer(merges)
         special = sorted(merges.special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
 
     def _piece(self, piece: str) -> bytes:
-        """A short piece is read whole before anything is emitted, so only the
-        states that a token reaches are visited, the longest token first. A
-        position that leads nowhere is left for good: the prefix before it has
-        no other encoding."""
-        m = self.merges
-        data, ids, known, packed, longest = piece.encode(), m.ending, m._fits, m.packed, m.longest
-        if (token := ids.get(data)) is not None:
-            return packed[token]
-        n, at, prior, path, dead = len(data), 0, -1, [], set()
-        end = min(n, longest)
-        while at < n:
-            while end > at:
-                token = ids.get(data[at:end])
-                if token is not None and end not in dead:
-                    if prior < 0:
-                        break
-                    fit = known.get(prior << 32 | token)
-                    if fit or (fit is None and m.fits(prior, token)):
-                        break
-                end -= 1
-            if end > at:
-                path.append(token)
-                prior, at, end = token, end, min(n, end + longest)
-            else:
-                dead.add(at)
-                end, at = at - 1, at - len(m.bytes[path.pop()])
-                prior = path[-1] if path else -1
-        return b"".join(map(packed.__getitem__, path))
+        return np.array(self.short.whole(piece.encode()), dtype="<u4").tobytes()
 
     def _streamed(self, piece: str) -> Iterator[bytes]:
         t = Transducer(self.merges)
@@ -279,44 +338,98 @@ class Encoder:
                 yield np.array(ids, dtype="<u4").tobytes()
         yield np.array(t.close(), dtype="<u4").tobytes()
 
-    def _plain(self, text: str) -> Iterator[bytes]:
-        for part in parts_of(text):
-            pieces = self.find(part)
-            if len(part) < _LONG or max(map(len, pieces)) * 4 < _LONG:
-                yield b"".join(map(self.kept.__getitem__, pieces))
-                continue
-            for piece in pieces:
-                if len(piece) < _LONG:
-                    yield self.kept[piece]
+    def _parts(self, texts: Iterable[str]) -> Iterator[tuple[int, str, int | None]]:
+        """Parts of each text, one at least; a special token's own string in the text is that token."""
+        for n, text in enumerate(texts):
+            for k, part in enumerate(self.cut.split(text) if self.cut else [text]):
+                if k % 2:
+                    yield n, "", self.merges.special[part]
                 else:
-                    yield from self._streamed(piece)
+                    yield from ((n, p, None) for p in (parts_of(part, _BLOCK) if part else [""]))
+
+    def _blocks(self, texts: Iterable[str]) -> Iterator[Block]:
+        held, size = [], 0
+        for n, part, special in self._parts(texts):
+            if len(part) > 2 * _BLOCK:
+                yield self._block(held, size)
+                held, size = [], 0
+                yield from self._unbroken(n, part)
+                continue
+            held.append((n, part, special))
+            size += len(part) + _ROW
+            if size >= _BLOCK:
+                yield self._block(held, size)
+                held, size = [], 0
+        yield self._block(held, size)
+
+    def _block(self, held: list[tuple[int, str, int | None]], size: int) -> Block:
+        text = "".join(part for _, part, _ in held)
+        begins = np.cumsum([0, *(len(part) for _, part, _ in held)])
+        data, code = text.encode(), np.frombuffer(text.encode("utf-32-le"), dtype="<u4")
+        at = cuts(code, begins)
+        borders = np.searchsorted(at, begins)
+        if len(data) > len(text):  # from characters to bytes
+            at = np.flatnonzero((np.frombuffer(data, dtype=np.uint8) & 0xC0) != 0x80)[at]
+        at = np.append(at, len(data)).astype(np.int32)
+        pieces = pa.Array.from_buffers(pa.string(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(data)])
+        return Block([(n, special) for n, _, special in held], borders, pieces.dictionary_encode(), size)
+
+    def _unbroken(self, n: int, part: str) -> Iterator[Block]:
+        """Blocks of a part that has no border for longer than a block, match by match."""
+        pieces, size = [], 0
+        for found in chain(regex.finditer(PATTERN, part), [None]):
+            if found:
+                pieces.append(found[0])
+                size += len(found[0]) + _ROW
+            if size >= _BLOCK or not found:
+                yield Block([(n, None)], np.array([0, len(pieces)]), pa.array(pieces, pa.string()).dictionary_encode(), size)
+                pieces, size = [], 0
+
+    def _group(self, blocks: list[Block]) -> Iterator[tuple[int, bytes]]:
+        """Ids of each part; every distinct piece of the blocks is encoded once."""
+        chunks = pa.chunked_array([b.pieces for b in blocks]).unify_dictionaries().chunks
+        distinct = chunks[0].dictionary
+        order = pc.sort_indices(distinct)
+        packed = [self._piece(p) if len(p) < _LONG else b"".join(self._streamed(p)) for p in distinct.take(order).to_pylist()]
+        ids = np.frombuffer(b"".join(packed), dtype="<u4")
+        lengths = np.fromiter(map(len, packed), dtype=np.int64, count=len(packed)) // 4
+        starts, counts = np.empty_like(lengths), np.empty_like(lengths)
+        starts[order], counts[order] = np.cumsum(lengths) - lengths, lengths
+        for block, chunk in zip(blocks, chunks, strict=True):
+            which = chunk.indices.to_numpy()
+            ends = np.cumsum(np.append(0, counts[which]))
+            found = ids[np.repeat(starts[which] - ends[:-1], counts[which]) + np.arange(ends[-1])]
+            borders = ends[block.borders].tolist()
+            for (n, special), a, b in zip(block.parts, borders, borders[1:], strict=False):
+                yield n, found[a:b].tobytes() if special is None else self.merges.packed[special]
+
+    def _encoded(self, texts: Iterable[str]) -> Iterator[tuple[int, bytes]]:
+        """Ids of the texts, part by part, each with the number of its text."""
+        held, size = [], 0
+        for block in self._blocks(texts):
+            held.append(block)
+            size += block.size
+            if size >= _GROUP:
+                yield from self._group(held)
+                held, size = [], 0
+        if held:
+            yield from self._group(held)
 
     def encode(self, text: str) -> Iterator[bytes]:
-        """A special token's own string in the text is that token."""
-        if self.cut is None or not self.cut.search(text):
-            yield from self._plain(text)
-            return
-        for k, part in enumerate(self.cut.split(text)):
-            if k % 2:
-                yield int(self.merges.special[part]).to_bytes(4, "little")
-            elif part:
-                yield from self._plain(part)
-
-
-class _Kept(dict):
-    def __init__(self, make):
-        super().__init__()
-        self.make, self.old = make, {}
-
-    def __missing__(self, piece: str) -> bytes:
-        found = self.old.get(piece)
-        if found is None:
-            found = self.make(piece)
-        if len(self) >= _KEPT:  # what is used again comes back from the older half
-            self.old = dict(self)
-            self.clear()
-        self[piece] = found
-        return found
+        """Ids of one text in parts of bounded size."""
+        return (ids for _, ids in self._encoded([text]))
+
+    def encode_all(self, rows: Iterable[tuple[Any, str]]) -> Iterator[tuple[Any, bytes]]:
+        """Each key with the ids of its text; many texts are read before the first comes out."""
+        keys: deque = deque()
+
+        def texts() -> Iterator[str]:
+            for key, text in rows:
+                keys.append(key)
+                yield text
+
+        for _, found in groupby(self._encoded(texts()), key=itemgetter(0)):
+            yield keys.popleft(), b"".join(ids for _, ids in found)
 
 
 def parts_of(text: str, size: int = _PART) -> Iterator[str]:
@@ -380,14 +493,13 @@ def _run(path: str, with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = _encoder(path)
 
-        def rows():
+        def texts():
             for batch in batches:
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                    ids = b"".join(e.encode(text.as_py() or ""))
-                    yield doc_id, len(ids) // 4, ids, decoded(e.merges, ids) if with_text else None
+                yield from zip(batch.column(0).to_pylist(), (text.as_py() or "" for text in batch.column(1)), strict=True)
 
+        rows = ((doc_id, len(ids) // 4, ids, decoded(e.merges, ids) if with_text else None) for doc_id, ids in e.encode_all(texts()))
         kinds = [pa.int64(), pa.int64(), pa.binary(), pa.string()]
-        yield from _batches(rows(), ["doc_id", "n_tokens", "ids", "decoded"], kinds, lambda r: len(r[2]) + len(r[3] or "") + 64)
+        yield from _batches(rows, ["doc_id", "n_tokens", "ids", "decoded"], kinds, lambda r: len(r[2]) + len(r[3] or "") + 64)
 
     return run
 

@@ -4,6 +4,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import regex
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -117,6 +118,49 @@ def test_decoder_takes_bytes_as_they_come(encoder, library):
         assert d.feed(np.array(want[:cut])) + d.close() == library.decode(want[:cut], skip_special_tokens=False)
 
 
+def test_cuts_are_those_of_the_pattern():
+    rnd = random.Random(12)
+    alphabet = ["'", "'s", "'re", "'ll", "'v", "S", "t", "e", "l", " ", "  ", "\n", "\t", "\u3000", "\x1f", "\x85", "7", "½", "é", "漢", "\u0301", "\U0001f600", ".", "_"]
+    for _ in range(3000):
+        texts = ["".join(rnd.choices(alphabet, k=rnd.randint(0, 9))) for _ in range(rnd.randint(1, 4))]
+        begins = np.cumsum([0, *map(len, texts)])
+        found = bpe.cuts(np.frombuffer("".join(texts).encode("utf-32-le"), dtype="<u4"), begins)
+        assert found.tolist() == [at + m.start() for at, text in zip(begins, texts, strict=False) for m in regex.finditer(bpe.PATTERN, text)], texts
+
+
+def test_every_piece_goes_through_the_transducer_and_shared_prefixes_once(monkeypatch):
+    read, extend = [], bpe.Transducer._extend
+    monkeypatch.setattr(bpe.Transducer, "_extend", lambda self, part: (read.append(part), extend(self, part))[1])
+    texts = ["zqtherxin.zqtherxon", "zqtherxon.zqtherxin", "zqtherxinw.zqtherx"]
+    found = bpe.Encoder(bpe.MergeList.from_file(PATH)).encode_all(enumerate(texts * 50))
+    assert [k for k, _ in found] == list(range(150))
+    assert read == [b".", b"zqtherx", b"in", b"w", b"on"]
+
+
+@pytest.mark.parametrize(("block", "group"), [(40, 100), (300, 300), (1 << 20, 1 << 23)])
+def test_blocks_and_groups_do_not_change_the_ids(encoder, library, monkeypatch, block, group):
+    monkeypatch.setattr(bpe, "_BLOCK", block)
+    monkeypatch.setattr(bpe, "_GROUP", group)
+    rnd = random.Random(block)
+    words = ["the", "'s", "ther", "Étérnel", "漢字", "<|endoftext|>", " ", "\n\n", "10", "...", "x" * 90, "a.b1" * 60]
+    texts = ["", "", *("".join(rnd.choices([*words, " ", " "], k=rnd.randint(0, 30))) for _ in range(300)), "z" * 5000 + "a1" * 400, ""]
+    keys = [None if k % 7 == 0 else k // 2 for k in range(len(texts))]  # missing and repeated
+    want = [(k, library.encode(t, add_special_tokens=False).ids) for k, t in zip(keys, texts, strict=True)]
+    assert [(k, np.frombuffer(i, "<u4").tolist()) for k, i in encoder.encode_all(zip(keys, texts, strict=True))] == want
+    assert list(encoder.encode_all([])) == []
+
+
+def test_a_byte_without_token_leaves_the_transducer_whole():
+    symbols = bpe.byte_symbols()
+    names = [symbols[b] for b in b"abc"] + [symbols[97] + symbols[98], symbols[99] + symbols[122]]
+    t = bpe.Transducer(bpe.MergeList({n: k for k, n in enumerate(names)}, [(names[0], names[1])]))
+    assert t.whole(b"abc") == [3, 2]
+    for bad in (b"abz", b"czz", b"abcb!"):
+        with pytest.raises(ValueError, match="no token"):
+            t.whole(bad)
+        assert t.whole(b"abca") == [3, 2, 0]
+
+
 def test_documents_are_encoded_whole(spark, library):
     rows = [(1, "hello world"), (2, None), (3, ""), (None, "x"), (1, "hello world"), (4, "long words " * 40_000 + "z" * 9000), (5, "<|endoftext|>  ")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("ids", F.lit(1)).withColumn("decoded", F.lit(1))
