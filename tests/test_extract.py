@@ -301,3 +301,9 @@ def test_rows_are_dealt_out_before_pages_are_made(spark, tmp_path, monkeypatch):
     shop, baskets = T.order_pages(spark, str(tmp_path)), T.basket_pages(spark, str(tmp_path))
     assert (shop.count(), baskets.count()) == (200, 200)
     assert shop.rdd.getNumPartitions() == 20 and baskets.rdd.getNumPartitions() == 40
+
+
+@pytest.mark.parametrize("job", [X.list_item_table])
+def test_no_tag_costs_an_interpreted_expression(spark, job):
+    plan = job(frame(spark, ("u", "<p>x")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "regexp" not in plan
