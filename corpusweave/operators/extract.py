@@ -7,7 +7,6 @@ record; exploded forms are the tables a query usually wants.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -167,23 +166,6 @@ def _parse_selector(selector: str) -> tuple[str | None, str | None, str | None]:
     return (tag.lower() if tag else None), cls, ident
 
 
-def _fits(selector: str) -> Callable[[Column], Column]:
-    """Whether a token is a start tag that the selector wants."""
-    tag, cls, ident = _parse_selector(selector)
-    named, value = ("class", cls) if cls else ("id", ident)
-
-    def fits(t: Column) -> Column:
-        ok = (t["key"] == tag) if tag else ~t["key"].startswith("/") & (t["key"] != "")
-        if not value:
-            return ok
-        given = F.element_at(H.attribute_values(F.array(t["tag"]), named), 1)
-        has = F.array_contains(F.split(given, r"\s+"), cls) if cls else given == ident
-        # Only a tag that says so at all is read; a value with a reference in it may say so otherwise.
-        return ok & F.when(t["tag"].contains(value) | t["tag"].contains("&"), has).otherwise(False)
-
-    return fits
-
-
 def _hidden(selector: str) -> tuple[str, ...]:
     """Raw-text bodies hold no elements; a selector for one of them wants the body."""
     tag = _parse_selector(selector)[0]
@@ -191,16 +173,10 @@ def _hidden(selector: str) -> tuple[str, ...]:
 
 
 def _selected(pages: DataFrame, selectors: tuple[str, ...]) -> DataFrame:
-    """(page_id, url, found): the texts of each selector's elements, from one token table.
+    """(page_id, url, found): the texts of each selector's elements, a page taken apart once.
     The selectors must hide the same elements."""
-    whole = any(value for s in selectors for value in _parse_selector(s)[1:])
-    staged = pages.select("page_id", "url", H.tokens(H.without(F.col("html"), _hidden(selectors[0])), whole=whole).alias("_t"))
-    marks = H.marks(F.col("_t"), [_fits(s) for s in selectors])
-    nested = staged.select("page_id", "url", H.texts(F.col("_t")).alias("_x"), nesting(marks, ["found"], len(selectors)).alias("_n"))
-    texts_of = lambda k: F.transform(
-        F.filter("_n.found", lambda s: s["k"] == k), lambda s: H.span_text(F.col("_x"), s)
-    )
-    return settled(nested, "found", F.array(*(texts_of(k) for k in range(len(selectors))))).select("page_id", "url", "found")
+    found = P.selected(F.col("html"), [_parse_selector(s) for s in selectors], _hidden(selectors[0]))
+    return settled(pages.select("page_id", "url", "html"), "found", found).select("page_id", "url", "found")
 
 
 def selector_matches(pages: DataFrame, selector: str) -> DataFrame:

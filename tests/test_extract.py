@@ -303,7 +303,13 @@ def test_rows_are_dealt_out_before_pages_are_made(spark, tmp_path, monkeypatch):
     assert shop.rdd.getNumPartitions() == 20 and baskets.rdd.getNumPartitions() == 40
 
 
-@pytest.mark.parametrize("job", [X.list_item_table])
+@pytest.mark.parametrize("job", [X.list_item_table, lambda p: X.matches_of_each(p, ("p", "div.ad"))])
 def test_no_tag_costs_an_interpreted_expression(spark, job):
     plan = job(frame(spark, ("u", "<p>x")))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1 and "regexp" not in plan
+
+
+def test_a_selected_page_is_read_to_its_last_element(spark):
+    page = frame(spark, ("u", "<div class=ad>a<p>b<div class='ad x'>c</div>d</div>e<p>f<table><tr><td><p>g</table>h<img class=ad>"))
+    got = sorted((r.selector, r.pos, r.text) for r in X.matches_of_each(page, ("div.ad", "p", "img", ".x")).collect())
+    assert got == [(".x", 0, "c"), ("div.ad", 0, "a b c d"), ("div.ad", 1, "c"), ("p", 0, "b"), ("p", 1, "f"), ("p", 2, "g")]
