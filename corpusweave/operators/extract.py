@@ -89,12 +89,6 @@ def tables_of(texts: Column, spans: Column) -> Column:
     return F.filter(grids, lambda g: F.size(g) > 0)
 
 
-def _nested(pages: DataFrame, clean: Column, names: tuple[str, ...], kind: str) -> DataFrame:
-    """``page_id, url, _x, _n``: texts and nesting of the pages that have a tag of ``names``."""
-    found = pages.where(H.holds(F.col("html"), names)).select("page_id", "url", H.tokens(clean).alias("_t"))
-    return found.select("page_id", "url", H.texts(F.col("_t")).alias("_x"), nesting(H.marks(F.col("_t")), [kind]).alias("_n"))
-
-
 # -- exploded tables --------------------------------------------------------
 
 def metadata(clean: Column) -> Column:
@@ -144,10 +138,9 @@ def heading_table(pages: DataFrame) -> DataFrame:
 
 
 def cell_table(pages: DataFrame) -> DataFrame:
-    nested = _nested(pages, H.read_aloud(F.col("html")), ("table",), "tables")
-    tables = nested.select("page_id", "url", F.posexplode(tables_of(F.col("_x"), F.col("_n.tables"))).alias("table_no", "t"))
-    rows = tables.select("page_id", "url", "table_no", F.posexplode("t").alias("row_no", "r"))
-    return rows.select("page_id", "url", "table_no", "row_no", F.posexplode("r").alias("cell_no", "text"))
+    """Cell texts of every table; a nested table's rows also show in the table around it."""
+    cells = settled(pages.select("page_id", "url", "html"), "html", P.table_cells(F.col("html")))
+    return cells.select("page_id", "url", F.inline("html"))
 
 
 def list_item_table(pages: DataFrame) -> DataFrame:

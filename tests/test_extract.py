@@ -303,7 +303,7 @@ def test_rows_are_dealt_out_before_pages_are_made(spark, tmp_path, monkeypatch):
     assert shop.rdd.getNumPartitions() == 20 and baskets.rdd.getNumPartitions() == 40
 
 
-@pytest.mark.parametrize("job", [X.list_item_table, lambda p: X.matches_of_each(p, ("p", "div.ad"))])
+@pytest.mark.parametrize("job", [X.cell_table, X.list_item_table, lambda p: X.matches_of_each(p, ("p", "div.ad"))])
 def test_no_tag_costs_an_interpreted_expression(spark, job):
     plan = job(frame(spark, ("u", "<p>x")))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1 and "regexp" not in plan
