@@ -303,7 +303,24 @@ def test_rows_are_dealt_out_before_pages_are_made(spark, tmp_path, monkeypatch):
     assert shop.rdd.getNumPartitions() == 20 and baskets.rdd.getNumPartitions() == 40
 
 
-@pytest.mark.parametrize("job", [X.cell_table, X.list_item_table, lambda p: X.matches_of_each(p, ("p", "div.ad"))])
+ODD = ["<a href='/x?a=1&amp;copy=2'><IMG SRC=../i.png alt='&nbsp;A&#xFEFF;&#150;'><h2>One<br>&ltwo;</h2><title>T&AMP;T<b>u</title>",
+       "<div title='<a href=/in><img src=/in.png>'>x</div><a href=\"http:/up\"><h3>a<h1>b<!-- c --->d</h1><meta name=description content=' d '>",
+       "<template><h1>no</h1></template><a href='#t'><a href='mailto:x'><a href='../../y/./z;p?q#f'><h1\x01>k</h1><noscript>n", "", "<a href=", None]
+
+
+def test_a_record_says_what_the_columns_say(spark):
+    page = frame(spark, *(("https://e.com/a/b?c", h) for h in ODD if h is None or "noscript" not in h), (None, ODD[0]), ("rel", ODD[1]))
+    rows = X.page_records(page).collect()
+    facts = lambda table, *names: sorted((r.page_id, r.pos, *(r[n] for n in names)) for r in table.collect())
+    each = lambda name, *fields: sorted((r.page_id, k, *(x[f] for f in fields)) for r in rows for k, x in enumerate(r[name]))
+    assert sorted((r.page_id, k, x) for r in rows for k, x in enumerate(r.links)) == facts(X.link_table(page), "dst_url")
+    assert each("images", "src", "alt") == facts(X.image_table(page), "src", "alt")
+    assert each("headings", "level", "text") == facts(X.heading_table(page), "level", "text")
+    metas = {r.page_id: (r.title, r.description, r.keywords) for r in X.metadata_table(page).collect() if r.title is not None}
+    assert {r.page_id: tuple(r.metadata) for r in rows if r.metadata} == metas
+
+
+@pytest.mark.parametrize("job", [X.page_records, X.cell_table, X.list_item_table, lambda p: X.matches_of_each(p, ("p", "div.ad"))])
 def test_no_tag_costs_an_interpreted_expression(spark, job):
     plan = job(frame(spark, ("u", "<p>x")))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1 and "regexp" not in plan
