@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusweave.operators import extract as X
@@ -37,19 +37,41 @@ def _answers(urls: DataFrame, pages: DataFrame, every_copy: bool) -> tuple[DataF
     return wanted, first, size <= BROADCAST_BYTES
 
 
-# Bits of the filter of wanted pages: so many for each of them, up to a size that a plan can carry.
+# Bits of the filter of wanted pages: so many for each of them, up to a size that every task can hold.
 BITS_EACH, MOST_BITS, PROBES = 12, 1 << 26, 4
+# Bits that a plan can carry: the driver writes them out as text, at every mention and for every plan it keeps.
+PLAN_BITS = 1 << 17
 
 
 def _probe(page_id: Column, probe: int, bits: int) -> Column:
     return F.pmod(F.xxhash64(page_id, F.lit(probe)), F.lit(bits))
 
 
+def _held_by_tasks(spark: SparkSession, table: np.ndarray, bits: int) -> Callable[[Column], Column]:
+    """Whether all bits of an id are set in a table that was broadcast; the plan does not name it."""
+    import pyarrow as pa
+
+    held = spark.sparkContext.broadcast(table)
+
+    def all_set(a, b, c, d):
+        import pyarrow as pa
+
+        found = True
+        for place in (a, b, c, d):
+            p = place.to_numpy(zero_copy_only=False)
+            found = found & ((held.value[p >> 6] >> (p & 63)) & 1 == 1)
+        return pa.array(found, pa.bool_())
+
+    all_set.__annotations__ = dict.fromkeys(["a", "b", "c", "d", "return"], pa.Array)
+    return lambda page_id: F.arrow_udf(all_set, "boolean")(*(_probe(page_id, k, bits) for k in range(PROBES)))
+
+
 def bloom_filter(ids: DataFrame, column: str) -> Callable[[Column], Column]:
     """A predicate that every id of ``ids`` passes and few others do.
 
     Bits are set by tasks and combined before they move; the driver sees at most
-    ``MOST_BITS``. More ids than that is meant for let more others pass.
+    ``MOST_BITS``. More ids than that is meant for let more others pass. Up to
+    ``PLAN_BITS`` stand in the plan; beyond, tasks hold them as a broadcast.
     """
     n = ids.count()
     bits = min(MOST_BITS, 1 << max(10, (BITS_EACH * n - 1).bit_length()))
@@ -59,6 +81,8 @@ def bloom_filter(ids: DataFrame, column: str) -> Callable[[Column], Column]:
     ).toArrow()
     table = np.zeros(bits // 64, dtype="<i8")
     table[words.column("word").to_numpy()] = words.column("mask").to_numpy()
+    if bits > PLAN_BITS:
+        return _held_by_tasks(ids.sparkSession, table, bits)
     stored = F.lit(table.tobytes())
 
     def passes(page_id: Column) -> Column:
@@ -86,6 +110,8 @@ def _looked_up(urls: DataFrame, pages: DataFrame, build: Callable[[DataFrame], D
         found = build(pages.join(F.broadcast(first), answer, "left_semi"))
     else:
         wants = bloom_filter(first, answer[-1])
+        # By the size of its files a table of URLs seems small enough to broadcast long after it is not.
+        first = first.hint("merge")
         found = build(pages.where(wants(F.col(answer[-1])))).join(first, answer, "left_semi")
     kept = found if every_copy else found.drop("page_id")
     return kept.unionByName(absent(wanted.join(first, "url", "left_anti")), allowMissingColumns=every_copy)

@@ -330,3 +330,24 @@ def test_a_selected_page_is_read_to_its_last_element(spark):
     page = frame(spark, ("u", "<div class=ad>a<p>b<div class='ad x'>c</div>d</div>e<p>f<table><tr><td><p>g</table>h<img class=ad>"))
     got = sorted((r.selector, r.pos, r.text) for r in X.matches_of_each(page, ("div.ad", "p", "img", ".x")).collect())
     assert got == [(".x", 0, "c"), ("div.ad", 0, "a b c d"), ("div.ad", 1, "c"), ("p", 0, "b"), ("p", 1, "f"), ("p", 2, "g")]
+
+
+def test_a_large_filter_is_not_in_the_plan(spark, monkeypatch):
+    ids = spark.range(0, 40_000, 40).withColumnRenamed("id", "page_id")
+    few = {r.id for r in spark.range(40_000).where(L.bloom_filter(ids, "page_id")(F.col("id"))).collect()}
+    monkeypatch.setattr(L, "PLAN_BITS", 0)
+    found = spark.range(40_000).where(L.bloom_filter(ids, "page_id")(F.col("id")))
+    assert {r.id for r in found.collect()} == few
+    assert len(found._jdf.queryExecution().toString()) < 10_000
+
+
+def test_answers_beyond_the_bound_are_not_broadcast(spark, monkeypatch):
+    pages = frame(spark, *((f"https://e.com/{k}", f"<h1>{k}") for k in range(200)), (None, "<h1>x"))
+    urls = spark.createDataFrame([(f"https://e.com/{k}",) for k in range(150, 250)], "url string")
+    few = sorted(map(tuple, L.batch_lookup(urls, pages).collect()))
+    monkeypatch.setattr(L, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(L, "PLAN_BITS", 0)
+    job = L.batch_lookup(urls, pages)
+    assert sorted(map(tuple, job.collect())) == few
+    assert "Broadcast" not in job._jdf.queryExecution().executedPlan().toString()
+    assert L.fetch_and_extract(urls, pages, every_copy=True).count() == 100
